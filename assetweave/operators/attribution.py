@@ -37,8 +37,7 @@ def shapley(
     for members in itertools.chain.from_iterable(itertools.combinations(range(m), r) for r in range(m + 1)):
         keep = np.zeros(m, dtype=bool)
         keep[list(members)] = True
-        distance = own[:, :, keep].sum(axis=2)[:, None, :] + other[:, :, ~keep].sum(axis=2)[None, :, :]
-        chosen = distance.argmin(axis=2)  # rows x background
+        chosen = _nearest(own[:, :, keep].sum(axis=2), other[:, :, ~keep].sum(axis=2))
         outcome = chosen == assigned[:, None] if target == "own" else chosen
         value[members] = outcome @ weights
     phi = np.zeros((n, m))
@@ -52,6 +51,18 @@ def shapley(
     return assigned, phi
 
 
+def _nearest(kept: np.ndarray, replaced: np.ndarray) -> np.ndarray:
+    """Center with the smallest sum of both partial distances, for every row and background row."""
+    best = kept[:, :1] + replaced[:, 0]
+    chosen = np.zeros(best.shape, dtype=np.int8)
+    for j in range(1, kept.shape[1]):
+        distance = kept[:, j : j + 1] + replaced[:, j]
+        closer = distance < best
+        chosen[closer] = j
+        np.minimum(best, distance, out=best)
+    return chosen
+
+
 def attribution(
     df: DataFrame,
     features: list[str],

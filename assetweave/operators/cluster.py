@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -68,13 +71,18 @@ def cluster(df: DataFrame, features: list[str], k: int = CLUSTERS, seed: int = S
     return train(complete, features, k, seed).transform(complete).drop("features_raw")
 
 
-def elbow(df: DataFrame, features: list[str], ks: range = range(2, 10), seed: int = SEED) -> DataFrame:
-    """Training cost for each k, over one cached scaled input."""
+def elbow(
+    df: DataFrame, features: list[str], ks: range = range(2, 10), seed: int = SEED, parallel: int = 4
+) -> DataFrame:
+    """Training cost for each k, over one cached scaled input; fits run side by side."""
     scaled = scale(df, features).select("features").persist()
+
+    def cost(k: int) -> tuple[int, float]:
+        return k, float(KMeans(k=k, seed=seed, featuresCol="features").fit(scaled).summary.trainingCost)
+
     try:
-        costs = [
-            (k, float(KMeans(k=k, seed=seed, featuresCol="features").fit(scaled).summary.trainingCost)) for k in ks
-        ]
+        with ThreadPool(parallel) as pool:
+            costs = pool.map(inheritable_thread_target(df.sparkSession)(cost), ks)
     finally:
         scaled.unpersist()
     return df.sparkSession.createDataFrame(costs, "k int, cost double")

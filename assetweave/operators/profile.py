@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from assetweave.session import shared_dir
 
 #: fixed values: the quantiles of a summary
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+#: of the quantile sketch: ranks are off by at most 1 / ACCURACY of the rows
+ACCURACY = 10_000
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
@@ -24,64 +28,106 @@ def null_profile(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """count, mean, std, min, quartiles and max per column.
 
-    Quartiles are exact, linearly interpolated. Values are first reduced to
-    (column, value, copies), so a frequent value is one row however often it
-    occurs; those rows are range-sorted and ranked by running totals that are
-    computed per partition. Only the few rows at the wanted ranks come together.
+    Quartiles are exact, linearly interpolated, without sorting the table: a
+    first pass takes the moments and a quantile sketch whose error is bounded,
+    a second pass counts the values below the bracket the sketch gives for each
+    quartile and keeps those inside, a few in ten thousand. Only these are ranked.
+    ``df`` is read twice.
     """
-    shared_dir(df.sparkSession)
-    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "column", "value")
-    values = values.where(F.col("value").isNotNull())
-    moments = values.groupBy("column").agg(
+    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    long = values.unpivot([], columns, "column", "value").where(F.col("value").isNotNull())
+    probabilities = [p for q in QUARTILES.values() for p in (q - 2 / ACCURACY, q + 2 / ACCURACY)]
+    moments = long.groupBy("column").agg(
         F.count("value").alias("count"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
+        F.percentile_approx("value", probabilities, ACCURACY).alias("sketch"),
     )
-    copies = values.groupBy("column", "value").agg(F.count(F.lit(1)).alias("copies"))
-    ordered = copies.orderBy("column", "value").withColumn("_part", F.spark_partition_id()).checkpoint()
-    # ranks start at zero in every column: totals of earlier partitions, then the rows before in the same one
-    totals = ordered.groupBy("column", "_part").agg(F.sum("copies").alias("_total"))
-    earlier = Window.partitionBy("column").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select("column", "_part", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_start"))
-    before = Window.partitionBy("column", "_part").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (
-        ordered.withColumn("_before", F.coalesce(F.sum("copies").over(before), F.lit(0)))
-        .join(F.broadcast(starts), ["column", "_part"])  # at most one row per column and partition
-        .withColumn("first_rank", F.col("_start") + F.col("_before"))
-        .withColumn("last_rank", F.col("first_rank") + F.col("copies") - 1)
-        .join(F.broadcast(moments.select("column", "count")), "column")  # one row per column
+    summary = {r["column"]: r for r in moments.collect()}  # one row per column
+    rows = [_summary_row(c, summary.get(c)) for c in columns]
+    kinds = {"column": "string", "count": "bigint"}
+    names = ["column", "count", "mean", "std", "min", "max"]
+    result = df.sparkSession.createDataFrame(rows, ", ".join(f"`{n}` {kinds.get(n, 'double')}" for n in names))
+    brackets = _brackets({c: r for c, r in summary.items() if r["count"]})
+    quartiles = _ranked(values, brackets)
+    return result.join(F.broadcast(quartiles), "column", "left").select(*names[:5], *QUARTILES, "max")
+
+
+def _summary_row(column: str, row) -> tuple:
+    if row is None:
+        return (column, 0, None, None, None, None)
+    return (column, row["count"], row["mean"], row["std"], row["min"], row["max"])
+
+
+def _brackets(summary: dict) -> list[tuple[str, str, float, float, float]]:
+    """(column, quartile, wanted rank, lowest, highest value that can have that rank)."""
+    found = []
+    for column, row in summary.items():
+        for i, (name, q) in enumerate(QUARTILES.items()):
+            low, high = row["sketch"][2 * i], row["sketch"][2 * i + 1]
+            if row["count"] <= 10 * ACCURACY:  # few rows: rank them all
+                low, high = row["min"], row["max"]
+            found.append((column, name, (row["count"] - 1) * q, low, high))
+    return found
+
+
+def _ranked(values: DataFrame, brackets: list[tuple[str, str, float, float, float]]) -> DataFrame:
+    """Interpolated values at the wanted ranks, one row per column."""
+    spark = values.sparkSession
+    below = values.agg(
+        *[F.count_if(F.col(c) < low).alias(f"{i}") for i, (c, _, _, low, _) in enumerate(brackets)]
+    ).first()
+    inside = [
+        F.when(F.col(c).between(low, high), F.struct(F.lit(i).alias("bracket"), F.col(c).alias("value")))
+        for i, (c, _, _, low, high) in enumerate(brackets)
+    ]
+    candidates = values.select(F.inline(F.filter(F.array(*inside), lambda x: x.isNotNull())))
+    copies = candidates.groupBy("bracket", "value").agg(F.count(F.lit(1)).alias("copies"))
+    wanted = spark.createDataFrame(
+        [(i, c, name, rank, below[i]) for i, (c, name, rank, _, _) in enumerate(brackets)],
+        "bracket int, column string, quartile string, rank double, below bigint",
     )
+    ranked = _with_rank(copies, "bracket", "value", "copies").join(F.broadcast(wanted), "bracket")
+    first = F.col("below") + F.col("_before")
 
     def at(rank):
-        inside = (F.col("first_rank") <= rank) & (rank <= F.col("last_rank"))
-        return F.max(F.when(inside, F.col("value")))
-
-    picks = []
-    for name, q in QUARTILES.items():
-        rank = (F.col("count") - 1) * q
-        picks += [at(F.floor(rank)).alias(f"_lo_{name}"), at(F.ceil(rank)).alias(f"_hi_{name}")]
-    picked = ranked.groupBy("column").agg(*picks)
-
-    def quantile(name: str, q: float):
-        rank = (F.col("count") - 1) * q
-        low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        return (low + (high - low) * (rank - F.floor(rank))).alias(name)
-
-    return moments.join(F.broadcast(picked), "column").select(
-        "column", "count", "mean", "std", "min", *[quantile(n, q) for n, q in QUARTILES.items()], "max"
+        return F.max(F.when((first <= rank) & (rank < first + F.col("copies")), F.col("value")))
+
+    picked = ranked.groupBy("column", "quartile", "rank").agg(
+        at(F.floor("rank")).alias("low"), at(F.ceil("rank")).alias("high")
+    )
+    value = F.col("low") + (F.col("high") - F.col("low")) * (F.col("rank") - F.floor("rank"))
+    return picked.groupBy("column").agg(
+        *[F.max(F.when(F.col("quartile") == name, value)).alias(name) for name in QUARTILES]
+    )
+
+
+def _with_rank(df: DataFrame, group: str, value: str, weight: str) -> DataFrame:
+    """Add ``_before``: total weight of smaller values in the group. Values are unique per group.
+
+    A range sort spreads even a single group over all tasks; it is checkpointed
+    because totals are taken per partition first.
+    """
+    shared_dir(df.sparkSession)
+    ordered = df.orderBy(group, value).withColumn("_part", F.spark_partition_id()).checkpoint()
+    totals = ordered.groupBy(group, "_part").agg(F.sum(weight).alias("_total"))
+    earlier = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(group, "_part", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_start"))
+    smaller = Window.partitionBy(group, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        ordered.withColumn("_inside", F.coalesce(F.sum(weight).over(smaller), F.lit(0)))
+        .join(F.broadcast(starts), [group, "_part"])  # at most one row per group and partition
+        .withColumn("_before", F.col("_start") + F.col("_inside"))
+        .drop("_part", "_start", "_inside")
     )
 
 
 def correlation(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Correlation matrix in long form (feature_a, feature_b, corr), one aggregation pass."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    one_row = df.agg(*[F.corr(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
-    cells = []
-    for i, (a, b) in enumerate(pairs):
-        for x, y in {(a, b), (b, a)}:
-            cells.append(
-                F.struct(F.lit(x).alias("feature_a"), F.lit(y).alias("feature_b"), F.col(f"{i}").alias("corr"))
-            )
-    return one_row.select(F.inline(F.array(*cells)))
+    """Correlation matrix of complete rows in long form (feature_a, feature_b, corr)."""
+    complete = df.select(*columns).na.drop()
+    vectors = VectorAssembler(inputCols=columns, outputCol="v").transform(complete)
+    matrix = Correlation.corr(vectors, "v").first()[0].toArray()
+    cells = [(a, b, float(matrix[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
+    return df.sparkSession.createDataFrame(cells, "feature_a string, feature_b string, corr double")

@@ -460,7 +460,8 @@ def a10_null_profile(spark, sf_dir):
 
 @query
 def a11_describe(spark, sf_dir):
-    summary = profile.describe(tables.bars(spark, sf_dir), ["open", "high", "low", "close", "volume"])
+    bars = sinks.stored(tables.bars(spark, sf_dir), "bars")
+    summary = profile.describe(bars, ["open", "high", "low", "close", "volume"])
     return rounded(summary, mean=4, std=4, p25=4, p50=4, p75=4)
 
 
