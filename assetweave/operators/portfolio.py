@@ -56,10 +56,15 @@ def scored_users(users: DataFrame) -> DataFrame:
     )
 
 
-def allocate(portfolio: DataFrame, by: list[str], weight: str = "momentum") -> DataFrame:
-    """Share of each row in its group's total ``weight``; NULL if the total is zero."""
-    total = F.sum(weight).over(Window.partitionBy(*by))
-    return portfolio.withColumn("share", ratio(weight, total))
+def allocate(portfolio: DataFrame, by: str = "risk_category", weight: str = "momentum") -> DataFrame:
+    """Share of each row in its group's total ``weight``; NULL if the total is zero.
+
+    A group may hold a third of all assets, so totals are aggregated map-side
+    and joined back. Groups are an enumeration (the risk classes): a broadcast.
+    """
+    totals = portfolio.groupBy(by).agg(F.sum(weight).alias("_total"))
+    joined = portfolio.join(F.broadcast(totals), by)
+    return joined.withColumn("share", ratio(weight, "_total")).drop("_total")
 
 
 def build_portfolio(users: DataFrame, assets: DataFrame, k: int = PER_CATEGORY, seed: int = SEED) -> DataFrame:
@@ -68,7 +73,7 @@ def build_portfolio(users: DataFrame, assets: DataFrame, k: int = PER_CATEGORY,
     The short list has at most k rows per (risk class, category), both of which
     are enumerations, so it is broadcast.
     """
-    short_list = allocate(choose_assets(assets, ["risk_category", "category"], k, seed), ["risk_category"])
+    short_list = allocate(choose_assets(assets, ["risk_category", "category"], k, seed))
     picks = short_list.select("ticker", "category", "risk_category", "momentum", "share")
     return (
         scored_users(users)

@@ -7,7 +7,7 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from assetweave.session import shared_dir
+from assetweave.session import stored
 
 #: fixed values: the quantiles of a summary
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
@@ -107,11 +107,10 @@ def _ranked(values: DataFrame, brackets: list[tuple[str, str, float, float, floa
 def _with_rank(df: DataFrame, group: str, value: str, weight: str) -> DataFrame:
     """Add ``_before``: total weight of smaller values in the group. Values are unique per group.
 
-    A range sort spreads even a single group over all tasks; it is checkpointed
-    because totals are taken per partition first.
+    A range sort spreads even a single group over all tasks. It is written out
+    with its partition numbers, because totals are taken per partition first.
     """
-    shared_dir(df.sparkSession)
-    ordered = df.orderBy(group, value).withColumn("_part", F.spark_partition_id()).checkpoint()
+    ordered = stored(df.orderBy(group, value).withColumn("_part", F.spark_partition_id()), "ranked")
     totals = ordered.groupBy(group, "_part").agg(F.sum(weight).alias("_total"))
     earlier = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(group, "_part", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_start"))

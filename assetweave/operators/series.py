@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from assetweave.session import shared_dir
+from assetweave.session import stored
 
 #: rows per block of the blocked layout
 BLOCK_ROWS = 65_536
@@ -55,13 +55,12 @@ def with_position(df: DataFrame, order: Sequence[str], name: str = "_position")
     """Add each row's 0-based position in the total order ``order``.
 
     A range shuffle spreads the rows evenly even if one key dominates. The
-    sorted rows are checkpointed in the shared folder, because the positions are
-    counted per partition first and the partitions must not move in between.
-    Only one small row per partition is ever brought together.
+    sorted rows are written to the shared folder together with their partition
+    and row number, so both stay fixed when rows are read again. Only one small
+    row per partition is ever brought together.
     """
-    spark = df.sparkSession
-    shared_dir(spark)
-    ordered = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id()).checkpoint()
+    numbered = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
+    ordered = stored(numbered, "ordered")
     partition = F.shiftright("_mid", 33)
     within = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = ordered.groupBy(partition.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))

@@ -352,6 +352,8 @@ PHIS = [f"phi_z_{c}" for c in ("beta", "daily_return", "dividend_yield", "volati
 ORACLE = {
     "s01_csv_scan": sql(ALL_BARS),
     "s02_ingest": sql("select * from sources"),
+    "s03_qualify": sql("select ticker, dt, close as close_bars_1 from bars"),
+    "s04_read_table": sql(PRICES),
     "s05_load_prices": sql("select ticker, dt, close, category from bars"),
     "s06_ingest_audit": sql("""
       select a.ticker, count(c.asset) as n_rows,
@@ -391,6 +393,10 @@ ORACLE = {
       select asset, date_text, close_text, last_updated, dt, close from curated
       where dt is not null and close is not null and last_updated is not null"""),
     "p04_project": sql("select dt, open, high, low, close, volume, ticker, category from bars"),
+    "p04_project_enhanced": sql(f"""
+      select dt, open, high, low, close, volume, ticker, category, momentum, {many(6, "beta", "alpha")}, pe_ratio,
+             dividend_yield
+      from enhanced where momentum is not null and alpha is not null and dividend_yield is not null and pe_ratio is not null"""),
     "p05_clean_money": sql("select asset, date_text, close_text, close from curated"),
     "p06_standardize_dates": sql(f"""
       select asset, strftime(dt, '%Y-%m-%d') as date_text, close_text,
@@ -408,6 +414,7 @@ ORACLE = {
     "p09_impute_mean": sql(
         f"select asset, dt, {r('coalesce(close, (select avg(close) from curated))', 6, 'close')} from curated"
     ),
+    "p10_require_columns": sql(ALL_BARS),
     "p11_ensure_features": sql(
         f"select ticker, dt, intraday_return, {many(6, 'volatility_10')}, {many(4, 'avg_volume_50', 'rsi_14')} from feats"
     ),
@@ -431,11 +438,15 @@ ORACLE = {
         )
         + " from attributes"
     ),
-    "p14_pending": sql(
+    "p14_j03_pending": sql(
         "select ticker from assets where ticker not in (select ticker from recent_risk where sd is not null)",
         start="2001-10-25",
     ),
     "p15_market_hours": sql("select event_id, ts, asset, price from open_quotes"),
+    "p16_attach_user": sql("""
+      select ticker, category, max(dt) as dt, arg_max(close, dt) as close, 30 as user_age, 50000 as investment_amount,
+             7 as investment_duration
+      from bars group by ticker, category"""),
     "p17_match_tolerance": sql("""
       select ticker, risk_category, tolerance, n_users, total_amount
       from labelled join (select tolerance, count(*) as n_users, cast(sum(amount) as bigint) as total_amount

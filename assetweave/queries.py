@@ -25,7 +25,7 @@ from assetweave.operators.series import DAILY, Series, in_blocks
 from assetweave.plans import assets as asset_plans
 from assetweave.plans import features
 from assetweave.plans.prices import returns_by_source
-from assetweave.session import new_path
+from assetweave.session import new_path, stored
 from assetweave.sources import market_tables as tables
 from assetweave.sources import readers, sinks
 from assetweave.streaming import quotes as stream
@@ -95,6 +95,19 @@ def s02_ingest(spark, sf_dir):
     return readers.ingest(_two_sources(spark, sf_dir))
 
 
+@query
+def s03_qualify(spark, sf_dir):
+    return readers.qualify(tables.bars(spark, sf_dir).select("ticker", "dt", "close"), "close", "bars", 1)
+
+
+@query
+def s04_read_table(spark, sf_dir):
+    path = new_path(spark, "table")
+    prices = tables.bars(spark, sf_dir).select(F.concat_ws("/", "ticker", "dt").alias("_id"), "ticker", "dt", "close")
+    sinks.append(prices, path)
+    return readers.read_table(spark, path)
+
+
 @query
 def s05_load_prices(spark, sf_dir):
     path = new_path(spark, "landed")
@@ -267,6 +280,12 @@ def p04_project(spark, sf_dir):
     return cleaning.project(tables.bars(spark, sf_dir), schemas.PROCESSED)
 
 
+@query
+def p04_project_enhanced(spark, sf_dir):
+    projected = cleaning.project(_enhanced(spark, sf_dir, True), schemas.PROCESSED_ENHANCED)
+    return rounded(projected, beta=6, alpha=6)
+
+
 @query
 def p05_clean_money(spark, sf_dir):
     return _raw(spark, sf_dir).select("asset", "date_text", "close_text", clean_money("close_text").alias("close"))
@@ -300,6 +319,11 @@ def p09_impute_mean(spark, sf_dir):
     return rounded(cleaning.impute_mean(curated, ["close"]), close=6)
 
 
+@query
+def p10_require_columns(spark, sf_dir):
+    return schemas.require_columns(tables.bars(spark, sf_dir), ["ticker", "dt", "close"])
+
+
 @query
 def p11_ensure_features(spark, sf_dir):
     wanted = ["intraday_return", "volatility_10", "avg_volume_50", "rsi_14"]
@@ -321,7 +345,7 @@ def p13_normalize_metadata(spark, sf_dir):
 
 
 @query
-def p14_pending(spark, sf_dir):
+def p14_j03_pending(spark, sf_dir):
     recent = readers.date_range(tables.bars(spark, sf_dir), "2001-10-25", "2001-11-05")
     meta = metrics.volatility(metrics.with_returns(recent))
     return merge.pending(tables.assets(spark, sf_dir), meta, ["daily_volatility"])
@@ -332,6 +356,12 @@ def p15_market_hours(spark, sf_dir):
     return tables.quotes(spark, sf_dir).where(cleaning.market_hours("ts"))
 
 
+@query
+def p16_attach_user(spark, sf_dir):
+    latest = portfolio.latest_per_asset(tables.bars(spark, sf_dir), ["ticker", "category"], ["close"])
+    return cleaning.attach_user(latest, 30, 50000, 7)
+
+
 @query
 def p17_match_tolerance(spark, sf_dir):
     matched = portfolio.match_tolerance(_labelled(spark, sf_dir), tables.users(spark, sf_dir))
@@ -460,7 +490,7 @@ def a10_null_profile(spark, sf_dir):
 
 @query
 def a11_describe(spark, sf_dir):
-    bars = sinks.stored(tables.bars(spark, sf_dir), "bars")
+    bars = stored(tables.bars(spark, sf_dir), "bars")
     summary = profile.describe(bars, ["open", "high", "low", "close", "volume"])
     return rounded(summary, mean=4, std=4, p25=4, p50=4, p75=4)
 
@@ -715,7 +745,7 @@ def o05_choose_assets(spark, sf_dir):
 
 
 def _basic(spark, sf_dir):
-    return sinks.stored(features.basic_features(tables.bars(spark, sf_dir)), "basic")
+    return stored(features.basic_features(tables.bars(spark, sf_dir)), "basic")
 
 
 @query
@@ -738,7 +768,7 @@ def m03_cluster_5(spark, sf_dir):
 
 
 def _all_features(spark, sf_dir):
-    return sinks.stored(features.ensure_features(_enhanced(spark, sf_dir, True), cluster.FEATURES_10), "features")
+    return stored(features.ensure_features(_enhanced(spark, sf_dir, True), cluster.FEATURES_10), "features")
 
 
 @query
@@ -759,7 +789,7 @@ def m04_silhouette(spark, sf_dir):
 
 def _labelled(spark, sf_dir):
     bars = tables.bars(spark, sf_dir)
-    latest = sinks.stored(asset_plans.latest_profile(bars, tables.fundamentals(spark, sf_dir)), "profile")
+    latest = stored(asset_plans.latest_profile(bars, tables.fundamentals(spark, sf_dir)), "profile")
     return asset_plans.labelled_assets(latest, VOLATILITY_CENTERS)
 
 
@@ -785,7 +815,7 @@ def m06_m07_train_and_score(spark, sf_dir):
 def _attributed(spark, sf_dir, target):
     columns = ["beta", "daily_return", "dividend_yield", "volatility_10"]
     bars = features.ensure_features(_enhanced(spark, sf_dir, True), ["intraday_return", "volatility_10"])
-    complete = sinks.stored(bars.select("ticker", "category", "dt", *columns).na.drop(), "explained")
+    complete = stored(bars.select("ticker", "category", "dt", *columns).na.drop(), "explained")
     scaled = cluster.standardize(complete, columns)
     names = [f"z_{c}" for c in columns]
     # a weighted summary of all rows: one background row per category
@@ -838,7 +868,7 @@ def m12_allocate(spark, sf_dir):
 @query
 def m12_allocate_class(spark, sf_dir):
     """One investor's amount over all assets of each risk class."""
-    shares = portfolio.allocate(_labelled(spark, sf_dir), ["risk_category"])
+    shares = portfolio.allocate(_labelled(spark, sf_dir))
     out = shares.select("ticker", "risk_category", (F.col("share") * 50000).alias("investment"))
     return rounded(out, investment=4)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(app: str = "assetweave", master: str | None = None, **conf: str) -> SparkSession:
@@ -32,16 +32,35 @@ def shared_dir(spark: SparkSession) -> str:
     may fall back to a folder of its own.
     """
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    folder = (
+        context.getConf().get("spark.checkpoint.dir")
+        or spark.conf.get("spark.checkpoint.dir", None)
+        or context.getCheckpointDir()
+    )
     if not folder:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = context.getCheckpointDir() or tempfile.mkdtemp(prefix="assetweave-")
-    if context.getCheckpointDir() is None:
+        folder = tempfile.mkdtemp(prefix="assetweave-")
         context.setCheckpointDir(folder)
-    return folder
+    return folder.rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing else uses.
+
+    All paths of an application are below one folder named after it, which can
+    be removed when the application has ended.
+    """
+    application = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/assetweave-{application}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and continue from there.
+
+    For rows that several passes read: they are computed once, and a lost
+    executor costs a re-read instead of a re-computation.
+    """
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assetweave.session import new_path
-
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Replace a CSV folder; every part file has the header."""
@@ -24,17 +22,6 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and continue from there.
-
-    For rows that several passes read: they are computed once, and a lost
-    executor costs a re-read instead of a re-computation.
-    """
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _versions(spark: SparkSession, table: str) -> list[int]:
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(table)
