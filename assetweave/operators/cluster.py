@@ -50,10 +50,15 @@ def scale(df: DataFrame, features: list[str]) -> DataFrame:
 
 
 def train(df: DataFrame, features: list[str], k: int = CLUSTERS, seed: int = SEED) -> PipelineModel:
-    """Scaler and K-Means in one model."""
+    """Scaler and K-Means in one model. The scaled rows are cached for the iterations."""
     require_columns(df, features)
-    kmeans = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="prediction")
-    return Pipeline(stages=[*_scaling(features), kmeans]).fit(df)
+    scaling = Pipeline(stages=_scaling(features)).fit(df)
+    scaled = scaling.transform(df).select("features").persist()
+    try:
+        kmeans = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="prediction").fit(scaled)
+    finally:
+        scaled.unpersist()
+    return PipelineModel(stages=[*scaling.stages, kmeans])
 
 
 def save(model: PipelineModel, path: str) -> None:

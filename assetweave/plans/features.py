@@ -17,7 +17,7 @@ from assetweave.operators.market import (
     with_market,
     with_market_returns,
 )
-from assetweave.operators.rolling import bands, with_deviations, with_means, with_rsi
+from assetweave.operators.rolling import bands, gains_and_losses, rsi, with_rolling
 from assetweave.operators.series import DAILY, Series
 
 BASIC = [
@@ -51,6 +51,9 @@ ADVANCED = [
 ]
 ENHANCED = ["momentum", "daily_return", "market_return", "beta", "alpha", "dividend_yield", "pe_ratio"]
 
+#: mean gain and loss, the ingredients of RSI
+RSI_MEANS = {"_up": ("_gain", 14), "_down": ("_loss", 14)}
+
 #: rows of history each set needs, for the blocked layout
 BASIC_LOOKBACK = 200
 ADVANCED_LOOKBACK = max(100, ema_lookback(50))
@@ -67,10 +70,11 @@ def basic_features(
         "sma_200": ("close", 200),
         "avg_volume_10": ("volume", 10),
         "avg_volume_50": ("volume", 50),
+        **RSI_MEANS,
     }
-    df = with_means(df, means, s, min_periods)
-    df = with_deviations(df, {"volatility_10": ("intraday_return", 10)}, s, min_periods)
-    df = with_rsi(df, s, min_periods=min_periods).select(*bars.columns, *BASIC)
+    deviations = {"volatility_10": ("intraday_return", 10)}
+    df = with_rolling(df.withColumns(gains_and_losses()), means, deviations, s, min_periods)
+    df = df.withColumn("rsi_14", rsi()).select(*bars.columns, *BASIC)
     return df.na.drop(subset=BASIC) if complete else df
 
 
@@ -92,16 +96,18 @@ def advanced_features(bars: DataFrame, s: Series = DAILY, complete: bool = True)
         "sma_50": ("close", 50),
         "sma_100": ("close", 100),
         "avg_volume_50": ("volume", 50),
+        **RSI_MEANS,
     }
     deviations = {
         "_deviation": ("close", 20),
         "historical_volatility": ("log_return", 20),
         "volatility_10": ("intraday_return", 10),
     }
-    df = with_deviations(with_means(df, means, s), deviations, s)
-    df = with_rsi(df, s).withColumns(bands("sma_20", "_deviation"))
-    df = with_ema(df, {"ema_20": 20, "ema_50": 50}, "close", s)
-    df = df.select(*bars.columns, *ADVANCED)
+    df = with_rolling(df.withColumns(gains_and_losses()), means, deviations, s)
+    df = df.withColumns({"rsi_14": rsi(), **bands("sma_20", "_deviation")})
+    # the exponential averages sort once more; leave behind what is no longer needed
+    df = df.drop("_gain", "_loss", "_up", "_down", "_deviation", "change")
+    df = with_ema(df, {"ema_20": 20, "ema_50": 50}, "close", s).select(*bars.columns, *ADVANCED)
     return df.na.drop(subset=ADVANCED) if complete else df
 
 
@@ -123,10 +129,12 @@ def ensure_features(df: DataFrame, columns: list[str], s: Series = DAILY) -> Dat
     keep = [*df.columns, *[c for c in absent if c in (*BASIC, *ADVANCED)]]
     if "intraday_return" not in df.columns and {"intraday_return", "volatility_10"} & set(absent):
         df = df.withColumn("intraday_return", intraday_return())
-    known = {"sma_50": ("close", 50), "avg_volume_50": ("volume", 50)}
-    df = with_means(df, {c: known[c] for c in absent if c in known}, s)
-    if "volatility_10" in absent:
-        df = with_deviations(df, {"volatility_10": ("intraday_return", 10)}, s)
+    means = {c: spec for c, spec in {"sma_50": ("close", 50), "avg_volume_50": ("volume", 50)}.items() if c in absent}
+    deviations = {"volatility_10": ("intraday_return", 10)} if "volatility_10" in absent else {}
+    if "rsi_14" in absent:
+        df = df.withColumn("_change", difference("close", 1, s)).withColumns(gains_and_losses("_change"))
+        means |= RSI_MEANS
+    df = with_rolling(df, means, deviations, s)
     if "rsi_14" in absent:
-        df = with_rsi(df.withColumn("change", difference("close", 1, s)), s)
+        df = df.withColumn("rsi_14", rsi())
     return df.select(*[c for c in keep if c in df.columns])

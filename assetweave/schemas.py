@@ -53,6 +53,36 @@ USERS = _struct(
     tolerance=T.StringType(),
 )
 
+#: stored tables read by name; with the schema given, opening one starts no job
+STORED = {
+    "lineitem": _struct(
+        l_orderkey=T.LongType(),
+        l_partkey=T.LongType(),
+        l_suppkey=T.LongType(),
+        l_linenumber=T.IntegerType(),
+        l_quantity=T.DoubleType(),
+        l_extendedprice=T.DoubleType(),
+        l_discount=T.DoubleType(),
+        l_tax=T.DoubleType(),
+        l_returnflag=T.StringType(),
+        l_linestatus=T.StringType(),
+        l_shipdate=T.TimestampNTZType(),
+    ),
+    "supplier": _struct(
+        s_suppkey=T.LongType(), s_name=T.StringType(), s_nationkey=T.IntegerType(), s_acctbal=T.DoubleType()
+    ),
+    "nation": _struct(n_nationkey=T.IntegerType(), n_name=T.StringType(), n_regionkey=T.IntegerType()),
+    "region": _struct(r_regionkey=T.IntegerType(), r_name=T.StringType()),
+    "customer": _struct(
+        c_custkey=T.LongType(),
+        c_name=T.StringType(),
+        c_nationkey=T.IntegerType(),
+        c_acctbal=T.DoubleType(),
+        c_mktsegment=T.StringType(),
+    ),
+    "events": EVENTS,
+}
+
 #: column list of the basic processed table
 PROCESSED = ["dt", "open", "high", "low", "close", "volume", "ticker", "category"]
 #: column list of the enhanced processed table

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from assetweave import schemas
+
 #: column added by document stores; never wanted
 STORE_ID = "_id"
 
@@ -20,9 +22,15 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A stored parquet table without the store's own id column."""
-    return spark.read.parquet(path).drop(STORE_ID)
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A stored parquet table without the store's own id column.
+
+    Tables of known name have a known schema; others may be given one. Only
+    without either does Spark look into the files for it.
+    """
+    schema = schema or schemas.STORED.get(path.rsplit("/", 1)[-1].removesuffix(".parquet"))
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(path).drop(STORE_ID)
 
 
 def load_prices(spark: SparkSession, folder: str, schema: T.StructType, tag: str = "asset") -> DataFrame:
