@@ -497,8 +497,7 @@ def a11_describe(spark, sf_dir):
 
 @query
 def a12_correlation(spark, sf_dir):
-    basic = features.basic_features(tables.bars(spark, sf_dir))
-    return rounded(profile.correlation(basic, features.BASIC), corr=6)
+    return rounded(profile.correlation(_basic(spark, sf_dir), features.BASIC), corr=6)
 
 
 @query
