@@ -11,10 +11,12 @@ from __future__ import annotations
 
 import itertools
 import math
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -105,6 +107,8 @@ def attribution(
                     out[f"phi_{c}"] = phi[:, i]
                 yield out
 
+    # ship this module's functions with the task, so that workers need only numpy and pandas
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     complete = df.select(*keep, *[c for c in features if c not in keep]).na.drop(subset=features)
     return complete.mapInPandas(explain, schema)
 

@@ -901,7 +901,7 @@ def _naive(df, column="ts"):
 @query
 def t01_market_snapshots(spark, sf_dir):
     path, checkpoint = new_path(spark, "snapshots"), new_path(spark, "checkpoint")
-    feed = stream.unique_quotes(stream.during_market(_quote_stream(spark, sf_dir)))
+    feed = stream.unique_quotes(stream.during_market(_quote_stream(spark, sf_dir)), lateness="40 days")
     stream.write_batches(stream.snapshots(feed), path, checkpoint).awaitTermination()
     return _naive(stream.read_newest(spark, path, ["window_start", "asset"]), "window_start")
 

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assetweave import schemas
+from assetweave.functions.cleaning import parse_date
 
 #: column added by document stores; never wanted
 STORE_ID = "_id"
 
+#: fixed value: the member of a vendor response that holds the daily bars
+VENDOR_ENVELOPE = "Time Series (Daily)"
 #: fixed values: vendor field names, in the order they become open..volume
 VENDOR_FIELDS = ["1. open", "2. high", "3. low", "4. close", "5. volume"]
 
@@ -72,18 +75,25 @@ def universe_of(bars: DataFrame) -> DataFrame:
     return bars.select("category", "ticker").distinct()
 
 
-def parse_daily_json(df: DataFrame, body: Column | str = "body") -> DataFrame:
-    """Vendor JSON, date -> five text fields, to one typed row per date."""
-    body = F.col(body) if isinstance(body, str) else body
-    by_date = F.from_json(body, "map<string,map<string,string>>")
+def parse_daily_json(df: DataFrame, body: str = "body", envelope: str | None = None) -> DataFrame:
+    """Vendor JSON, date -> five text fields, to one typed row per date.
+
+    ``envelope`` names the member that holds the dates, if the text is the whole response.
+    """
+    by_date = "map<string,map<string,string>>"
+    if envelope:
+        parsed = F.from_json(body, f"struct<`{envelope}`:{by_date}>")[envelope]
+    else:
+        parsed = F.from_json(body, by_date)
     fields = [F.col("fields")[name] for name in VENDOR_FIELDS]
     names = ["open", "high", "low", "close"]
+    others = [c for c in df.columns if c != body]
     return (
-        df.withColumn("_by_date", by_date)
-        .select(*[c for c in df.columns if c != "body"], F.explode("_by_date").alias("date_text", "fields"))
+        df.withColumn("_by_date", parsed)
+        .select(*others, F.explode("_by_date").alias("date_text", "fields"))
         .select(
-            *[c for c in df.columns if c != "body"],
-            F.try_to_timestamp("date_text", F.lit("yyyy-MM-dd")).cast("date").alias("dt"),
+            *others,
+            parse_date("date_text").alias("dt"),
             *[f.try_cast("double").alias(n) for f, n in zip(fields, names)],
             fields[4].try_cast("bigint").alias("volume"),
         )

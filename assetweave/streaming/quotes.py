@@ -15,9 +15,10 @@ from pyspark.sql.streaming import StreamingQuery
 from assetweave.operators.cleaning import market_hours
 from assetweave.operators.merge import dedupe
 
-#: fixed values: seconds between two polls of the feed, and how late a quote may come
+#: fixed value: time between two polls of the feed
 INTERVAL = "15 minutes"
-LATENESS = "40 days"
+#: how late a quote may come; bounds the state, so a replay of old files passes a longer one
+LATENESS = "1 day"
 
 
 def stream_table(

@@ -43,6 +43,14 @@ def test_vendor_json(spark):
     assert None in by_day and all(r.ticker == "A" for r in rows)
 
 
+def test_vendor_json_in_its_envelope(spark):
+    bars = {"2024-01-02": {name: "1" for name in readers.VENDOR_FIELDS}}
+    body = json.dumps({"Meta Data": {"2. Symbol": "A"}, readers.VENDOR_ENVELOPE: bars})
+    df = spark.createDataFrame([("A", body), ("B", '{"Note": "limit reached"}')], "ticker string, body string")
+    rows = readers.parse_daily_json(df, envelope=readers.VENDOR_ENVELOPE).collect()
+    assert [(r.ticker, r.dt, r.close) for r in rows] == [("A", dt.date(2024, 1, 2), 1.0)]
+
+
 def test_csv_round_trip_and_append(spark, make_bars):
     path = new_path(spark, "csv")
     bars = make_bars({"A": [1.25, 2.5]})
