@@ -143,7 +143,7 @@ def pack(rows: DataFrame, size: int = SEQUENCE) -> DataFrame:
     spark = rows.sparkSession
     kept = [(f"`{f.name}` {f.dataType.simpleString()}") for f in rows.schema]
     sorted_rows = rows.repartitionByRange("length", "doc_id", "start").sortWithinPartitions("length", "doc_id", "start")
-    numbered = stored(map_batches(sorted_rows, _number, ", ".join([*kept, X])), "ranked-pieces")
+    numbered = stored(map_batches(sorted_rows, _number, ", ".join([*kept, "_part int", "_rank long"])), "ranked-pieces")
     # one row per length and range: at most the sequence length plus the number of ranges
     counts = numbered.groupBy("length", "_part").agg(F.count("*").alias("n")).toPandas().sort_values(["length", "_part"])
     histogram = counts.groupby("length")["n"].sum().to_dict()
