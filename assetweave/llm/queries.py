@@ -6,11 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from assetweave.llm.decontam import op5_decontaminate
+from assetweave.llm.ngram_join import op4_ngram_jaccard
 from assetweave.llm.packing import op9_pack_sequences
+from assetweave.llm.secrets import op1_secret_novelty
+from assetweave.llm.token_counts import op8_token_counts
 from assetweave.llm.wavelet import op10_token_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op9_pack_sequences, op10_token_shards)
+    f.__name__: f
+    for f in (
+        op1_secret_novelty,
+        op4_ngram_jaccard,
+        op5_decontaminate,
+        op8_token_counts,
+        op9_pack_sequences,
+        op10_token_shards,
+    )
 }
 
 #: SQL twins, where SQL can express the operator

@@ -134,6 +134,34 @@ class WaveletMatrix:
             at = self._select_bit(level, bit, at - int(self.zeros[level]) if bit else at)
         return at
 
+    def _prefix(self) -> list[np.ndarray]:
+        """Ones before every place of every plane, unpacked once for queries in bulk."""
+        if not hasattr(self, "_sums"):
+            self._sums = [
+                np.concatenate([[0], np.cumsum(np.unpackbits(p, count=self.n, bitorder="little"), dtype=np.int32)])
+                for p in self.planes
+            ]
+        return self._sums
+
+    def rank_many(self, values: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """``rank`` for arrays of values and places."""
+        begin, end = np.zeros(len(ends), np.int64), ends
+        for level, sums in enumerate(self._prefix()):
+            one = values >> (self.bits - 1 - level) & 1 == 1
+            a, b = sums[begin], sums[end]
+            begin = np.where(one, self.zeros[level] + a, begin - a)
+            end = np.where(one, self.zeros[level] + b, end - b)
+        return end - begin
+
+    def access_many(self, places: np.ndarray) -> np.ndarray:
+        values = np.zeros(len(places), np.int64)
+        for level, sums in enumerate(self._prefix()):
+            ones = sums[places]
+            one = sums[places + 1] > ones
+            places = np.where(one, self.zeros[level] + ones, places - ones)
+            values = values << 1 | one
+        return values
+
     def decode(self) -> np.ndarray:
         """All values, by undoing the levels from the last to the first."""
         values = np.zeros(self.n, np.uint16 if self.bits <= 16 else np.uint32)
