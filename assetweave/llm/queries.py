@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from assetweave.llm.decontam import op5_decontaminate
 from assetweave.llm.ngram_join import op4_ngram_jaccard
 from assetweave.llm.packing import op9_pack_sequences
+from assetweave.llm.ppm import op7_ppm_scores
+from assetweave.llm.quality import op6_quality_crf
 from assetweave.llm.secrets import op1_secret_novelty
 from assetweave.llm.token_counts import op8_token_counts
 from assetweave.llm.wavelet import op10_token_shards
@@ -19,6 +21,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_secret_novelty,
         op4_ngram_jaccard,
         op5_decontaminate,
+        op6_quality_crf,
+        op7_ppm_scores,
         op8_token_counts,
         op9_pack_sequences,
         op10_token_shards,
