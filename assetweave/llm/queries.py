@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from assetweave.llm.ann import op2_kmeans_tree_neighbours
 from assetweave.llm.decontam import op5_decontaminate
 from assetweave.llm.ngram_join import op4_ngram_jaccard
 from assetweave.llm.packing import op9_pack_sequences
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_secret_novelty,
+        op2_kmeans_tree_neighbours,
         op4_ngram_jaccard,
         op5_decontaminate,
         op6_quality_crf,
