@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from assetweave.llm import licenses
 from assetweave.llm.ann import op2_kmeans_tree_neighbours
 from assetweave.llm.decontam import op5_decontaminate
+from assetweave.llm.licenses import op3_license_rules
 from assetweave.llm.ngram_join import op4_ngram_jaccard
 from assetweave.llm.packing import op9_pack_sequences
 from assetweave.llm.ppm import op7_ppm_scores
@@ -21,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_secret_novelty,
         op2_kmeans_tree_neighbours,
+        op3_license_rules,
         op4_ngram_jaccard,
         op5_decontaminate,
         op6_quality_crf,
@@ -32,4 +35,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: SQL twins, where SQL can express the operator
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op3_license_rules": licenses.oracle()}
