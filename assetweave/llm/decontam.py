@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetweave.llm.tasks import Batches, map_batches
+from assetweave.llm.tasks import Batches, fresh, map_batches
 from assetweave.llm.text import ALNUM, chunks, text_of, words
 from assetweave.llm.wavelet import WaveletMatrix
 
@@ -31,8 +31,9 @@ BLOCK_BYTES = 8 << 20
 #: every so many text places keep their suffix position
 SAMPLE = 16
 
-_FOUND = pa.schema([("_n_words", pa.int64()), ("_spans", pa.list_(pa.int32())), ("_items", pa.list_(pa.string()))])
-_FOUND_DDL = "_n_words long, _spans array<int>, _items array<string>"
+#: columns added to the documents: words, spans of hit words, items found
+FOUND = {"n_words": "long", "spans": "array<int>", "items": "array<string>"}
+_ARROW = [pa.int64(), pa.list_(pa.int32()), pa.list_(pa.string())]
 
 
 def suffix_array(s: np.ndarray) -> np.ndarray:
@@ -182,11 +183,17 @@ def _blocks(benchmark: DataFrame, size: int):
         yield rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i).toPandas()
 
 
+def found_names(docs: DataFrame) -> list[str]:
+    return fresh(docs, *FOUND)
+
+
 def find_passages(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
-    """All columns of ``docs`` and ``_n_words``, ``_spans`` (word numbers, end exclusive), ``_items``."""
-    context, schema = docs.sparkSession.sparkContext, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    """All columns of ``docs``, then words, spans (word numbers, end exclusive) and items, named as ``found_names``."""
+    context, added = docs.sparkSession.sparkContext, found_names(docs)
+    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
+    schema = ", ".join([*schema, *(f"`{name}` {kind}" for name, kind in zip(added, FOUND.values()))])
     found = docs
     for number, items in enumerate(_blocks(benchmark, block_bytes)):
         block = context.broadcast(Benchmark(items, window))
@@ -199,11 +206,10 @@ def find_passages(
                     columns, old, known = columns[:-3], columns[-2].to_pylist(), columns[-1].to_pylist()
                     spans = [_merged(a, b) if a and b else a or b for a, b in zip(old, spans)]
                     names = [sorted({*a, *b}) for a, b in zip(known, names)]
-                extra = [pa.array(x, f.type) for x, f in zip((n, spans, names), _FOUND)]
-                names = [*batch.schema.names[: len(columns)], *_FOUND.names]
-                yield pa.RecordBatch.from_arrays([*columns, *extra], names)
+                extra = [pa.array(x, kind) for x, kind in zip((n, spans, names), _ARROW)]
+                yield pa.RecordBatch.from_arrays([*columns, *extra], [*batch.schema.names[: len(columns)], *added])
 
-        found = map_batches(found, search, f"{schema}, {_FOUND_DDL}")
+        found = map_batches(found, search, schema)
     return found
 
 
@@ -211,24 +217,24 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document: words, hit words, items found."""
     found = find_passages(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), benchmark)
     hit = F.aggregate(
-        F.sequence(F.lit(0), F.size("_spans") - 2, F.lit(2)),
+        F.sequence(F.lit(0), F.size("spans") - 2, F.lit(2)),
         F.lit(0).cast("long"),
-        lambda sum_, i: sum_ + F.col("_spans")[i + 1] - F.col("_spans")[i],
+        lambda sum_, i: sum_ + F.col("spans")[i + 1] - F.col("spans")[i],
     )
-    n_hit = F.when(F.size("_spans") > 0, hit).otherwise(F.lit(0).cast("long"))
     return found.select(
         "doc_id",
-        F.col("_n_words").alias("n_words"),
-        n_hit.alias("n_hit"),
-        F.size("_items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("_items", ","), 256).alias("items_sha256"),
-        (F.size("_spans") > 0).alias("contaminated"),
+        "n_words",
+        F.when(F.size("spans") > 0, hit).otherwise(F.lit(0).cast("long")).alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
     )
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no window occurs, with their columns."""
-    return find_passages(docs, benchmark).where(F.size("_spans") == 0).drop(*_FOUND.names)
+    n_words, spans, items = found_names(docs)
+    return find_passages(docs, benchmark).where(F.size(spans) == 0).drop(n_words, spans, items)
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

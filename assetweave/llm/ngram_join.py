@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from assetweave.llm.graph import components
-from assetweave.llm.tasks import Batches, map_batches
+from assetweave.llm.tasks import Batches, fresh, map_batches
 from assetweave.llm.text import NOT_SPACE, Words, chunks, mix, text_of, words
 from assetweave.session import stored
 
@@ -319,9 +319,10 @@ def near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
 def without_near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """The documents with the smallest doc_id of each component, all columns kept."""
     found = near_duplicates(docs, least)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
+    (name,) = fresh(docs, "kept_id")
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(name)).distinct()
     # a repeated id stays once
-    one = docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")), "left_semi")
+    one = docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col(name)), "left_semi")
     return one.dropDuplicates(["doc_id"])
 
 

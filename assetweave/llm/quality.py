@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetweave.llm.tasks import Batches, map_batches
+from assetweave.llm.tasks import Batches, fresh, map_batches
 from assetweave.llm.text import LOWER, NOT_SPACE, bounds, buffers, chunks, mix, text_of
 
 #: labelled documents that the model is fitted on, and their longest text
@@ -214,8 +214,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that score ``THRESHOLD`` or more, with their columns."""
-    scored = with_score(docs, fit_quality(docs, labels), "_quality")
-    return scored.where(F.col("_quality") >= THRESHOLD).drop("_quality")
+    (name,) = fresh(docs, "quality_score")
+    return with_score(docs, fit_quality(docs, labels), name).where(F.col(name) >= THRESHOLD).drop(name)
 
 
 def op6_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:

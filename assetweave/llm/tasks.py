@@ -41,3 +41,14 @@ def map_batches(df: DataFrame, fn: Callable[[Batches], Batches], schema) -> Data
     """``df.mapInArrow`` with a function of this package."""
     send_code(df.sparkSession)
     return df.mapInArrow(fn, schema)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores in front until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
