@@ -3,8 +3,10 @@
 The value of a set of features is the mean outcome when those features keep
 their value and the others come from background rows. Rows are independent of
 each other given the background, so the table is mapped in place: no shuffle,
-numpy per Arrow batch. The background is a summary with weights (say, the mean
-row per category and its row count) and must be small; it is checked.
+numpy per Arrow batch. The background is a weighted summary of all rows: they are
+sorted into cells by where each feature lies between fixed cuts, and a cell counts
+with its mean row and its number of rows. Cuts are a parameter; with m features and
+c cuts there are at most (c + 1)^m cells, which is checked.
 """
 
 from __future__ import annotations
@@ -21,11 +23,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_BACKGROUND = 1000
+#: background rows that the kernel takes
+MAX_BACKGROUND = 4096
+#: of standardised features
+CUTS = (-1.0, 0.0, 1.0)
+
+
+def cells(scaled: DataFrame, features: list[str], cuts: tuple[float, ...] = CUTS) -> DataFrame:
+    """All rows as cells: mean of every feature, and ``weight``, the number of rows."""
+    if (len(cuts) + 1) ** len(features) > MAX_BACKGROUND:
+        raise ValueError(f"{len(cuts)} cuts of {len(features)} features can make more than {MAX_BACKGROUND} cells")
+    places = []
+    for c in features:
+        place = F.lit(0)
+        for cut in cuts:
+            place = place + (F.col(c) > cut).cast("int")
+        places.append(place.alias(f"_{c}"))
+    means = [F.avg(c).alias(c) for c in features]
+    return scaled.na.drop(subset=features).groupBy(*places).agg(*means, F.count(F.lit(1)).alias("weight")).select(
+        *features, "weight"
+    )
 
 
 def shapley(
-    rows: np.ndarray, background: np.ndarray, weights: np.ndarray, centers: np.ndarray, target: str
+    rows: np.ndarray, background: np.ndarray, weights: np.ndarray, centers: np.ndarray, target: str | int
 ) -> tuple[np.ndarray, np.ndarray]:
     """Cluster and attributions (rows x features) for a batch of rows."""
     n, m = rows.shape
@@ -40,7 +61,10 @@ def shapley(
         keep = np.zeros(m, dtype=bool)
         keep[list(members)] = True
         chosen = _nearest(own[:, :, keep].sum(axis=2), other[:, :, ~keep].sum(axis=2))
-        outcome = chosen == assigned[:, None] if target == "own" else chosen
+        if isinstance(target, int):
+            outcome = chosen == target
+        else:
+            outcome = chosen == assigned[:, None] if target == "own" else chosen
         value[members] = outcome @ weights
     phi = np.zeros((n, m))
     for members, v in value.items():
@@ -70,19 +94,22 @@ def attribution(
     features: list[str],
     centers: list[list[float]],
     background: DataFrame,
-    target: str = "id",
+    target: str | int = "own",
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """``keep``, ``cluster`` and ``phi_<feature>`` of every row whose features are complete.
 
-    ``background`` has the features and a column ``weight``. ``target="id"``
-    explains the cluster number, ``"own"`` the membership in the row's cluster.
+    ``background`` has the features and a column ``weight``. ``target="own"``
+    explains the membership in the row's own cluster, a number the membership in
+    that cluster, and ``"id"`` the cluster number itself.
     """
     sample = background.select(*features, "weight").limit(MAX_BACKGROUND + 1).toPandas()
     if len(sample) > MAX_BACKGROUND:
         raise ValueError(f"summarise the background to at most {MAX_BACKGROUND} rows")
     points = sample[features].to_numpy(dtype=float)
     weights = sample["weight"].to_numpy(dtype=float)
+    if not len(points):
+        raise ValueError("the background has no rows")
     weights = weights / weights.sum()
     middles = np.asarray(centers, dtype=float)
     kept = df.select(*keep).schema.fields

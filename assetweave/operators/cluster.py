@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assetweave.functions.risk import RISK_LABELS
-from assetweave.operators.cleaning import impute_mean
 from assetweave.schemas import require_columns
 
 #: fixed values: the three feature lists that models are trained on
@@ -36,21 +36,39 @@ CLUSTERS = 3
 SEED = 42
 
 
+def _filled(features: list[str]) -> list[str]:
+    return [f"_filled_{c}" for c in features]
+
+
 def _scaling(features: list[str]) -> list:
+    """NULL and NaN become the training mean, so that every row has a vector; then standardise."""
     return [
-        VectorAssembler(inputCols=features, outputCol="features_raw", handleInvalid="skip"),
+        Imputer(inputCols=features, outputCols=_filled(features), strategy="mean"),
+        VectorAssembler(inputCols=_filled(features), outputCol="features_raw", handleInvalid="error"),
         StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True),
     ]
 
 
+def _transform(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """One output row per input row, without the helper columns."""
+    return model.transform(df).drop("features_raw", *model.stages[0].getOutputCols())
+
+
+def scaler_and_centers(model: PipelineModel) -> tuple[list[float], list[float], list[list[float]]]:
+    """Means, deviations and centers of a trained model."""
+    scaler, kmeans = model.stages[-2], model.stages[-1]
+    centers = [[float(v) for v in center] for center in kmeans.clusterCenters()]
+    return [float(v) for v in scaler.mean], [float(v) for v in scaler.std], centers
+
+
 def scale(df: DataFrame, features: list[str]) -> DataFrame:
     """Add the standardised feature vector ``features``."""
     require_columns(df, features)
-    return Pipeline(stages=_scaling(features)).fit(df).transform(df).drop("features_raw")
+    return _transform(Pipeline(stages=_scaling(features)).fit(df), df)
 
 
 def train(df: DataFrame, features: list[str], k: int = CLUSTERS, seed: int = SEED) -> PipelineModel:
-    """Scaler and K-Means in one model. The scaled rows are cached for the iterations."""
+    """Means, scaler and K-Means in one model. The scaled rows are cached for the iterations."""
     require_columns(df, features)
     scaling = Pipeline(stages=_scaling(features)).fit(df)
     scaled = scaling.transform(df).select("features").persist()
@@ -66,14 +84,18 @@ def save(model: PipelineModel, path: str) -> None:
 
 
 def score(df: DataFrame, path: str) -> DataFrame:
-    """Cluster rows with a saved model, using the scaler it was trained with."""
-    return PipelineModel.load(path).transform(df).drop("features_raw")
+    """Cluster rows with a saved model, using the means and the scaler it was trained with."""
+    return predict(PipelineModel.load(path), df)
+
+
+def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """Every row with its cluster, ``prediction``."""
+    return _transform(model, df)
 
 
 def cluster(df: DataFrame, features: list[str], k: int = CLUSTERS, seed: int = SEED) -> DataFrame:
     """Impute, scale and cluster; ``prediction`` holds the cluster."""
-    complete = impute_mean(df, features)
-    return train(complete, features, k, seed).transform(complete).drop("features_raw")
+    return predict(train(df, features, k, seed), df)
 
 
 def elbow(
@@ -98,15 +120,22 @@ def silhouette(clustered: DataFrame) -> float:
     return ClusteringEvaluator(featuresCol="features", predictionCol="prediction").evaluate(clustered)
 
 
-def risk_label(clustered: DataFrame, by: str = "volatility_10", cluster_column: str = "prediction") -> DataFrame:
+def risk_label(
+    clustered: DataFrame,
+    by: str = "volatility_10",
+    cluster_column: str = "prediction",
+    labels: Sequence[str] = RISK_LABELS,
+) -> DataFrame:
     """Name clusters from low to high risk in the order of their mean ``by``.
 
     The mapping has one row per cluster, so its window and broadcast are tiny.
+    More clusters than ``labels`` are an error.
     """
     means = clustered.groupBy(cluster_column).agg(F.avg(by).alias("_mean"))
     rank = F.row_number().over(Window.orderBy(F.col("_mean").asc_nulls_last(), cluster_column))
-    names = F.array(*[F.lit(label) for label in RISK_LABELS])
-    mapping = means.select(cluster_column, names[F.least(rank, F.lit(len(RISK_LABELS))) - 1].alias("risk_category"))
+    names = F.array(*[F.lit(label) for label in labels])
+    too_many = F.raise_error(F.lit(f"more clusters than the {len(labels)} labels"))
+    mapping = means.select(cluster_column, F.when(rank <= len(labels), names[rank - 1]).otherwise(too_many).alias("risk_category"))
     return clustered.join(F.broadcast(mapping), cluster_column)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assetweave.operators import cluster
-from assetweave.operators.attribution import attribution, attribution_by_cluster
+from assetweave.operators.attribution import attribution, attribution_by_cluster, cells
 from assetweave.operators.cleaning import drop_incomplete, impute_mean
 from assetweave.operators.portfolio import build_portfolio, latest_per_asset
 from assetweave.plans.features import ensure_features, enhanced_bars
@@ -35,10 +35,10 @@ def recommend(bars: DataFrame, market: DataFrame, eps: DataFrame, users: DataFra
 
     model = cluster.train(features, FEATURES)
     cluster.save(model, f"{folder}/model")
-    labelled = cluster.risk_label(model.transform(features), by="volatility_10")
-    clustered = write("clustered", labelled.drop("features", "features_raw"))
+    labelled = cluster.risk_label(cluster.predict(model, features), by="volatility_10")
+    clustered = write("clustered", labelled.drop("features"))
 
-    write("interpretation", attribution_by_cluster(_explained(clustered, model)))
+    write("interpretation", attribution_by_cluster(explained(clustered, model)))
 
     latest = latest_per_asset(clustered, ["ticker", "category"], ["momentum", "pe_ratio", "risk_category"])
     write("portfolios", build_portfolio(users, latest))
@@ -46,16 +46,11 @@ def recommend(bars: DataFrame, market: DataFrame, eps: DataFrame, users: DataFra
     return tables
 
 
-def _explained(clustered: DataFrame, model) -> DataFrame:
-    """Attribution in the model's scaled space, against the mean row of each category."""
-    scaler, kmeans = model.stages[1], model.stages[2]
+def explained(clustered: DataFrame, model, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Attribution of the trained clusters in the model's scaled space, against all rows in cells."""
+    means, deviations, centers = cluster.scaler_and_centers(model)
     scaled = clustered.withColumns(
-        {
-            f"z_{c}": (F.col(c) - float(m)) / (float(s) or 1.0)
-            for c, m, s in zip(FEATURES, scaler.mean, scaler.std)
-        }
+        {f"z_{c}": (F.col(c) - m) / (s or 1.0) for c, m, s in zip(FEATURES, means, deviations)}
     )
     names = [f"z_{c}" for c in FEATURES]
-    background = scaled.groupBy("category").agg(*[F.avg(c).alias(c) for c in names], F.count(F.lit(1)).alias("weight"))
-    centers = [[float(v) for v in center] for center in kmeans.clusterCenters()]
-    return attribution(scaled, names, centers, background, target="own")
+    return attribution(scaled, names, centers, cells(scaled, names), target="own", keep=keep)

@@ -81,7 +81,10 @@ def brute_force(x, background, weights, centers, outcome):
         total = 0.0
         for b, w in zip(background, weights):
             mixed = np.array([x[i] if i in members else b[i] for i in range(len(x))])
-            total += w * (predict(mixed) if outcome == "id" else predict(mixed) == own)
+            if outcome == "id":
+                total += w * predict(mixed)
+            else:
+                total += w * (predict(mixed) == (own if outcome == "own" else outcome))
         return total / sum(weights)
 
     phi, m = [], len(x)
@@ -96,7 +99,7 @@ def brute_force(x, background, weights, centers, outcome):
     return own, phi, value(set(range(m))) - value(set())
 
 
-@pytest.mark.parametrize("target", ["id", "own"])
+@pytest.mark.parametrize("target", ["id", "own", 1])
 def test_attribution_is_exact_shapley(spark, target):
     rng = np.random.default_rng(6)
     names = ["a", "b", "c", "d"]
@@ -117,6 +120,38 @@ def test_attribution_is_exact_shapley(spark, target):
     assert means.count() == len({r.cluster for r in got})
 
 
+def test_every_row_is_scored_and_missing_values_are_the_training_means(spark, points, tmp_path):
+    model = cluster.train(points, FEATURES)
+    cluster.save(model, str(tmp_path / "gaps"))
+    means = points.agg(*[F.avg(c).alias(c) for c in FEATURES]).first()
+    odd = spark.createDataFrame(
+        [(1, None, 4.0, 1.0), (2, float("nan"), 4.0, 1.0), (3, means.a, 4.0, 1.0)], "id int, a double, b double, volatility_10 double"
+    )
+    got = cluster.score(odd, str(tmp_path / "gaps"))
+    assert {r.prediction for r in got.collect()} == {r.prediction for r in got.where("id = 3").collect()}
+    assert got.count() == 3 and cluster.scale(points, FEATURES).count() == points.count()
+    assert got.columns == [*odd.columns, "features", "prediction"]
+
+
+def test_more_clusters_than_labels_are_an_error(points):
+    clustered = cluster.cluster(points, FEATURES, k=5)
+    with pytest.raises(Exception, match="more clusters than the 3 labels"):
+        cluster.risk_label(clustered).collect()
+    five = cluster.risk_label(clustered, labels=["1", "2", "3", "4", "5"])
+    assert five.select("risk_category").distinct().count() == 5
+
+
+def test_cells_cover_all_rows(spark):
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame(pd.DataFrame(rng.normal(size=(500, 2)), columns=["a", "b"])).repartition(3)
+    cells = attribution.cells(df, ["a", "b"]).collect()
+    assert sum(r.weight for r in cells) == 500 and len(cells) <= 16
+    mean = df.agg(F.avg("a")).first()[0]
+    assert sum(r.a * r.weight for r in cells) / 500 == pytest.approx(mean)
+    with pytest.raises(ValueError, match="cells"):
+        attribution.cells(df, ["a"] * 9)
+
+
 def test_background_must_be_a_summary(spark, monkeypatch):
     monkeypatch.setattr(attribution, "MAX_BACKGROUND", 2)
     df = spark.createDataFrame([(1.0, 1.0), (2.0, 1.0), (3.0, 1.0)], "a double, weight double")
