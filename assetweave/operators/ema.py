@@ -1,6 +1,8 @@
 """Exponential moving average (span n, no bias adjustment, seeded with the first value).
 
-``y0 = x0;  y[t] = a x[t] + q y[t-1]`` with ``a = 2 / (span + 1)``, ``q = 1 - a``.
+``y0 = x0;  y[t] = a x[t] + q y[t-1]`` with ``a = 2 / (span + 1)``, ``q = 1 - a``,
+over the known values: the first known value is the seed, a missing one (NULL or
+NaN) leaves the average as it is, and before the seed there is none.
 
 The recurrence is linear, so it is cut into steps of ``STEP`` rows:
 
@@ -34,10 +36,12 @@ def ema_lookback(span: int) -> int:
     return 1 if q == 0 else math.ceil(NEGLIGIBLE / -math.log(q)) + 1
 
 
-def with_steps(df: DataFrame, s: Series = DAILY) -> DataFrame:
-    """Add row number, step and offset in the step; next to other windows they share one pass."""
+def with_steps(df: DataFrame, s: Series = DAILY, column: str = "close") -> DataFrame:
+    """Add number among the known values, step and offset in the step; next to other windows they share one pass."""
+    so_far = s.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        df.withColumn("_rn", F.row_number().over(s.window) - 1)
+        df.withColumn("_known", F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double")))
+        .withColumn("_rn", F.sum(F.col("_known").cast("long")).over(so_far) - 1)
         .withColumn("_step", F.floor(F.col("_rn") / STEP))
         .withColumn("_off", F.col("_rn") % STEP)
     )
@@ -46,10 +50,10 @@ def with_steps(df: DataFrame, s: Series = DAILY) -> DataFrame:
 def with_ema(df: DataFrame, spans: dict[str, int], column: str = "close", s: Series = DAILY) -> DataFrame:
     """Add one average per entry of ``spans`` (output name -> span)."""
     if "_step" not in df.columns:
-        df = with_steps(df, s)
+        df = with_steps(df, s, column)
     rows = (Window.unboundedPreceding, Window.currentRow)
-    in_step = Window.partitionBy(*s.by, "_step").orderBy("_off").rowsBetween(*rows)
-    along = Window.partitionBy(*s.by).orderBy("_step", "_off")
+    in_step = Window.partitionBy(*s.by, "_known", "_step").orderBy("_off").rowsBetween(*rows)
+    along = Window.partitionBy(*s.by, "_known").orderBy("_step", "_off")
 
     x, off = F.col(column), F.col("_off")
     q = {name: 1 - 2 / (span + 1) for name, span in spans.items() if span > 1}
@@ -68,7 +72,7 @@ def with_ema(df: DataFrame, spans: dict[str, int], column: str = "close", s: Ser
         )
     for stage in (fed, local, carry, result):
         df = df.withColumns(stage)
-    for name, span in spans.items():
-        if span == 1:
-            df = df.withColumn(name, F.col(column))
-    return df.drop("_rn", "_step", "_off", *fed, *local, *carry)
+    df = df.withColumns({name: F.col(column) for name, span in spans.items() if span == 1})
+    so_far = s.window.rowsBetween(*rows)
+    df = df.withColumns({n: F.last(F.when(F.col("_known"), F.col(n)), ignorenulls=True).over(so_far) for n in spans})
+    return df.drop("_known", "_rn", "_step", "_off", *fed, *local, *carry)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, Window
@@ -30,62 +32,48 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
 
     Quartiles are exact, linearly interpolated, without sorting the table: a
     first pass takes the moments and a quantile sketch whose error is bounded,
-    a second pass counts the values below the bracket the sketch gives for each
-    quartile and keeps those inside, a few in ten thousand. Only these are ranked.
-    ``df`` is read twice.
+    a second pass counts the values below the bracket that the sketch gives for
+    each quartile and keeps those inside, a few in ten thousand. Only these are
+    ranked. A bracket that doesn't hold the wanted ranks is opened to the whole
+    column. ``df`` is read twice.
     """
     values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    long = values.unpivot([], columns, "column", "value").where(F.col("value").isNotNull())
     probabilities = [p for q in QUARTILES.values() for p in (q - 2 / ACCURACY, q + 2 / ACCURACY)]
-    moments = long.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        F.percentile_approx("value", probabilities, ACCURACY).alias("sketch"),
-    )
-    summary = {r["column"]: r for r in moments.collect()}  # one row per column
-    rows = [_summary_row(c, summary.get(c)) for c in columns]
-    kinds = {"column": "string", "count": "bigint"}
+    moments = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    moments["sketch"] = lambda c: F.percentile_approx(c, probabilities, ACCURACY)
+    row = values.agg(*[f(c).alias(f"{i}_{name}") for i, c in enumerate(columns) for name, f in moments.items()]).first()
+    summary = {c: {name: row[f"{i}_{name}"] for name in moments} for i, c in enumerate(columns)}
     names = ["column", "count", "mean", "std", "min", "max"]
+    kinds = {"column": "string", "count": "bigint"}
+    rows = [(c, *(summary[c][n] for n in names[1:])) for c in columns]
     result = df.sparkSession.createDataFrame(rows, ", ".join(f"`{n}` {kinds.get(n, 'double')}" for n in names))
-    brackets = _brackets({c: r for c, r in summary.items() if r["count"]})
-    quartiles = _ranked(values, brackets)
+    quartiles = _quartiles(values, {c: r for c, r in summary.items() if r["count"]})
     return result.join(F.broadcast(quartiles), "column", "left").select(*names[:5], *QUARTILES, "max")
 
 
-def _summary_row(column: str, row) -> tuple:
-    if row is None:
-        return (column, 0, None, None, None, None)
-    return (column, row["count"], row["mean"], row["std"], row["min"], row["max"])
+#: (column, quartile, wanted rank, lowest, highest value that can have that rank)
+Bracket = tuple[str, str, float, float, float]
 
 
-def _brackets(summary: dict) -> list[tuple[str, str, float, float, float]]:
-    """(column, quartile, wanted rank, lowest, highest value that can have that rank)."""
-    found = []
+def _quartiles(values: DataFrame, summary: dict) -> DataFrame:
+    """Interpolated values at the wanted ranks, one row per column."""
+    brackets = []
     for column, row in summary.items():
         for i, (name, q) in enumerate(QUARTILES.items()):
-            low, high = row["sketch"][2 * i], row["sketch"][2 * i + 1]
-            if row["count"] <= 10 * ACCURACY:  # few rows: rank them all
-                low, high = row["min"], row["max"]
-            found.append((column, name, (row["count"] - 1) * q, low, high))
-    return found
-
-
-def _ranked(values: DataFrame, brackets: list[tuple[str, str, float, float, float]]) -> DataFrame:
-    """Interpolated values at the wanted ranks, one row per column."""
-    spark = values.sparkSession
-    below = values.agg(
-        *[F.count_if(F.col(c) < low).alias(f"{i}") for i, (c, _, _, low, _) in enumerate(brackets)]
-    ).first()
-    inside = [
-        F.when(F.col(c).between(low, high), F.struct(F.lit(i).alias("bracket"), F.col(c).alias("value")))
-        for i, (c, _, _, low, high) in enumerate(brackets)
+            brackets.append((column, name, (row["count"] - 1) * q, row["sketch"][2 * i], row["sketch"][2 * i + 1]))
+    below, copies = _candidates(values, brackets)
+    inside = {r["bracket"]: r["n"] for r in copies.groupBy("bracket").agg(F.sum("copies").alias("n")).collect()}
+    misses = [
+        i
+        for i, (_, _, rank, _, _) in enumerate(brackets)
+        if not below[i] <= math.floor(rank) <= math.ceil(rank) < below[i] + inside.get(i, 0)
     ]
-    candidates = values.select(F.inline(F.filter(F.array(*inside), lambda x: x.isNotNull())))
-    copies = candidates.groupBy("bracket", "value").agg(F.count(F.lit(1)).alias("copies"))
-    wanted = spark.createDataFrame(
+    if misses:
+        for i in misses:
+            column, name, rank, _, _ = brackets[i]
+            brackets[i] = (column, name, rank, summary[column]["min"], summary[column]["max"])
+        below, copies = _candidates(values, brackets)
+    wanted = values.sparkSession.createDataFrame(
         [(i, c, name, rank, below[i]) for i, (c, name, rank, _, _) in enumerate(brackets)],
         "bracket int, column string, quartile string, rank double, below bigint",
     )
@@ -104,6 +92,25 @@ def _ranked(values: DataFrame, brackets: list[tuple[str, str, float, float, floa
     )
 
 
+def _candidates(values: DataFrame, brackets: list[Bracket]) -> tuple[list[int], DataFrame]:
+    """Rows below each bracket, and (bracket, value, copies) of those inside, from one pass.
+
+    Every row gives one pattern of the brackets it lies below; patterns are few
+    (four per column) and counted before the shuffle.
+    """
+    inside = [
+        F.when(F.col(c).between(low, high), F.struct(F.lit(i).alias("bracket"), F.col(c).alias("value"), F.lit("").alias("under")))
+        for i, (c, _, _, low, high) in enumerate(brackets)
+    ]
+    under = F.concat(F.lit(""), *[F.when(F.col(c) < low, "1").otherwise("0") for c, _, _, low, _ in brackets])
+    pattern = F.struct(F.lit(-1).alias("bracket"), F.lit(None).cast("double").alias("value"), under.alias("under"))
+    found = values.select(F.inline(F.filter(F.array(pattern, *inside), lambda x: x.isNotNull())))
+    found = stored(found.groupBy("bracket", "value", "under").agg(F.count(F.lit(1)).alias("copies")), "candidates")
+    patterns = found.where("bracket = -1").select("under", "copies").collect()
+    below = [sum(r["copies"] for r in patterns if r["under"][i] == "1") for i in range(len(brackets))]
+    return below, found.where("bracket >= 0").select("bracket", "value", "copies")
+
+
 def _with_rank(df: DataFrame, group: str, value: str, weight: str) -> DataFrame:
     """Add ``_before``: total weight of smaller values in the group. Values are unique per group.
 

@@ -19,6 +19,7 @@ from assetweave.operators.market import (
 )
 from assetweave.operators.rolling import bands, gains_and_losses, rsi, with_rolling
 from assetweave.operators.series import DAILY, Series
+from assetweave.schemas import require_columns
 
 BASIC = [
     "intraday_return",
@@ -121,20 +122,55 @@ def enhanced_bars(
     return df.na.drop(subset=ENHANCED) if complete else df
 
 
+#: how each feature is made: from a row and its neighbours, as a mean, or as a deviation
+DIRECT = {
+    "intraday_return": lambda s: intraday_return(),
+    "log_return": lambda s: log_return("close", s),
+    "price_volume_ratio": lambda s: ratio("close", "volume"),
+    "price_change": lambda s: F.col("close") - F.col("open"),
+    "momentum_10": lambda s: difference("close", 10, s),
+    "momentum_20": lambda s: difference("close", 20, s),
+}
+MEANS = {
+    **{f"sma_{n}": ("close", n) for n in (10, 20, 50, 100, 200)},
+    **{f"avg_volume_{n}": ("volume", n) for n in (10, 50)},
+}
+DEVIATIONS = {"volatility_10": ("intraday_return", 10), "historical_volatility": ("log_return", 20)}
+EMAS = {"ema_20": 20, "ema_50": 50}
+BANDS = ("upper_band", "lower_band")
+
+
 def ensure_features(df: DataFrame, columns: list[str], s: Series = DAILY) -> DataFrame:
-    """Add those of the model features that are absent, per asset."""
-    if "avg_volume_50" in columns and "avg_volume_50" not in df.columns and "volume" not in df.columns:
-        raise ValueError("avg_volume_50 needs the column volume")
+    """Add those of ``columns`` that are absent, per asset: any of the basic and advanced sets.
+
+    A feature that neither the table has nor this derives is an error, as is one
+    that lacks its inputs.
+    """
     absent = [c for c in columns if c not in df.columns]
-    keep = [*df.columns, *[c for c in absent if c in (*BASIC, *ADVANCED)]]
-    if "intraday_return" not in df.columns and {"intraday_return", "volatility_10"} & set(absent):
-        df = df.withColumn("intraday_return", intraday_return())
-    means = {c: spec for c, spec in {"sma_50": ("close", 50), "avg_volume_50": ("volume", 50)}.items() if c in absent}
-    deviations = {"volatility_10": ("intraday_return", 10)} if "volatility_10" in absent else {}
+    unknown = [c for c in absent if c not in (*DIRECT, *MEANS, *DEVIATIONS, *EMAS, *BANDS, "rsi_14")]
+    if unknown:
+        raise ValueError(f"can't derive: {', '.join(unknown)}")
+    given = df.columns
+    means = {c: MEANS[c] for c in absent if c in MEANS}
+    deviations = {c: DEVIATIONS[c] for c in absent if c in DEVIATIONS}
+    helpers = [source for source, _ in deviations.values()]
+    direct = {c: DIRECT[c](s) for c in dict.fromkeys([*absent, *helpers]) if c in DIRECT and c not in given}
+    inputs = {source for source, _ in [*means.values()]} - {*direct}
+    if {"price_volume_ratio"} & {*absent}:
+        inputs.add("volume")
+    require_columns(df, ["close", *sorted(inputs)])
+    df = df.withColumns(direct)
     if "rsi_14" in absent:
         df = df.withColumn("_change", difference("close", 1, s)).withColumns(gains_and_losses("_change"))
         means |= RSI_MEANS
+    if {*BANDS} & {*absent}:
+        means["_middle"], deviations["_deviation"] = ("close", 20), ("close", 20)
     df = with_rolling(df, means, deviations, s)
     if "rsi_14" in absent:
         df = df.withColumn("rsi_14", rsi())
-    return df.select(*[c for c in keep if c in df.columns])
+    if {*BANDS} & {*absent}:
+        df = df.withColumns({n: c for n, c in bands("_middle", "_deviation").items() if n in absent})
+    df = df.drop("_gain", "_loss", "_up", "_down", "_change", "_middle", "_deviation")
+    if {*EMAS} & {*absent}:
+        df = with_ema(df, {c: EMAS[c] for c in absent if c in EMAS}, "close", s)
+    return df.select(*given, *absent)

@@ -106,6 +106,26 @@ def test_ema_equals_recurrence(make_bars, span):
     assert all(abs(g - w) <= 1e-12 * abs(w) for g, w in zip(got, want))
 
 
+def test_ema_starts_at_the_first_known_value_and_keeps_over_gaps(make_bars):
+    rng = random.Random(1)
+    values = [None if i < 3 or rng.random() < 0.3 else rng.uniform(1, 100) for i in range(900)]
+    bars = make_bars({"A": [v or -1.0 for v in values]})
+    got = column(with_ema(bars.withColumn("close", F.when(F.col("close") > 0, F.col("close"))), {"e": 20}), "e")
+    known = iter(plain_ema([v for v in values if v is not None], 20))
+    want = []
+    for v in values:
+        want.append(next(known) if v is not None else (want[-1] if want else None))
+    start = next(i for i, v in enumerate(values) if v is not None)
+    assert got[:start] == want[:start] == [None] * start and start >= 3
+    assert got[start:] == pytest.approx(want[start:], rel=1e-12)
+
+
+def test_ema_forgets_a_very_large_early_price(make_bars):
+    values = [1e12, *[float(i % 7 + 1) for i in range(1500)]]
+    got = column(with_ema(make_bars({"A": values}), {"e": 20}), "e")
+    assert got[-1] == pytest.approx(plain_ema(values, 20)[-1], rel=1e-9)
+
+
 def test_feature_sets_have_no_gaps_and_start_late(make_bars):
     rng = random.Random(5)
     closes = {t: [100 + rng.gauss(0, 5) for _ in range(205)] for t in "AB"}
@@ -125,3 +145,19 @@ def test_ensure_features_keeps_what_is_there(make_bars):
     assert df.columns == [*bars.columns, "volatility_10"]
     with pytest.raises(ValueError):
         features.ensure_features(bars.drop("volume"), ["avg_volume_50"])
+    with pytest.raises(ValueError, match="beta"):
+        features.ensure_features(bars, ["beta", "rsi_14"])
+
+
+def test_ensure_features_derives_both_sets(make_bars):
+    rng = random.Random(9)
+    bars = make_bars({"A": [100 + rng.gauss(0, 5) for _ in range(230)]})
+    wanted = [*dict.fromkeys([*features.BASIC, *features.ADVANCED])]
+    got = features.ensure_features(bars, wanted)
+    assert got.columns == [*bars.columns, *wanted]
+    for make, names in ((features.basic_features, features.BASIC), (features.advanced_features, features.ADVANCED)):
+        want = make(bars).select("dt", *names)
+        both = want.join(got.select("dt", *[F.col(n).alias(f"_{n}") for n in names]), "dt")
+        differ = [F.abs(F.col(n) - F.col(f"_{n}")) > 1e-9 for n in names]
+        assert both.count() == want.count() > 0
+        assert both.where(F.array_contains(F.array(*differ), True)).count() == 0
