@@ -23,12 +23,16 @@ def duplicate_groups(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count")).where(F.col("count") > 1)
 
 
-def upsert(base: DataFrame, delta: DataFrame, keys: list[str], stamp: str, tie: list[str] | None = None) -> DataFrame:
-    """Newest row per key by ``stamp``; on equal stamps the delta's, then the highest ``tie`` columns."""
+def upsert(base: DataFrame, delta: DataFrame, keys: list[str], stamp: str, tie: list[str]) -> DataFrame:
+    """Newest row per key by ``stamp``; on equal stamps the delta's, then the highest ``tie`` columns.
+
+    ``tie`` must tell all rows of a key apart that matter, so that the result is
+    the same in every run.
+    """
     tagged = base.withColumn("_side", F.lit(0)).unionByName(
         delta.withColumn("_side", F.lit(1)), allowMissingColumns=True
     )
-    order = [F.col(stamp).desc_nulls_last(), F.col("_side").desc(), *[F.col(c).desc_nulls_last() for c in tie or []]]
+    order = [F.col(stamp).desc_nulls_last(), F.col("_side").desc(), *[F.col(c).desc_nulls_last() for c in tie]]
     return dedupe(tagged, keys, order).drop("_side")
 
 
@@ -36,7 +40,12 @@ def merge_fields(base: DataFrame, delta: DataFrame, key: str) -> DataFrame:
     """Set only the delta's fields, inserting unknown keys.
 
     A matched row takes the delta's values, NULL included; others stay as they are.
+    A key that the delta holds twice is an error.
     """
+    twice = F.raise_error(F.concat(F.lit("more than one new row for "), F.col(key).cast("string")))
+    fields = [c for c in delta.columns if c != key]
+    once = delta.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), *[F.any_value(c).alias(c) for c in fields])
+    delta = once.where(F.when(F.col("_n") == 1, True).otherwise(twice)).drop("_n")
     new = delta.select(
         F.col(key).alias("_key"), *[F.col(c).alias(f"_new_{c}") for c in delta.columns if c != key]
     ).withColumn("_hit", F.lit(True))
@@ -55,10 +64,18 @@ def merge_fields(base: DataFrame, delta: DataFrame, key: str) -> DataFrame:
 
 
 def change_stats(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
-    """One row: how many keys were inserted, removed, updated and left unchanged."""
-    values = [c for c in after.columns if c in before.columns and c not in keys]
-    old = before.select(*keys, F.struct(*values).alias("_old"))
-    new = after.select(*keys, F.struct(*values).alias("_new"))
+    """One row: how many keys were inserted, removed, updated and left unchanged.
+
+    A column that only one side has counts as NULL on the other.
+    """
+    kinds = {**dict(before.dtypes), **dict(after.dtypes)}
+    values = [c for c in kinds if c not in keys]
+
+    def rows(df: DataFrame, name: str) -> DataFrame:
+        own = [F.col(c) if c in df.columns else F.lit(None).cast(kinds[c]).alias(c) for c in values]
+        return df.select(*keys, F.struct(*own).alias(name))
+
+    old, new = rows(before, "_old"), rows(after, "_new")
     old_there, new_there = F.col("_old").isNotNull(), F.col("_new").isNotNull()
     same = F.col("_old").eqNullSafe(F.col("_new"))
     return old.join(new, keys, "full_outer").agg(

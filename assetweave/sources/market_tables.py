@@ -12,14 +12,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from assetweave import schemas
 from assetweave.sources.readers import read_table
 
 #: fixed value: last trading day of the derived tables, used as "today"
 TODAY = "2001-11-04"
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the driver's tables, with the columns this module needs."""
+    return read_table(spark, f"{sf_dir}/{name}.parquet", schemas.STORED[name])
+
+
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, f"{sf_dir}/lineitem.parquet").select(
+    return table(spark, sf_dir, "lineitem").select(
         "l_suppkey",
         F.to_date("l_shipdate").alias("dt"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
@@ -30,15 +36,20 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tick_number() -> Column:
-    """Order of the ticks of a day, as one long.
+    """Order of the ticks of a day: order, line, whole part number and price in cents, as one decimal.
 
-    By order, line and part. A long (not a struct) keeps the first/last price in
-    a hash aggregation. Order and line identify a tick in TPC-H; the test tables
-    repeat the pair, so the low 20 bits of the part number decide. Order numbers
-    up to 2^40 fit; beyond that the arithmetic raises.
+    A decimal has a fixed width, so the first and last price stay in a hash
+    aggregation. Order numbers of 15, part numbers of 11 and prices of 10 digits
+    fit; beyond that the arithmetic raises.
     """
-    line = F.col("l_orderkey") * 8 + F.col("l_linenumber")
-    return line * (1 << 20) + F.col("l_partkey") % (1 << 20)
+
+    def digits(value, n: int) -> Column:
+        return value.cast(f"decimal({n},0)")
+
+    line = digits(F.col("l_orderkey"), 15) * F.lit(100).cast("decimal(3,0)") + digits(F.col("l_linenumber"), 2)
+    part = digits(line, 17) * F.lit(10**11).cast("decimal(12,0)") + digits(F.col("l_partkey"), 11)
+    cents = digits(F.round(F.col("l_extendedprice") * 100), 10)
+    return digits(digits(part, 28) * F.lit(10**10).cast("decimal(11,0)"), 38) + cents
 
 
 def with_category(df: DataFrame, spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
@@ -49,11 +60,11 @@ def with_category(df: DataFrame, spark: SparkSession, sf_dir: str, key: str) ->
     the size estimate of a join is the product of its sides, and a chained
     dimension would look too large to broadcast.
     """
-    supplier = read_table(spark, f"{sf_dir}/supplier.parquet").select(
+    supplier = table(spark, sf_dir, "supplier").select(
         "s_suppkey", "s_nationkey", F.col("s_name").alias("ticker")
     )
-    nation = read_table(spark, f"{sf_dir}/nation.parquet").select("n_nationkey", "n_regionkey")
-    region = read_table(spark, f"{sf_dir}/region.parquet").select(
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    region = table(spark, sf_dir, "region").select(
         "r_regionkey", F.col("r_name").alias("category")
     )
     return (
@@ -65,14 +76,18 @@ def with_category(df: DataFrame, spark: SparkSession, sf_dir: str, key: str) ->
 
 def assets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """suppkey, ticker, category of every asset."""
-    keys = read_table(spark, f"{sf_dir}/supplier.parquet").select(F.col("s_suppkey").alias("_key"))
+    keys = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("_key"))
     return with_category(keys, spark, sf_dir, "_key").select("s_suppkey", "ticker", "category")
 
 
-def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One OHLCV row per (ticker, dt)."""
+def bars(spark: SparkSession, sf_dir: str, ticker: str | None = None) -> DataFrame:
+    """One OHLCV row per (ticker, dt); with ``ticker`` only that asset's ticks are read into the aggregation."""
+    raw = ticks(spark, sf_dir)
+    if ticker is not None:
+        wanted = table(spark, sf_dir, "supplier").where(F.col("s_name") == ticker).select("s_suppkey")
+        raw = raw.join(wanted, raw.l_suppkey == wanted.s_suppkey, "left_semi")
     daily = (
-        ticks(spark, sf_dir)
+        raw
         .groupBy("l_suppkey", "dt")
         .agg(
             F.min_by("price", "seq").alias("open"),
@@ -94,7 +109,7 @@ def market(price_bars: DataFrame) -> DataFrame:
 
 
 def fundamentals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, f"{sf_dir}/supplier.parquet").select(
+    return table(spark, sf_dir, "supplier").select(
         F.col("s_name").alias("ticker"), (F.col("s_acctbal") / 1000).alias("eps")
     )
 
@@ -118,7 +133,7 @@ def raw_quotes(price_bars: DataFrame) -> DataFrame:
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
-    return read_table(spark, f"{sf_dir}/customer.parquet").select(
+    return table(spark, sf_dir, "customer").select(
         key.alias("user_id"),
         (18 + key % 63).alias("age"),
         (1000 + 500 * (key % 100)).alias("amount"),
@@ -140,6 +155,6 @@ def attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Intraday quotes: a handful of assets, any number of rows each."""
-    return read_table(spark, f"{sf_dir}/events.parquet").select(
+    return table(spark, sf_dir, "events").select(
         "event_id", "ts", F.col("event_type").alias("asset"), F.col("value").alias("price")
     )

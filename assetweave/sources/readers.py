@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assetweave import schemas
 from assetweave.functions.cleaning import parse_date
 
 #: column added by document stores; never wanted
@@ -26,12 +25,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A stored parquet table without the store's own id column.
-
-    Tables of known name have a known schema; others may be given one. Only
-    without either does Spark look into the files for it.
-    """
-    schema = schema or schemas.STORED.get(path.rsplit("/", 1)[-1].removesuffix(".parquet"))
+    """A stored parquet table without the store's own id column, with ``schema`` or else the files' own columns."""
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.parquet(path).drop(STORE_ID)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,33 +24,41 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def _versions(spark: SparkSession, table: str) -> list[int]:
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(table)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path, and the function that makes its paths."""
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return path_of(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path_of
+
+
+def complete_versions(spark: SparkSession, table: str) -> list[int]:
+    fs, path_of = file_system(spark, table)
+    if not fs.exists(path_of(table)):
         return []
     found = []
-    for status in fs.listStatus(folder):
+    for status in fs.listStatus(path_of(table)):
         name = status.getPath().getName()
-        complete = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+        complete = path_of(status.getPath(), "_SUCCESS")
         if name.startswith("v") and name[1:].isdigit() and fs.exists(complete):
             found.append(int(name[1:]))
     return sorted(found)
 
 
 def overwrite(df: DataFrame, table: str) -> str:
-    """Write the next version of a table. Readers of the current one are not disturbed."""
+    """Write the next version of a table. Readers of the current one are not disturbed.
+
+    Of two writers that take the same number one fails; an incomplete version
+    that a lost job left behind must be removed first.
+    """
     spark = df.sparkSession
-    version = max(_versions(spark, table), default=0) + 1
+    version = max(complete_versions(spark, table), default=0) + 1
     path = f"{table}/v{version}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("errorifexists").parquet(path)
     return path
 
 
 def read_current(spark: SparkSession, table: str) -> DataFrame:
     """The newest complete version."""
-    versions = _versions(spark, table)
+    versions = complete_versions(spark, table)
     if not versions:
         raise ValueError(f"no complete version of {table}")
     return spark.read.parquet(f"{table}/v{versions[-1]}")
@@ -60,9 +70,21 @@ def observe_stage(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def stage_metrics(spark: SparkSession, stages: dict[str, Observation]) -> DataFrame:
-    """(stage, status, rows) of stages that were written."""
-    rows = [(name, "success", int(seen.get["rows"])) for name, seen in stages.items()]
+def run_stage(df: DataFrame, name: str, write: Callable[[DataFrame], None]) -> tuple[str, int | None]:
+    """Write a stage: ("success", rows), or ("failed: <reason>", None) if it raised."""
+    observed, seen = observe_stage(df, name)
+    try:
+        write(observed)
+    except Exception as error:
+        return f"failed: {type(error).__name__}", None
+    return "success", int(seen.get["rows"])
+
+
+def stage_metrics(spark: SparkSession, stages: dict[str, Observation | tuple[str, int | None]]) -> DataFrame:
+    """(stage, status, rows) of stages that were written or that ``run_stage`` ran."""
+    rows = [
+        (name, *(seen if isinstance(seen, tuple) else ("success", int(seen.get["rows"])))) for name, seen in stages.items()
+    ]
     schema = T.StructType(
         [
             T.StructField("stage", T.StringType()),

@@ -7,18 +7,19 @@ replayed batch replaces its own output and nothing else.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from assetweave.operators.cleaning import market_hours
 from assetweave.operators.merge import dedupe
+from assetweave.sources.keyed_table import upsert_table
 
 #: fixed value: time between two polls of the feed
 INTERVAL = "15 minutes"
-#: how late a quote may come; bounds the state, so a replay of old files passes a longer one
-LATENESS = "1 day"
 
 
 def stream_table(
@@ -43,8 +44,13 @@ def during_market(quotes: DataFrame) -> DataFrame:
     return quotes.where(market_hours("ts"))
 
 
-def unique_quotes(quotes: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Drop repeated deliveries within the watermark."""
+def unique_quotes(quotes: DataFrame, lateness: str) -> DataFrame:
+    """Drop repeated deliveries.
+
+    ``lateness`` is how much later than the newest quote another one may come; it
+    bounds the state. Quotes later than that are left out, and ``dropped_rows``
+    tells how many. A replay of old files needs the span of those files.
+    """
     return quotes.withWatermark("ts", lateness).dropDuplicates(["event_id", "ts"])
 
 
@@ -96,11 +102,29 @@ def read_newest(spark: SparkSession, path: str, keys: list[str], order: list | N
     return dedupe(rows, keys, order or [F.col("batch").desc()]).drop("batch")
 
 
-def upsert_stream(df: DataFrame, path: str, checkpoint: str, keys: list[str], order: list) -> StreamingQuery:
-    """Keyed upsert of arriving rows: each batch keeps its best row per key, readers merge the batches."""
+def upsert_stream(
+    df: DataFrame,
+    table: str,
+    checkpoint: str,
+    keys: list[str],
+    order: list,
+    partition: Column,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Keyed upsert of arriving rows: every batch goes into the keyed table, which rewrites what it touches.
+
+    A replayed batch changes nothing, as the same row wins again. ``trigger``
+    is that of ``writeStream`` (say ``{"processingTime": "15 minutes"}``).
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        dedupe(batch, keys, order).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        upsert_table(batch, table, keys, order, partition)
 
     writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
-    return writer.trigger(availableNow=True).start()
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows that came later than the watermark, over the query's progress reports."""
+    reports = [p if isinstance(p, dict) else json.loads(p.json) for p in query.recentProgress]
+    return sum(state.get("numRowsDroppedByWatermark", 0) for p in reports for state in p.get("stateOperators", []))

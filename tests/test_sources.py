@@ -77,6 +77,48 @@ def test_table_without_store_id(spark):
     assert readers.read_table(spark, path).columns == ["a"]
 
 
+def test_a_table_keeps_columns_whatever_its_name(spark):
+    path = f"{new_path(spark, 'named')}/events.parquet"
+    spark.createDataFrame([(1, "x")], "event_id long, extra string").write.parquet(path)
+    assert readers.read_table(spark, path).columns == ["event_id", "extra"]
+
+
+def test_ticks_are_told_apart_by_whole_part_and_price(spark, tmp_path):
+    """Equal orders, lines and low digits of the part number; order numbers beyond 2^40."""
+    import datetime as dt
+
+    from assetweave.schemas import STORED
+    from assetweave.sources import market_tables as tables
+
+    day, order = dt.datetime(2000, 1, 1), (1 << 45) + 1
+    lines = [(order, (5 << 20) + 1, 1, 1, 1.0, price, 0.0, 0.0, "", "", day) for price in (30.0, 10.0, 20.0)]
+    lines.append((order, 1, 1, 1, 1.0, 99.0, 0.0, 0.0, "", "", day))
+    spark.createDataFrame(lines, STORED["lineitem"]).repartition(3).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, "S", 1, 0.0)], STORED["supplier"]).write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(1, "N", 1)], STORED["nation"]).write.parquet(f"{tmp_path}/nation.parquet")
+    spark.createDataFrame([(1, "R")], STORED["region"]).write.parquet(f"{tmp_path}/region.parquet")
+    bar = tables.bars(spark, str(tmp_path)).first()
+    assert (bar.open, bar.close, bar.high, bar.low) == (99.0, 30.0, 99.0, 10.0)
+
+
+def test_asof_close_skips_missing_prices(make_bars):
+    from assetweave.operators import returns
+
+    bars = make_bars({"A": [1.0, 2.0, None]})
+    got = returns.asof_closes(bars, ["2019-12-31", "2020-01-02", "2020-01-03"]).orderBy("as_of").collect()
+    assert [(str(r.as_of), r.close) for r in got] == [("2019-12-31", None), ("2020-01-02", 2.0), ("2020-01-03", 2.0)]
+
+
+def test_a_second_index_row_is_an_error(make_bars):
+    from assetweave.operators import market
+
+    bars = make_bars({"A": [1.0, 2.0]})
+    index = bars.select("dt", "close")
+    assert market.with_market(bars, index).count() == 2
+    with pytest.raises(Exception, match="more than one index row"):
+        market.with_market(bars, index.unionAll(index)).collect()
+
+
 def test_versions(spark):
     table = new_path(spark, "versions")
     with pytest.raises(ValueError):

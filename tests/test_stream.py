@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from assetweave import schemas
 from assetweave.operators.merge import dedupe
 from assetweave.session import new_path
+from assetweave.sources.keyed_table import read_keyed
 from assetweave.streaming import quotes as stream
 
 ASSETS = ["a", "b", "c"]
@@ -45,7 +46,7 @@ def feed(spark, folder):
 
 def test_snapshots_equal_batch(spark, events, folder):
     path = new_path(spark, "out")
-    live = stream.unique_quotes(stream.during_market(feed(spark, folder)))
+    live = stream.unique_quotes(stream.during_market(feed(spark, folder)), "1 day")
     stream.write_batches(stream.snapshots(live), path, new_path(spark, "cp")).awaitTermination()
     assert spark.read.parquet(path).select("batch").distinct().count() > 1
     got = stream.read_newest(spark, path, ["window_start", "asset"])
@@ -57,8 +58,9 @@ def test_upsert_stream_equals_batch_and_survives_replay(spark, events, folder):
     path, order = new_path(spark, "out"), [F.col("ts").desc(), F.col("event_id").desc()]
     for _ in range(2):  # a second run with a new checkpoint replays every batch
         quotes = feed(spark, folder).withColumn("hour", F.date_trunc("hour", "ts"))
-        stream.upsert_stream(quotes, path, new_path(spark, "cp"), ["asset", "hour"], order).awaitTermination()
-    got = stream.read_newest(spark, path, ["asset", "hour"], order)
+        query = stream.upsert_stream(quotes, path, new_path(spark, "cp"), ["asset", "hour"], order, F.to_date("hour"))
+        query.awaitTermination()
+    got = read_keyed(spark, path)
     want = dedupe(stream.as_quotes(events).withColumn("hour", F.date_trunc("hour", "ts")), ["asset", "hour"], order)
     assert rows(got.select(*want.columns)) == rows(want)
 
@@ -74,7 +76,7 @@ def test_latest_prices(spark, events, folder):
 def test_append_then_restart_adds_nothing(spark, events, folder):
     path, checkpoint = new_path(spark, "out"), new_path(spark, "cp")
     for _ in range(2):
-        unique = stream.unique_quotes(feed(spark, folder))
+        unique = stream.unique_quotes(feed(spark, folder), "1 day")
         stream.append_to(unique, path, checkpoint).awaitTermination()
     assert spark.read.parquet(path).count() == events.count()
 
@@ -89,3 +91,25 @@ def test_wide_snapshots_become_long_rows(spark):
     stream.append_to(stream.long_quotes(source, ASSETS), path, new_path(spark, "cp")).awaitTermination()
     assert {(r.asset, r.price) for r in spark.read.parquet(path).collect()} == {("a", 1.0), ("b", None), ("c", 3.0)}
     assert stream.long_quotes(wide, ASSETS, keep_missing=False).count() == 2
+
+
+def test_rows_behind_the_watermark_are_counted(spark):
+    landed, path = new_path(spark, "landed"), new_path(spark, "out")
+    for day in (10, 20, 1):
+        rows_ = [(100 * day + i, dt.datetime(2024, 1, day, 12, i), 1, "a", 1.0, None) for i in range(5)]
+        spark.createDataFrame(rows_, schemas.EVENTS).coalesce(1).write.mode("append").parquet(landed)
+    unique = stream.unique_quotes(feed(spark, landed), "1 day")
+    query = stream.append_to(unique, path, new_path(spark, "cp"))
+    query.awaitTermination()
+    assert (spark.read.parquet(path).count(), stream.dropped_rows(query)) == (10, 5)
+
+
+def test_upsert_stream_takes_a_trigger(spark, folder):
+    path, order = new_path(spark, "out"), [F.col("ts").desc(), F.col("event_id").desc()]
+    quotes = feed(spark, folder).withColumn("dt", F.to_date("ts"))
+    trigger = {"processingTime": "1 second"}
+    query = stream.upsert_stream(quotes, path, new_path(spark, "cp"), ["asset", "dt"], order, F.col("dt"), trigger)
+    query.processAllAvailable()
+    assert query.isActive
+    query.stop()
+    assert read_keyed(spark, path).groupBy("asset", "dt").count().where("count > 1").count() == 0
