@@ -8,19 +8,24 @@ from pyspark.sql import functions as F
 from assetweave.functions.cleaning import ratio
 from assetweave.functions.indicators import daily_return
 from assetweave.operators.series import DAILY, Series
+from assetweave.session import bounded
 
 #: fixed value: yearly risk-free rate of alpha, spread over the trading days
 ALPHA_RISK_FREE = 0.01 / 252
+#: days of a century, the most index rows that are broadcast
+CALENDAR = 36_525
 
 
 def with_market(bars: DataFrame, market: DataFrame) -> DataFrame:
     """Inner join with the index on the date, its close as ``close_market``.
 
-    The index has one row per calendar day, some tens of thousands at most, so
-    it is broadcast and the bars stay where they are.
+    The index must have one row per day; a second one is an error, not more
+    bars. With a century of days at most it is broadcast, else joined by size.
     """
-    index = market.select("dt", F.col("close").alias("close_market"))
-    return bars.join(F.broadcast(index), "dt")
+    per_day = market.groupBy("dt").agg(F.max("close").alias("close_market"), F.count(F.lit(1)).alias("_n"))
+    twice = F.raise_error(F.concat(F.lit("more than one index row on "), F.col("dt").cast("string")))
+    index = per_day.select("dt", F.when(F.col("_n") == 1, F.col("close_market")).otherwise(twice).alias("close_market"))
+    return bars.join(bounded(index, CALENDAR, "market-index"), "dt")
 
 
 def with_fundamentals(bars: DataFrame, eps: DataFrame) -> DataFrame:

@@ -14,7 +14,10 @@ from assetweave.functions.cleaning import ratio
 from assetweave.functions.risk import risk_bin, risk_score, tolerance_label
 from assetweave.operators.rolling import with_means
 from assetweave.operators.series import DAILY, Series
+from assetweave.session import bounded
 
+#: rows that a side of a join may have to be broadcast
+FEW = 100_000
 #: assets per category in a portfolio, and the seed of their choice
 PER_CATEGORY = 5
 SEED = 42
@@ -60,24 +63,24 @@ def allocate(portfolio: DataFrame, by: str = "risk_category", weight: str = "mom
     """Share of each row in its group's total ``weight``; NULL if the total is zero.
 
     A group may hold a third of all assets, so totals are aggregated map-side
-    and joined back. Groups are an enumeration (the risk classes): a broadcast.
+    and joined back; their size decides at run time how.
     """
     totals = portfolio.groupBy(by).agg(F.sum(weight).alias("_total"))
-    joined = portfolio.join(F.broadcast(totals), by)
+    joined = portfolio.join(totals, by)
     return joined.withColumn("share", ratio(weight, "_total")).drop("_total")
 
 
 def build_portfolio(users: DataFrame, assets: DataFrame, k: int = PER_CATEGORY, seed: int = SEED) -> DataFrame:
     """Up to k assets per category of each user's risk class, with the amount to invest in each.
 
-    The short list has at most k rows per (risk class, category), both of which
-    are enumerations, so it is broadcast.
+    The short list has at most k rows per (risk class, category); as categories
+    are free text, it is only broadcast if it is short indeed.
     """
     short_list = allocate(choose_assets(assets, ["risk_category", "category"], k, seed))
     picks = short_list.select("ticker", "category", "risk_category", "momentum", "share")
     return (
         scored_users(users)
-        .join(F.broadcast(picks), "risk_category")
+        .join(bounded(picks, FEW, "short-list"), "risk_category")
         .withColumn("investment", F.col("share") * F.col("amount"))
     )
 
@@ -91,7 +94,7 @@ def match_tolerance(assets: DataFrame, users: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_users"), F.sum("amount").alias("total_amount")
     )
     wanted = demand.withColumn("risk_category", tolerance_label("tolerance"))
-    return assets.join(F.broadcast(wanted), "risk_category")
+    return assets.join(bounded(wanted, FEW, "demand"), "risk_category")
 
 
 def for_tolerance(assets: DataFrame, tolerance: str) -> DataFrame:
@@ -111,12 +114,15 @@ def portfolio_view(df: DataFrame) -> DataFrame:
 
 
 def signal(prices: DataFrame, n: int = 30, s: Series = DAILY) -> DataFrame:
-    """Buy where the last close is above its n-row mean, else Hold; one row per asset."""
-    with_mean = with_means(prices, {"moving_avg": ("close", n)}, s).where(F.col("moving_avg").isNotNull())
+    """Buy where the last close is above its n-row mean, else Hold; one row per asset.
+
+    An asset with fewer than n rows has no mean and no recommendation yet.
+    """
+    with_mean = with_means(prices, {"moving_avg": ("close", n)}, s)
     last = with_mean.groupBy(*s.by).agg(
         F.max(s.order[0]).alias("date"),
         F.max_by("close", s.order[0]).alias("last_close"),
         F.max_by("moving_avg", s.order[0]).alias("last_moving_avg"),
     )
     buy = F.col("last_close") > F.col("last_moving_avg")
-    return last.withColumn("recommendation", F.when(buy, "Buy").otherwise("Hold"))
+    return last.withColumn("recommendation", F.when(buy, "Buy").when(~buy, "Hold"))

@@ -18,8 +18,8 @@ def _day(value: str | dt.date) -> dt.date:
 
 
 def asof(date: dt.date, value: str = "close", when: str = "dt") -> Column:
-    """Aggregate: last value at or before ``date``."""
-    return F.max_by(value, F.when(F.col(when) <= F.lit(date), F.col(when)))
+    """Aggregate: last known value at or before ``date``."""
+    return F.max_by(value, F.when((F.col(when) <= F.lit(date)) & F.col(value).isNotNull(), F.col(when)))
 
 
 def asof_close(prices: DataFrame, today: str, key: str = "ticker") -> DataFrame:
@@ -29,6 +29,14 @@ def asof_close(prices: DataFrame, today: str, key: str = "ticker") -> DataFrame:
     return prices.groupBy(key).agg(*[c.alias(name) for name, c in back.items()])
 
 
+def asof_closes(prices: DataFrame, dates: list[str | dt.date], key: str = "ticker") -> DataFrame:
+    """The last known close at or before each of ``dates``, one row per asset and date, from one aggregation."""
+    days = sorted({_day(d) for d in dates})
+    wide = prices.groupBy(key).agg(*[asof(d).alias(d.isoformat()) for d in days])
+    long = wide.unpivot([key], [f"`{d.isoformat()}`" for d in days], "as_of", "close")
+    return long.withColumn("as_of", F.to_date(F.regexp_replace("as_of", "`", "")))
+
+
 def trailing_aggregates(today: str) -> dict[str, Column]:
     """Aggregates that ``trailing_columns`` turns into returns."""
     base = _day(today)

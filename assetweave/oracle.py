@@ -146,10 +146,23 @@ PARTS = {
              excess / nullif(downside, 0) as sortino_ratio, return_ytd / nullif(sd * sqrt(252), 0) as risk_adjusted_ytd,
              return_1y / nullif(sd * sqrt(252), 0) as risk_adjusted_1y
       from trail t join risk r on t.ticker = r.ticker""",
-    "recent_risk": """
-      select ticker, stddev_samp(r) as sd from (
-        select ticker, close / lag(close) over (partition by ticker order by dt) - 1 as r from bars
-        where dt >= date '{start}' and dt < date '2001-11-05') group by ticker""",
+    "known_risk": """
+      select r.ticker, sd from risk r join assets a on r.ticker = a.ticker where category in ('AFRICA', 'ASIA')""",
+    "gapped": """
+      select ticker, dt, case when dt >= date '1995-06-01' and day(dt) % 7 <> 0 then close end as close from bars""",
+    "gap_rows": """
+      select *, row_number() over (partition by ticker order by dt) as rn from gapped where close is not null""",
+    "gap_ema": """
+      select ticker, dt, rn, close as ema_20, close as ema_50 from gap_rows where rn = 1
+      union all
+      select r.ticker, r.dt, r.rn, r.close * (2e0 / 21) + e.ema_20 * (1 - 2e0 / 21),
+             r.close * (2e0 / 51) + e.ema_50 * (1 - 2e0 / 51)
+      from gap_ema e join gap_rows r on r.ticker = e.ticker and r.rn = e.rn + 1""",
+    "gap_filled": """
+      select g.ticker, g.dt, g.close, last_value(ema_20 ignore nulls) over so_far as ema_20,
+             last_value(ema_50 ignore nulls) over so_far as ema_50
+      from gapped g left join gap_ema e on g.ticker = e.ticker and g.dt = e.dt
+      window so_far as (partition by g.ticker order by g.dt rows between unbounded preceding and current row)""",
     "base": """
       select ticker, dt, close, date '2001-01-01' as last_updated from bars where dt < date '2000-01-01'""",
     "delta": f"""
@@ -183,18 +196,23 @@ PARTS = {
       select *, case when s <= 0.5e0 then 'Low Risk' when s <= 1 then 'Medium Risk' when s <= 2 then 'High Risk' end as risk
       from (select *, greatest(0, 35 - age) / 35e0 + least(duration, 5) / 5e0 as s from users)""",
     "model_rows": """
-      select e.ticker, e.category, e.dt, beta, daily_return, dividend_yield,
+      select e.ticker, e.category, e.dt, beta, alpha, dividend_yield,
              stddev_samp(intraday_return) over (partition by e.ticker order by e.dt rows between 9 preceding and current row) as v,
              row_number() over (partition by e.ticker order by e.dt) as n
       from enhanced e where momentum is not null and alpha is not null and pe_ratio is not null and dividend_yield is not null""",
     "z": """
       select ticker, category, dt, (beta - avg(beta) over ()) / stddev_samp(beta) over () as x1,
-             (daily_return - avg(daily_return) over ()) / stddev_samp(daily_return) over () as x2,
+             (alpha - avg(alpha) over ()) / stddev_samp(alpha) over () as x2,
              (dividend_yield - avg(dividend_yield) over ()) / stddev_samp(dividend_yield) over () as x3,
              (v - avg(v) over ()) / stddev_samp(v) over () as x4
       from model_rows where n >= 10""",
     "background": """
-      select avg(x1) as b1, avg(x2) as b2, avg(x3) as b3, avg(x4) as b4, count(*) as weight from z group by category""",
+      select avg(x1) as b1, avg(x2) as b2, avg(x3) as b3, avg(x4) as b4, count(*) as weight from (
+        select *, cast(x1 > -1 as int) + cast(x1 > 0 as int) + cast(x1 > 1 as int) as p1,
+               cast(x2 > -1 as int) + cast(x2 > 0 as int) + cast(x2 > 1 as int) as p2,
+               cast(x3 > -1 as int) + cast(x3 > 0 as int) + cast(x3 > 1 as int) as p3,
+               cast(x4 > -1 as int) + cast(x4 > 0 as int) + cast(x4 > 1 as int) as p4 from z)
+      group by p1, p2, p3, p4""",
     "centers": """
       select * from (values (0, 0.0e0, 0.0e0, 0.3e0, 1.0e0), (1, 0.2e0, 0.0e0, -0.5e0, -0.6e0),
                             (2, -0.3e0, 0.1e0, 0.8e0, 0.0e0)) t(c, c1, c2, c3, c4)""",
@@ -217,7 +235,7 @@ PARTS = {
       select o.ticker, o.dt, any_value(own.cluster) as cluster, o.s, any_value(s1) as s1, any_value(s2) as s2,
              any_value(s3) as s3, any_value(s4) as s4,
              sum(case when o.c = own.cluster then weight else 0 end) / sum(weight) as own_v,
-             sum(o.c * weight) / sum(weight) as id_v
+             sum(case when o.c = 1 then weight else 0 end) / sum(weight) as one_v
       from outcomes o join own on o.ticker = own.ticker and o.dt = own.dt group by o.ticker, o.dt, o.s""",
     "weighted": """
       select *, [0.25e0, 1e0/12, 1e0/12, 0.25e0] as wt, s1 + s2 + s3 + s4 as size from worth""",
@@ -227,13 +245,13 @@ PARTS = {
       select * from hours
       where isodow(local) <= 5 and hour(local) * 60 + minute(local) >= 570 and hour(local) * 60 + minute(local) < 960""",
 }
-RECURSIVE = {"ema", "quote_ema"}
+RECURSIVE = {"ema", "quote_ema", "gap_ema"}
 
 
 def _shapley(value: str) -> str:
     """Attribution of each feature: weighted differences with and without it."""
     cells = []
-    for i, name in enumerate(["beta", "daily_return", "dividend_yield", "volatility_10"], start=1):
+    for i, name in enumerate(["beta", "alpha", "dividend_yield", "volatility_10"], start=1):
         cells.append(
             f"sum(case when s{i} = 1 then wt[size] * {value} else -wt[size + 1] * {value} end) as phi_z_{name}"
         )
@@ -241,7 +259,7 @@ def _shapley(value: str) -> str:
 
 
 PARTS["phi_own"] = f"select ticker, dt, cluster, {_shapley('own_v')} from weighted group by ticker, dt, cluster"
-PARTS["phi_id"] = f"select ticker, dt, cluster, {_shapley('id_v')} from weighted group by ticker, dt, cluster"
+PARTS["phi_one"] = f"select ticker, dt, cluster, {_shapley('one_v')} from weighted group by ticker, dt, cluster"
 
 
 def _uses(text: str) -> set[str]:
@@ -347,7 +365,10 @@ def _partial() -> str:
 
 
 STAMP = "timestamp '2001-11-05 12:00:00'"
-PHIS = [f"phi_z_{c}" for c in ("beta", "daily_return", "dividend_yield", "volatility_10")]
+COMPLETE = (
+    "momentum is not null and alpha is not null and dividend_yield is not null and pe_ratio is not null"
+)
+PHIS = [f"phi_z_{c}" for c in ("beta", "alpha", "dividend_yield", "volatility_10")]
 
 ORACLE = {
     "s01_csv_scan": sql(ALL_BARS),
@@ -358,9 +379,11 @@ ORACLE = {
     "s06_ingest_audit": sql("""
       select a.ticker, count(c.asset) as n_rows,
              case when count(c.asset) = 0 then 'empty' when count(c.close) = 0 then 'error' else 'success' end as status
-      from assets a left join curated c on c.asset = a.ticker and c.dt >= date '2001-10-25' and c.dt < date '2001-11-05'
+      from assets a left join curated c on c.asset = a.ticker
       group by a.ticker"""),
     "s07_universe": sql("select distinct category, ticker from bars"),
+    "s07_universe_mapping": sql("select category, ticker from assets"),
+    "s08_daily_json_envelope": sql("select ticker, dt, open, high, low, close, cast(volume as bigint) as volume from bars"),
     "s08_daily_json": sql("select ticker, dt, open, high, low, close, cast(volume as bigint) as volume from bars"),
     "s09_prices_for": sql("select dt, close from bars where ticker = 'Supplier#000000001'"),
     "u01_union_all": sql("select ticker, dt, close, case when dt >= date '1998-01-01' then volume end as volume from bars"),
@@ -369,15 +392,24 @@ ORACLE = {
     "k03_overwrite": sql(PRICES + " where dt >= date '1999-01-01'"),
     "k04_append_csv": sql(PRICES),
     "k05_upsert": sql("select * from upserted"),
+    "k05_upsert_stored": sql(f"""
+      select ticker, dt, close, case when new then date '2001-11-05' else date '2001-01-01' end as last_updated,
+             case when new then {STAMP} else timestamp '2001-01-01 12:00:00' end as last_updated_timestamp
+      from (select *, last_updated > date '2001-01-01' as new from upserted)"""),
+    "k05_upsert_counts": sql("""
+      select count(*) filter (dt is not null and close is not null) as written,
+             count(*) filter (dt is null or close is null) as failed from curated"""),
     "k06_merge_fields": sql(
         f"""
       select coalesce(a.ticker, d.ticker) as ticker, short_name, asset_type, sector,
              {r("case when d.ticker is null then -1e0 else d.sd end", 6, "daily_volatility")},
              {r("d.sd * sqrt(252)", 6, "annual_volatility")}
-      from attributes a full join recent_risk d on a.ticker = d.ticker""",
-        start="2001-10-20",
+      from attributes a full join known_risk d on a.ticker = d.ticker"""
     ),
     "k07_observe_stage": sql('select \'bars\' as stage, \'success\' as status, count(*) as "rows" from bars'),
+    "k07_failed_stage": sql("""
+      select 'quotes' as stage, 'success' as status, count(*) as "rows" from raw_quotes
+      union all select 'broken', 'failed', null"""),
     "k08_change_stats": sql("""
       select count(*) filter (b.ticker is null) as inserted, count(*) filter (u.ticker is null) as removed,
              count(*) filter (b.ticker is not null and u.ticker is not null
@@ -439,14 +471,16 @@ ORACLE = {
         + " from attributes"
     ),
     "p14_j03_pending": sql(
-        "select ticker from assets where ticker not in (select ticker from recent_risk where sd is not null)",
-        start="2001-10-25",
+        "select ticker from assets where ticker not in (select ticker from known_risk where sd is not null)"
     ),
     "p15_market_hours": sql("select event_id, ts, asset, price from open_quotes"),
     "p16_attach_user": sql("""
       select ticker, category, max(dt) as dt, arg_max(close, dt) as close, 30 as user_age, 50000 as investment_amount,
              7 as investment_duration
       from bars group by ticker, category"""),
+    "p16_attach_users": sql("""
+      select user_id, age, amount, duration, ticker, risk_category
+      from user_risk join short_list on risk = risk_category where pick <= 2"""),
     "p17_match_tolerance": sql("""
       select ticker, risk_category, tolerance, n_users, total_amount
       from labelled join (select tolerance, count(*) as n_users, cast(sum(amount) as bigint) as total_amount
@@ -465,6 +499,11 @@ ORACLE = {
              case when gap then lower(sector) else sector end as sector
       from (select *, short_name is null or short_name = 'N/A' as gap from attributes)"""),
     "j04_asof_close": sql("select ticker, c1 as close_1y, c3 as close_3y, c5 as close_5y from lookback"),
+    "j04_asof_closes": sql("""
+      select a.ticker, d as as_of, arg_max(close, dt) as close
+      from (select distinct ticker from bars) a
+      cross join (values (date '1994-12-31'), (date '1996-06-30'), (date '1998-12-25'), (date '2001-11-04')) t(d)
+      left join bars b on b.ticker = a.ticker and b.dt <= d group by a.ticker, d"""),
     "j05_with_fundamentals": sql(
         "select b.ticker, dt, close, eps from bars b left join eps_of e on b.ticker = e.ticker"
     ),
@@ -498,8 +537,7 @@ ORACLE = {
              {r("case when p.sd is null then m.return_1y end", 6, "return_1y")},
              {r("case when p.sd is null then m.sharpe_ratio end", 6, "sharpe_ratio")}
       from (select distinct ticker from bars) a join metrics m on a.ticker = m.ticker
-      left join recent_risk p on a.ticker = p.ticker""",
-        start="2001-10-25",
+      left join known_risk p on a.ticker = p.ticker"""
     ),
     "w01_daily_return": sql("select ticker, dt, close, daily_return from rets"),
     "w01_returns_by_source": sql("""
@@ -513,6 +551,7 @@ ORACLE = {
     "w06_rsi": sql(f"select ticker, dt, {many(4, 'rsi_14')} from feats"),
     "w07_log_return": sql(f"select ticker, dt, {many(6, 'log_return')} from rets"),
     "w08_ema": sql(f"select ticker, dt, {many(4, 'ema_20', 'ema_50')} from ema"),
+    "w08_ema_with_gaps": sql(f"select ticker, dt, close, {many(4, 'ema_20', 'ema_50')} from gap_filled"),
     "w09_bollinger": sql(
         f"select ticker, dt, {r('sma_20 + 2 * sd_20', 4, 'upper_band')}, {r('sma_20 - 2 * sd_20', 4, 'lower_band')} from feats"
     ),
@@ -546,11 +585,25 @@ ORACLE = {
         select ticker, category, max(dt) as dt, arg_max(close, dt) as close from bars group by ticker, category)
       qualify row_number() over (partition by category order by md5(ticker || '42'), ticker) <= 5"""),
     "m01_scale": sql(f"select ticker, dt, {_scaled()} from basic"),
+    "m02_elbow": sql("select cast(k as integer) as k, true as plausible from range(2, 10) t(k)"),
+    "m03_cluster_5": sql("select count(*) as rows_scored, 3 as clusters, 0 as misplaced from basic"),
+    "m03_cluster_10": sql(f"select count(*) as rows_scored, 3 as clusters, 0 as misplaced from enhanced where {COMPLETE}"),
+    "m03_cluster_4": sql(f"select count(*) as rows_scored, 3 as clusters, 0 as misplaced from enhanced where {COMPLETE}"),
+    "m04_silhouette": sql("select count(*) as rows_scored, true as in_range from basic"),
+    "m05_trained_risk_label": sql("select count(*) as rows_labelled, 3 as labels, true as in_order from basic"),
+    "m06_m07_train_and_score": sql(f"""
+      select count(*) as rows_scored, 0 as different, 0 as without_cluster from enhanced where {COMPLETE}"""),
     "m05_risk_label": sql("select ticker, prediction, risk_category from labelled"),
     "m08_attribution": sql(f"select ticker, dt, cluster, {many(6, *PHIS)} from phi_own"),
     "a14_attribution_by_cluster": sql(
-        "select cluster, " + ", ".join(r(f"avg({c})", 6, c) for c in PHIS) + " from phi_id group by cluster"
+        "select cluster, " + ", ".join(r(f"avg({c})", 6, c) for c in PHIS) + " from phi_own group by cluster"
     ),
+    "m08_attribution_of_cluster": sql(f"select ticker, dt, cluster, {many(6, *PHIS)} from phi_one"),
+    "m08_trained_attribution": sql("select count(*) as rows_explained, true as adds_up from z"),
+    "m11_whole_chain": sql(f"""
+      select stage, 'success' as status, n as "rows"
+      from (values ('enhanced'), ('features'), ('clustered')) t(stage),
+           (select count(*) as n from enhanced where {COMPLETE})"""),
     "m09_risk_score": sql("select user_id, s as risk_score from user_risk"),
     "m10_risk_bin": sql("select user_id, risk as risk_category from user_risk"),
     "m11_build_portfolio": sql("""
@@ -566,14 +619,16 @@ ORACLE = {
       select user_id, age, case when age < 30 then 'Mid Risk' when age > 50 then 'Low Risk' else 'High Risk' end as risk_category
       from users"""),
     "m14_signal": sql(f"""
-      select ticker, max(dt) as date, arg_max(close, dt) as last_close, {r("arg_max(sma_30, dt)", 4, "last_moving_avg")},
-             case when arg_max(close, dt) > arg_max(sma_30, dt) then 'Buy' else 'Hold' end as recommendation
-      from feats where sma_30 is not null group by ticker"""),
+      select ticker, dt as date, close as last_close, {r("sma_30", 4, "last_moving_avg")},
+             case when close > sma_30 then 'Buy' when sma_30 is not null then 'Hold' end as recommendation
+      from feats qualify row_number() over (partition by ticker order by dt desc) = 1"""),
     "m15_portfolio_view": sql("select ticker, category, momentum, pe_ratio, risk_category from labelled"),
     "t01_market_snapshots": sql("""
       select time_bucket(interval '15 minutes', ts) as window_start, asset, arg_max(price, (ts, event_id)) as price,
              count(*) as n_quotes
       from open_quotes group by all"""),
+    "t01_late_quotes": sql("""
+      select count(*) filter (day(ts) > 7) as kept, count(*) filter (day(ts) <= 7) as dropped from quotes"""),
     "t02_long_quotes": sql("""
       select w as ts, a as asset, arg_max(price, (ts, event_id)) as price
       from (select distinct time_bucket(interval '15 minutes', ts) as w from quotes)

@@ -13,9 +13,14 @@ from assetweave.functions.indicators import momentum
 from assetweave.operators.series import DAILY, Series
 
 
-def refresh_metadata(meta: DataFrame, prices: DataFrame, today: str, fields: list[str]) -> DataFrame:
-    """Compute metrics for the assets that lack any of ``fields`` and merge them into the metadata."""
-    todo = pending(prices, meta, fields)
+def refresh_metadata(
+    assets: DataFrame, meta: DataFrame, prices: DataFrame, today: str, fields: list[str]
+) -> DataFrame:
+    """Compute metrics for those of ``assets`` that lack any of ``fields`` and merge them into the metadata.
+
+    Prices are read once; the list of assets is a table of its own.
+    """
+    todo = pending(assets, meta, fields)
     metrics = asset_metrics(prices.join(todo, "ticker", "left_semi"), today)
     return merge_fields(meta, metrics, "ticker")
 

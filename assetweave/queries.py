@@ -11,23 +11,25 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from assetweave import schemas
 from assetweave.functions import indicators as ind
 from assetweave.functions.cleaning import clean_money, ratio
-from assetweave.functions.risk import age_risk, risk_bin, risk_score
+from assetweave.functions.risk import RISK_LABELS, age_risk, risk_bin, risk_score
 from assetweave.operators import attribution as shap
 from assetweave.operators import cleaning, cluster, market, merge, metrics, portfolio, profile, returns, rolling
 from assetweave.operators.ema import ema_lookback, with_ema
 from assetweave.operators.series import DAILY, Series, in_blocks
 from assetweave.plans import assets as asset_plans
 from assetweave.plans import features
+from assetweave.plans.advisor import explained, recommend
 from assetweave.plans.prices import returns_by_source
 from assetweave.session import new_path, stored
 from assetweave.sources import market_tables as tables
 from assetweave.sources import readers, sinks
+from assetweave.sources.keyed_table import read_keyed, upsert_table
 from assetweave.streaming import quotes as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,11 +38,13 @@ QUERIES: dict[str, Query] = {}
 #: fixed values shared with the SQL twins
 TODAY = tables.TODAY
 NOW = dt.datetime(2001, 11, 5, 12, 0, tzinfo=dt.timezone.utc)
+BEFORE = dt.datetime(2001, 1, 1, 12, 0, tzinfo=dt.timezone.utc)
 ONE_ASSET = "Supplier#000000001"
+AS_OF = ["1994-12-31", "1996-06-30", "1998-12-25", "2001-11-04"]
 VOLATILITY_CENTERS = [0.8, -0.8, 0.0]
 FEATURE_CENTERS = [[0.0, 0.0, 0.3, 1.0], [0.2, 0.0, -0.5, -0.6], [-0.3, 0.1, 0.8, 0.0]]
-#: rows per block, low enough that the test tables are cut into several blocks
-TEST_BLOCK = 2048
+#: assets that the queries on updates take as known already
+KNOWN_REGIONS = ["AFRICA", "ASIA"]
 
 
 def query(fn: Query) -> Query:
@@ -63,6 +67,16 @@ def rounded(df: DataFrame, **digits: int) -> DataFrame:
     return df.withColumns({c: F.floor(F.col(c) * 10.0**n + 0.4999) / 10.0**n for c, n in digits.items()})
 
 
+def _bars(spark, sf_dir):
+    """Bars for queries that pass over them more than once: ticks are read and aggregated once."""
+    return stored(tables.bars(spark, sf_dir), "bars")
+
+
+def _known(df: DataFrame) -> DataFrame:
+    """Rows of the assets that are known already, with their whole history."""
+    return df.where(F.col("category").isin(KNOWN_REGIONS))
+
+
 def key_of(df: DataFrame, *columns: str) -> DataFrame:
     return df.select("ticker", "dt", *columns)
 
@@ -121,8 +135,7 @@ def s05_load_prices(spark, sf_dir):
 def s06_ingest_audit(spark, sf_dir):
     universe = tables.assets(spark, sf_dir)
     raw = tables.raw_quotes(tables.bars(spark, sf_dir)).withColumnRenamed("asset", "ticker")
-    recent = readers.date_range(cleaning.curate_prices(raw), "2001-10-25", "2001-11-05")
-    return readers.ingest_audit(universe, recent)
+    return readers.ingest_audit(universe, cleaning.curate_prices(raw))
 
 
 @query
@@ -131,7 +144,14 @@ def s07_universe(spark, sf_dir):
 
 
 @query
-def s08_daily_json(spark, sf_dir):
+def s07_universe_mapping(spark, sf_dir):
+    """A universe given as lists per category, here the regions' assets."""
+    assets = tables.assets(spark, sf_dir)
+    rows = assets.groupBy("category").agg(F.sort_array(F.collect_list("ticker")).alias("tickers"))
+    return rows.select("category", F.explode("tickers").alias("ticker"))
+
+
+def _daily_json(spark, sf_dir):
     bars = tables.bars(spark, sf_dir)
     cells = [F.col(c).cast("string") for c in ("open", "high", "low", "close")]
     cells.append(F.col("volume").cast("bigint").cast("string"))
@@ -143,12 +163,25 @@ def s08_daily_json(spark, sf_dir):
     documents = bars.groupBy("ticker", F.trunc("dt", "month").alias("month")).agg(
         F.to_json(F.map_from_entries(F.collect_list(day))).alias("body")
     )
-    return readers.parse_daily_json(documents.select("ticker", "body"))
+    return documents.select("ticker", "body")
+
+
+@query
+def s08_daily_json(spark, sf_dir):
+    return readers.parse_daily_json(_daily_json(spark, sf_dir))
+
+
+@query
+def s08_daily_json_envelope(spark, sf_dir):
+    """Whole vendor responses, the days one level down."""
+    open_, close = F.lit(f'{{"Meta Data": {{"2. Symbol": "x"}}, "{readers.VENDOR_ENVELOPE}": '), F.lit("}")
+    wrapped = _daily_json(spark, sf_dir).withColumn("body", F.concat(open_, "body", close))
+    return readers.parse_daily_json(wrapped, envelope=readers.VENDOR_ENVELOPE)
 
 
 @query
 def s09_prices_for(spark, sf_dir):
-    prices = tables.bars(spark, sf_dir).withColumnRenamed("ticker", "asset")
+    prices = tables.bars(spark, sf_dir, ONE_ASSET).withColumnRenamed("ticker", "asset")
     return readers.prices_for(prices, ONE_ASSET)
 
 
@@ -203,7 +236,7 @@ def k04_append_csv(spark, sf_dir):
 
 
 def _base_and_delta(spark, sf_dir):
-    prices = tables.bars(spark, sf_dir).select("ticker", "dt", "close")
+    prices = _bars(spark, sf_dir).select("ticker", "dt", "close")
     day = F.col("dt")
     base = prices.where(day < F.lit("2000-01-01").cast("date")).withColumn(
         "last_updated", F.lit("2001-01-01").cast("date")
@@ -217,14 +250,36 @@ def _base_and_delta(spark, sf_dir):
 @query
 def k05_upsert(spark, sf_dir):
     base, delta = _base_and_delta(spark, sf_dir)
-    return merge.upsert(base, delta, ["ticker", "dt"], "last_updated")
+    return merge.upsert(base, delta, ["ticker", "dt"], "last_updated", ["close"])
+
+
+@query
+def k05_upsert_stored(spark, sf_dir):
+    """The same rows through the keyed table: stored by month, stamped, two deltas, one of them again."""
+    table, month = new_path(spark, "prices"), F.date_format("dt", "yyyy-MM")
+    order = [F.col("last_updated_timestamp").desc(), F.col("close").desc()]
+    base, delta = _base_and_delta(spark, sf_dir)
+    for rows, now in ((base, BEFORE), (delta, NOW), (delta, NOW)):
+        rows = rows.select("ticker", "dt", "close")
+        upsert_table(rows, table, ["ticker", "dt"], order, month, "close", now)
+    return _naive(read_keyed(spark, table), "last_updated_timestamp")
+
+
+@query
+def k05_upsert_counts(spark, sf_dir):
+    """Rows written and failed; a price that doesn't parse fails."""
+    raw = cleaning.curate_prices(_raw(spark, sf_dir)).select("asset", "dt", "close")
+    order = [F.col("last_updated_timestamp").desc(), F.col("close").desc()]
+    month = F.date_format("dt", "yyyy-MM")
+    counts = upsert_table(raw, new_path(spark, "prices"), ["asset", "dt"], order, month, "close", NOW)
+    return spark.createDataFrame([(counts["written"], counts["failed"])], "written long, failed long")
 
 
 @query
 def k06_merge_fields(spark, sf_dir):
     base = tables.attributes(spark, sf_dir).withColumn("daily_volatility", F.lit(-1.0))
-    recent = readers.date_range(tables.bars(spark, sf_dir), "2001-10-20", "2001-11-05")
-    delta = metrics.volatility(metrics.with_returns(recent)).select("ticker", "daily_volatility", "annual_volatility")
+    known = _known(tables.bars(spark, sf_dir))
+    delta = metrics.volatility(metrics.with_returns(known)).select("ticker", "daily_volatility", "annual_volatility")
     return rounded(merge.merge_fields(base, delta, "ticker"), daily_volatility=6, annual_volatility=6)
 
 
@@ -236,10 +291,24 @@ def k07_observe_stage(spark, sf_dir):
     return sinks.stage_metrics(spark, {"bars": seen})
 
 
+@query
+def k07_failed_stage(spark, sf_dir):
+    """A stage that fails is reported, and the others go on."""
+    quotes = _raw(spark, sf_dir)
+    broken = quotes.withColumn("close_text", F.when(F.col("close_text") == "n/a", F.raise_error(F.lit("no price"))))
+    stages = {
+        name: sinks.run_stage(df, name, lambda d, name=name: d.write.parquet(new_path(spark, name)))
+        for name, df in (("quotes", quotes), ("broken", broken))
+    }
+    found = sinks.stage_metrics(spark, stages)
+    return found.withColumn("status", F.regexp_extract("status", "^[a-z]+", 0))
+
+
 @query
 def k08_change_stats(spark, sf_dir):
     base, delta = _base_and_delta(spark, sf_dir)
-    return merge.change_stats(base, merge.upsert(base, delta, ["ticker", "dt"], "last_updated"), ["ticker", "dt"])
+    after = merge.upsert(base, delta, ["ticker", "dt"], "last_updated", ["close"])
+    return merge.change_stats(base, after, ["ticker", "dt"])
 
 
 # cleaning --------------------------------------------------------------------
@@ -315,7 +384,7 @@ def p08_missing_stamps(spark, sf_dir):
 
 @query
 def p09_impute_mean(spark, sf_dir):
-    curated = cleaning.curate_prices(_raw(spark, sf_dir)).select("asset", "dt", "close")
+    curated = stored(cleaning.curate_prices(_raw(spark, sf_dir)).select("asset", "dt", "close"), "curated")
     return rounded(cleaning.impute_mean(curated, ["close"]), close=6)
 
 
@@ -346,8 +415,7 @@ def p13_normalize_metadata(spark, sf_dir):
 
 @query
 def p14_j03_pending(spark, sf_dir):
-    recent = readers.date_range(tables.bars(spark, sf_dir), "2001-10-25", "2001-11-05")
-    meta = metrics.volatility(metrics.with_returns(recent))
+    meta = metrics.volatility(metrics.with_returns(_known(tables.bars(spark, sf_dir))))
     return merge.pending(tables.assets(spark, sf_dir), meta, ["daily_volatility"])
 
 
@@ -362,6 +430,13 @@ def p16_attach_user(spark, sf_dir):
     return cleaning.attach_user(latest, 30, 50000, 7)
 
 
+@query
+def p16_attach_users(spark, sf_dir):
+    """Many users: each with the assets of their risk class, of which a short list is chosen once per class."""
+    built = portfolio.build_portfolio(tables.users(spark, sf_dir), _labelled(spark, sf_dir), k=2)
+    return built.select("user_id", "age", "amount", "duration", "ticker", "risk_category")
+
+
 @query
 def p17_match_tolerance(spark, sf_dir):
     matched = portfolio.match_tolerance(_labelled(spark, sf_dir), tables.users(spark, sf_dir))
@@ -384,7 +459,7 @@ def p19_date_range(spark, sf_dir):
 
 @query
 def j01_with_market(spark, sf_dir):
-    bars = tables.bars(spark, sf_dir)
+    bars = _bars(spark, sf_dir)
     return key_of(market.with_market(bars, tables.market(bars)), "close", "close_market")
 
 
@@ -408,6 +483,12 @@ def j04_asof_close(spark, sf_dir):
     return returns.asof_close(tables.bars(spark, sf_dir), TODAY)
 
 
+@query
+def j04_asof_closes(spark, sf_dir):
+    """The price as of many days, one row per asset and day."""
+    return returns.asof_closes(tables.bars(spark, sf_dir), AS_OF)
+
+
 @query
 def j05_with_fundamentals(spark, sf_dir):
     joined = market.with_fundamentals(tables.bars(spark, sf_dir), tables.fundamentals(spark, sf_dir))
@@ -423,7 +504,7 @@ def a01_distinct_values(spark, sf_dir):
 
 
 def _lines(spark, sf_dir):
-    return readers.read_table(spark, f"{sf_dir}/lineitem.parquet").select(
+    return tables.table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"
     )
 
@@ -478,7 +559,7 @@ def a08_risk_adjusted(spark, sf_dir):
 
 @query
 def a09_beta(spark, sf_dir):
-    bars = tables.bars(spark, sf_dir)
+    bars = _bars(spark, sf_dir)
     joined = market.with_market_returns(market.with_market(bars, tables.market(bars)))
     return rounded(market.beta(joined), beta=6)
 
@@ -514,10 +595,10 @@ def a15_asset_metrics(spark, sf_dir):
 
 @query
 def a15_refresh_metadata(spark, sf_dir):
-    bars = tables.bars(spark, sf_dir)
-    early = readers.date_range(bars, "2001-10-25", "2001-11-05")
-    meta = metrics.volatility(metrics.with_returns(early)).select("ticker", "daily_volatility")
-    fresh = asset_plans.refresh_metadata(meta, bars, TODAY, ["daily_volatility"])
+    bars = _bars(spark, sf_dir)
+    meta = metrics.volatility(metrics.with_returns(_known(bars))).select("ticker", "daily_volatility")
+    assets = tables.assets(spark, sf_dir)
+    fresh = asset_plans.refresh_metadata(assets, stored(meta, "metadata"), bars, TODAY, ["daily_volatility"])
     out = fresh.select("ticker", "daily_volatility", "return_1y", "sharpe_ratio")
     return rounded(out, daily_volatility=6, return_1y=6, sharpe_ratio=6)
 
@@ -532,7 +613,7 @@ def w01_daily_return(spark, sf_dir):
 
 @query
 def w01_returns_by_source(spark, sf_dir):
-    merged = returns_by_source(_two_sources(spark, sf_dir), TEST_BLOCK)
+    merged = returns_by_source(_two_sources(spark, sf_dir))
     return merged.select("source", "asset", "ts", "seq", "close", "daily_return")
 
 
@@ -583,6 +664,15 @@ def w08_ema(spark, sf_dir):
     return rounded(key_of(df, "ema_20", "ema_50"), ema_20=4, ema_50=4)
 
 
+@query
+def w08_ema_with_gaps(spark, sf_dir):
+    """Closes missing at the start and in between."""
+    bars = tables.bars(spark, sf_dir).select("ticker", "dt", "close")
+    gone = (F.col("dt") < F.lit("1995-06-01").cast("date")) | (F.dayofmonth("dt") % 7 == 0)
+    df = with_ema(bars.withColumn("close", F.when(~gone, F.col("close"))), {"ema_20": 20, "ema_50": 50})
+    return rounded(key_of(df, "close", "ema_20", "ema_50"), ema_20=4, ema_50=4)
+
+
 @query
 def w09_bollinger(spark, sf_dir):
     df = rolling.with_bands(tables.bars(spark, sf_dir))
@@ -620,7 +710,7 @@ def w14_price_volume_ratio(spark, sf_dir):
 
 
 def _enhanced(spark, sf_dir, complete):
-    bars = tables.bars(spark, sf_dir)
+    bars = _bars(spark, sf_dir)
     return features.enhanced_bars(bars, tables.market(bars), tables.fundamentals(spark, sf_dir), complete=complete)
 
 
@@ -670,7 +760,7 @@ def w18_basic_features_blocked(spark, sf_dir):
     def compute(df, s):
         return features.basic_features(df, s, complete=False)
 
-    df = in_blocks(tables.bars(spark, sf_dir), DAILY, features.BASIC_LOOKBACK, compute, TEST_BLOCK)
+    df = in_blocks(tables.bars(spark, sf_dir), DAILY, features.BASIC_LOOKBACK, compute)
     return rounded(df.na.drop(subset=features.BASIC), **BASIC_DIGITS)
 
 
@@ -702,7 +792,7 @@ def w19_advanced_features_blocked(spark, sf_dir):
     def compute(df, s):
         return features.advanced_features(df, s, complete=False)
 
-    df = in_blocks(tables.bars(spark, sf_dir), DAILY, features.ADVANCED_LOOKBACK, compute, TEST_BLOCK)
+    df = in_blocks(tables.bars(spark, sf_dir), DAILY, features.ADVANCED_LOOKBACK, compute)
     return rounded(df.na.drop(subset=features.ADVANCED), **ADVANCED_DIGITS)
 
 
@@ -756,14 +846,41 @@ def m01_scale(spark, sf_dir):
     return rounded(out, **{n: 6 for n in names})
 
 
+# A trained model's clusters depend on random starts, so these queries return
+# facts that hold of any right result and that SQL can state.
+
+
 @query
 def m02_elbow(spark, sf_dir):
-    return cluster.elbow(_basic(spark, sf_dir), cluster.FEATURES_5)
+    """Per number of clusters: whether its cost lies between zero and that of a single cluster."""
+    basic = _basic(spark, sf_dir)
+    costs = cluster.elbow(basic, cluster.FEATURES_5)
+    single = len(cluster.FEATURES_5) * (basic.count() - 1)  # standardised features have variance one
+    return costs.select("k", F.col("cost").between(0, single * (1 + 1e-9)).alias("plausible"))
+
+
+def _cluster_facts(rows, features):
+    """One row: rows scored, clusters used, rows that lie nearer to another cluster's center."""
+    rows = stored(rows, "model-rows")
+    model = cluster.train(rows, features)
+    scored = cluster.predict(model, rows)
+    _, _, centers = cluster.scaler_and_centers(model)
+    at = vector_to_array("features")
+    distance = [
+        F.aggregate(F.zip_with(at, F.array(*map(F.lit, c)), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
+        for c in centers
+    ]
+    own = F.array(*distance)[F.col("prediction")]
+    return scored.agg(
+        F.count("prediction").alias("rows_scored"),
+        F.count_distinct("prediction").alias("clusters"),
+        F.count_if(own > F.least(*distance) + 1e-9).alias("misplaced"),
+    )
 
 
 @query
 def m03_cluster_5(spark, sf_dir):
-    return key_of(cluster.cluster(_basic(spark, sf_dir), cluster.FEATURES_5), "prediction")
+    return _cluster_facts(_basic(spark, sf_dir), cluster.FEATURES_5)
 
 
 def _all_features(spark, sf_dir):
@@ -772,18 +889,19 @@ def _all_features(spark, sf_dir):
 
 @query
 def m03_cluster_10(spark, sf_dir):
-    return key_of(cluster.cluster(_all_features(spark, sf_dir), cluster.FEATURES_10), "prediction")
+    return _cluster_facts(_all_features(spark, sf_dir), cluster.FEATURES_10)
 
 
 @query
 def m03_cluster_4(spark, sf_dir):
-    return key_of(cluster.cluster(_all_features(spark, sf_dir), cluster.FEATURES_4), "prediction")
+    return _cluster_facts(_all_features(spark, sf_dir), cluster.FEATURES_4)
 
 
 @query
 def m04_silhouette(spark, sf_dir):
     clustered = cluster.cluster(_basic(spark, sf_dir), cluster.FEATURES_5)
-    return spark.createDataFrame([(cluster.silhouette(clustered),)], "silhouette double")
+    value = cluster.silhouette(clustered)
+    return spark.createDataFrame([(clustered.count(), -1 <= value <= 1)], "rows_scored long, in_range boolean")
 
 
 def _labelled(spark, sf_dir):
@@ -800,31 +918,42 @@ def m05_risk_label(spark, sf_dir):
 @query
 def m05_trained_risk_label(spark, sf_dir):
     clustered = cluster.cluster(_basic(spark, sf_dir), cluster.FEATURES_5)
-    return key_of(cluster.risk_label(clustered), "prediction", "risk_category")
+    labelled = cluster.risk_label(clustered)
+    means = labelled.groupBy("risk_category").agg(F.avg("volatility_10").alias("mean"), F.count("*").alias("n"))
+    level = F.array_position(F.array(*map(F.lit, RISK_LABELS)), F.col("risk_category"))
+    by_mean = F.row_number().over(Window.orderBy("mean"))  # one row per label
+    facts = means.select("n", (by_mean == level).alias("in_order"))
+    return facts.agg(F.sum("n").alias("rows_labelled"), F.count("*").alias("labels"), F.bool_and("in_order").alias("in_order"))
 
 
 @query
 def m06_m07_train_and_score(spark, sf_dir):
+    """A saved model scores every row, also those with gaps, as the model it was saved from."""
     path = new_path(spark, "model")
-    complete = cleaning.impute_mean(_all_features(spark, sf_dir), cluster.FEATURES_4)
-    cluster.save(cluster.train(complete, cluster.FEATURES_4), path)
-    return key_of(cluster.score(complete, path), "prediction")
+    gap = F.dayofmonth("dt") % 9 == 0
+    rows = _all_features(spark, sf_dir).withColumn("alpha", F.when(~gap, F.col("alpha")))
+    rows = stored(rows, "with-gaps")
+    model = cluster.train(rows, cluster.FEATURES_4)
+    cluster.save(model, path)
+    before = cluster.predict(model, rows).select("ticker", "dt", "prediction")
+    after = cluster.score(rows, path).select("ticker", "dt", F.col("prediction").alias("reloaded"))
+    return before.join(after, ["ticker", "dt"], "full_outer").agg(
+        F.count("*").alias("rows_scored"),
+        F.count_if(~F.col("prediction").eqNullSafe(F.col("reloaded"))).alias("different"),
+        F.count_if(F.col("reloaded").isNull()).alias("without_cluster"),
+    )
 
 
 def _attributed(spark, sf_dir, target):
-    columns = ["beta", "daily_return", "dividend_yield", "volatility_10"]
+    columns = cluster.FEATURES_4
     bars = features.ensure_features(_enhanced(spark, sf_dir, True), ["intraday_return", "volatility_10"])
     complete = stored(bars.select("ticker", "category", "dt", *columns).na.drop(), "explained")
     scaled = cluster.standardize(complete, columns)
     names = [f"z_{c}" for c in columns]
-    # a weighted summary of all rows: one background row per category
-    background = scaled.groupBy("category").agg(
-        *[F.avg(c).alias(c) for c in names], F.count(F.lit(1)).alias("weight")
-    )
-    return shap.attribution(scaled, names, FEATURE_CENTERS, background, target, keep=("ticker", "dt"))
+    return shap.attribution(scaled, names, FEATURE_CENTERS, shap.cells(scaled, names), target, keep=("ticker", "dt"))
 
 
-ATTRIBUTIONS = {f"phi_z_{c}": 6 for c in ("beta", "daily_return", "dividend_yield", "volatility_10")}
+ATTRIBUTIONS = {f"phi_z_{c}": 6 for c in cluster.FEATURES_4}
 
 
 @query
@@ -834,7 +963,32 @@ def m08_attribution(spark, sf_dir):
 
 @query
 def a14_attribution_by_cluster(spark, sf_dir):
-    return rounded(shap.attribution_by_cluster(_attributed(spark, sf_dir, "id")), **ATTRIBUTIONS)
+    """Per cluster, what on average puts its rows into it."""
+    return rounded(shap.attribution_by_cluster(_attributed(spark, sf_dir, "own")), **ATTRIBUTIONS)
+
+
+@query
+def m08_attribution_of_cluster(spark, sf_dir):
+    """What speaks for and against one cluster, for every row."""
+    return rounded(_attributed(spark, sf_dir, 1), **ATTRIBUTIONS)
+
+
+@query
+def m08_trained_attribution(spark, sf_dir):
+    """A trained model: a row's attributions add up to what its cluster has over the average row."""
+    rows = _all_features(spark, sf_dir)
+    model = cluster.train(rows, cluster.FEATURES_4)
+    scored = stored(cluster.predict(model, rows).drop("features"), "scored")
+    phi = explained(scored, model, keep=("ticker", "dt"))
+    total = sum((F.col(f"phi_z_{c}") for c in cluster.FEATURES_4[1:]), F.col(f"phi_z_{cluster.FEATURES_4[0]}"))
+    # 1 less the chance of the cluster in the background: the same for all rows of a cluster, between 0 and 1
+    per_cluster = phi.groupBy("cluster").agg(
+        F.count("*").alias("n"), F.min(total).alias("least"), F.max(total).alias("most")
+    )
+    return per_cluster.agg(
+        F.sum("n").alias("rows_explained"),
+        F.bool_and((F.col("most") - F.col("least") < 1e-9) & F.col("least").between(-1e-9, 1)).alias("adds_up"),
+    )
 
 
 # users and portfolios --------------------------------------------------------
@@ -887,6 +1041,20 @@ def m15_portfolio_view(spark, sf_dir):
     return portfolio.portfolio_view(_labelled(spark, sf_dir))
 
 
+@query
+def m11_whole_chain(spark, sf_dir):
+    """Bars to features, clusters, explanations and portfolios: rows of each written stage."""
+    bars = _bars(spark, sf_dir)
+    out = recommend(
+        bars,
+        tables.market(bars),
+        tables.fundamentals(spark, sf_dir),
+        tables.users(spark, sf_dir),
+        new_path(spark, "advisor"),
+    )
+    return out["stages"].where("stage in ('enhanced', 'features', 'clustered')")
+
+
 # streams ---------------------------------------------------------------------
 
 
@@ -894,6 +1062,16 @@ def _quote_stream(spark, sf_dir):
     return stream.as_quotes(stream.stream_table(spark, sf_dir, schemas.EVENTS, "events.parquet"))
 
 
+def _quote_batches(spark, sf_dir):
+    """The quotes as several files, which arrive one per micro-batch."""
+    landed = new_path(spark, "landed")
+    events = tables.table(spark, sf_dir, "events")
+    for part in range(4):
+        week = F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(3)) == part
+        events.where(week).coalesce(1).write.mode("append").parquet(landed)
+    return stream.as_quotes(stream.stream_table(spark, landed, schemas.EVENTS, files_per_batch=1))
+
+
 def _naive(df, column="ts"):
     return df.withColumn(column, F.col(column).cast("timestamp_ntz"))
 
@@ -901,17 +1079,42 @@ def _naive(df, column="ts"):
 @query
 def t01_market_snapshots(spark, sf_dir):
     path, checkpoint = new_path(spark, "snapshots"), new_path(spark, "checkpoint")
-    feed = stream.unique_quotes(stream.during_market(_quote_stream(spark, sf_dir)), lateness="40 days")
+    feed = stream.unique_quotes(stream.during_market(_quote_batches(spark, sf_dir)), lateness="40 days")
     stream.write_batches(stream.snapshots(feed), path, checkpoint).awaitTermination()
     return _naive(stream.read_newest(spark, path, ["window_start", "asset"]), "window_start")
 
 
+@query
+def t01_late_quotes(spark, sf_dir):
+    """The first week arrives last: what is later than the watermark is counted, not lost unseen.
+
+    A batch is held against the watermark that the batch before its predecessor left.
+    """
+    landed, path, checkpoint = (new_path(spark, n) for n in ("landed", "unique", "checkpoint"))
+    events = tables.table(spark, sf_dir, "events")
+    day = F.dayofmonth("ts")
+    for part in (day.between(8, 20), day > 20, day < 8):
+        events.where(part).coalesce(1).write.mode("append").parquet(landed)
+    quotes = stream.as_quotes(stream.stream_table(spark, landed, schemas.EVENTS, files_per_batch=1))
+    query = stream.append_to(stream.unique_quotes(quotes, lateness="1 day"), path, checkpoint)
+    query.awaitTermination()
+    kept = spark.read.parquet(path).count()
+    return spark.createDataFrame([(kept, stream.dropped_rows(query))], "kept long, dropped long")
+
+
+#: columns of a wide snapshot
+WIDEST = 1000
+
+
 @query
 def t02_long_quotes(spark, sf_dir):
     landed, path, checkpoint = (new_path(spark, n) for n in ("wide", "long", "checkpoint"))
     quotes = tables.quotes(spark, sf_dir)
-    # the assets are the columns of a wide snapshot, so their number is small
-    assets = sorted(r.asset for r in quotes.select("asset").distinct().collect())
+    # the assets are the columns of a wide snapshot, so their number is bounded by what a row can hold
+    found = quotes.select("asset").distinct().limit(WIDEST + 1).collect()
+    if len(found) > WIDEST:
+        raise ValueError(f"more than {WIDEST} assets are too many for a wide snapshot")
+    assets = sorted(r.asset for r in found)
     quarter = F.window(F.col("ts").cast("timestamp"), "15 minutes").start.alias("ts")
     wide = quotes.groupBy(quarter).pivot("asset", assets).agg(F.max_by("price", F.struct("ts", "event_id")))
     wide.write.parquet(landed)
@@ -929,11 +1132,11 @@ def t03_append_quotes(spark, sf_dir):
 
 @query
 def t04_upsert_stream(spark, sf_dir):
-    path, checkpoint = new_path(spark, "closes"), new_path(spark, "checkpoint")
-    daily = _quote_stream(spark, sf_dir).withColumn("dt", F.to_date("ts"))
+    table, checkpoint = new_path(spark, "closes"), new_path(spark, "checkpoint")
+    daily = _quote_batches(spark, sf_dir).withColumn("dt", F.to_date("ts"))
     order = [F.col("ts").desc(), F.col("event_id").desc()]
-    stream.upsert_stream(daily, path, checkpoint, ["asset", "dt"], order).awaitTermination()
-    return _naive(stream.read_newest(spark, path, ["asset", "dt"], order))
+    stream.upsert_stream(daily, table, checkpoint, ["asset", "dt"], order, F.col("dt")).awaitTermination()
+    return _naive(read_keyed(spark, table))
 
 
 @query
@@ -946,7 +1149,7 @@ def t05_latest_prices(spark, sf_dir):
 @query
 def w01_quote_returns_blocked(spark, sf_dir):
     quotes = tables.quotes(spark, sf_dir).withColumnRenamed("price", "close")
-    return metrics.quote_returns(quotes, Series(("asset",), ("ts", "event_id")), TEST_BLOCK)
+    return metrics.quote_returns(quotes, Series(("asset",), ("ts", "event_id")))
 
 
 @query
@@ -957,6 +1160,5 @@ def w08_quote_ema_blocked(spark, sf_dir):
         Series(("asset",), ("ts", "event_id")),
         ema_lookback(20),
         lambda block, s: with_ema(block, {"ema_20": 20}, "price", s),
-        TEST_BLOCK,
     )
     return rounded(df.select("event_id", "asset", "ema_20"), ema_20=4)

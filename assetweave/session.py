@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def session(app: str = "assetweave", master: str | None = None, **conf: str) -> SparkSession:
@@ -41,18 +44,29 @@ def shared_dir(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="assetweave-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         context.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
+_own_folders: set[str] = set()
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses.
 
-    All paths of an application are below one folder named after it, which can
-    be removed when the application has ended.
+    All paths of an application are below one folder named after it, which the
+    driver removes when the application ends.
     """
-    application = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/assetweave-{application}/{name}-{uuid.uuid4().hex}"
+    folder = f"{shared_dir(spark)}/assetweave-{spark.sparkContext.applicationId}"
+    if folder not in _own_folders:
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        store.mkdirs(path)
+        store.deleteOnExit(path)
+        _own_folders.add(folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -64,3 +78,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bounded(df: DataFrame, most: int, name: str) -> DataFrame:
+    """``df`` written, and broadcast if it has ``most`` rows at most; else its size decides how it is joined."""
+    df = stored(df, name)
+    return F.broadcast(df) if df.count() <= most else df

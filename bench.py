@@ -20,6 +20,7 @@ from assetweave.session import session
 
 HEADLINE = [
     "a15_asset_metrics",
+    "a15_refresh_metadata",
     "a07_trailing_returns",
     "a09_beta",
     "a03_dedupe",
@@ -32,8 +33,12 @@ HEADLINE = [
     "w18_basic_features",
     "w18_basic_features_blocked",
     "w19_advanced_features",
+    "w19_advanced_features_blocked",
     "w20_enhanced_bars",
+    "m02_elbow",
     "m03_cluster_5",
+    "m03_cluster_10",
+    "m06_m07_train_and_score",
     "m08_attribution",
     "m11_build_portfolio",
     "m14_signal",

@@ -99,7 +99,7 @@ def test_missing_eps_keeps_the_row(make_bars, spark):
 def test_refresh_computes_only_missing_assets(make_bars, spark):
     bars = make_bars({"A": [1.0, 2.0, 3.0], "B": [1.0, 3.0, 2.0], "C": [2.0, 1.0, 2.0]})
     meta = spark.createDataFrame([("A", 0.5, "x"), ("B", float("nan"), "y")], "ticker string, daily_volatility double, note string")
-    fresh = asset_plans.refresh_metadata(meta, bars, "2020-01-03", ["daily_volatility"])
+    fresh = asset_plans.refresh_metadata(bars.select("ticker"), meta, bars, "2020-01-03", ["daily_volatility"])
     rows = {r.ticker: r for r in fresh.collect()}
     assert rows["A"].daily_volatility == 0.5 and rows["A"].sharpe_ratio is None
     assert rows["B"].note == "y" and rows["B"].daily_volatility == pytest.approx(statistics.stdev([2.0, -1 / 3]))

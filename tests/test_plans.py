@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from assetweave.operators import merge, metrics, portfolio
 from assetweave.plans import features
+from assetweave.queries import QUERIES
 from assetweave.session import stored
 from assetweave.sources import market_tables as tables
 from assetweave.sources import readers
@@ -49,7 +50,7 @@ def test_bars_are_hash_aggregated_before_the_join(spark, sf_dir):
     "build",
     [
         lambda b: merge.dedupe(b, ["ticker", "dt"], ["close"]),
-        lambda b: merge.upsert(b, b, ["ticker", "dt"], "dt"),
+        lambda b: merge.upsert(b, b, ["ticker", "dt"], "dt", ["close"]),
         lambda b: portfolio.choose_assets(b, ["category"]),
     ],
 )
@@ -75,6 +76,26 @@ def test_date_range_is_pushed_into_the_scan(bars):
     assert "GreaterThanOrEqual(dt,1998-01-01)" in text and "LessThan(dt,1999-01-01)" in text
 
 
+def scans(text, column="l_suppkey"):
+    return len(re.findall(rf"FileScan parquet \[[^\]]*{column}", text))
+
+
+def test_one_asset_reads_only_its_own_ticks_into_the_aggregation(spark, sf_dir):
+    text = plan(QUERIES["s09_prices_for"](spark, sf_dir))
+    below = text[text.rindex("HashAggregate(keys=[l_suppkey") :]
+    assert "LeftSemi" in below and "EqualTo(s_name,Supplier#000000001)" in below
+
+
+@pytest.mark.parametrize(
+    "name",
+    "j01_with_market a09_beta w15_alpha w20_enhanced_bars p04_project_enhanced k08_change_stats p09_impute_mean "
+    "a15_refresh_metadata".split(),
+)
+def test_ticks_are_read_once(spark, sf_dir, name):
+    """The bars are stored by one pass; what follows reads the stored rows."""
+    assert scans(plan(QUERIES[name](spark, sf_dir))) == 0
+
+
 def test_users_are_not_shuffled_for_their_portfolios(spark, sf_dir, bars):
     label = F.when(F.col("close") > 1000, "Low Risk").otherwise("High Risk")
     labelled = bars.select("ticker", "category", label.alias("risk_category"), F.col("close").alias("momentum"))

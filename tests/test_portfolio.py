@@ -71,7 +71,8 @@ def test_sector_shares_sum_to_one(assets):
 def test_signal(make_bars):
     rising = [float(i) for i in range(1, 32)]
     out = {r.ticker: r for r in portfolio.signal(make_bars({"UP": rising, "DOWN": rising[::-1], "NEW": rising[:29]})).collect()}
-    assert set(out) == {"UP", "DOWN"}
+    assert set(out) == {"UP", "DOWN", "NEW"}
+    assert out["NEW"].last_close == 29.0 and out["NEW"].last_moving_avg is None and out["NEW"].recommendation is None
     assert out["UP"].recommendation == "Buy" and out["DOWN"].recommendation == "Hold"
     assert out["UP"].last_close == 31.0 and out["UP"].last_moving_avg == pytest.approx(16.5)
 
