@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 ISO_DATE = "yyyy-MM-dd"
 US_DATE = "MM/dd/yyyy"
 US_DATE_PATTERN = r"^\d{2}/\d{2}/\d{4}$"
+#: fixed values: signs in stored amounts, and the text for a missing value
+MONEY_SIGNS = r"[\$,]"
+NOT_AVAILABLE = "N/A"
 
 
 def col(c: Column | str) -> Column:
@@ -22,7 +25,7 @@ def ratio(numerator: Column | str, denominator: Column | str) -> Column:
 
 def clean_money(text: Column | str) -> Column:
     """``"$1,234.50"`` to 1234.5."""
-    number = F.regexp_replace(F.trim(col(text)), r"[\$,]", "").try_cast("double")
+    number = F.regexp_replace(F.trim(col(text)), MONEY_SIGNS, "").try_cast("double")
     return F.when(~F.isnan(number), number)
 
 
@@ -41,7 +44,7 @@ def parse_price_date(text: Column | str) -> Column:
 
 def missing_text(c: Column | str) -> Column:
     """NULL or the "N/A" sentinel."""
-    return col(c).isNull() | (col(c) == "N/A")
+    return col(c).isNull() | (col(c) == NOT_AVAILABLE)
 
 
 def nan_to_null(c: Column | str) -> Column:

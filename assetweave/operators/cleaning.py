@@ -19,7 +19,7 @@ from assetweave.functions.cleaning import (
 )
 from assetweave.schemas import require_columns
 
-#: descriptive fields of an asset; a fixed list
+#: fixed values: descriptive fields of an asset
 DESCRIPTIVE = [
     "short_name",
     "long_name",
@@ -30,7 +30,7 @@ DESCRIPTIVE = [
     "currency",
     "description",
 ]
-#: fields whose absence marks an asset for enrichment
+#: fixed values: fields whose absence marks an asset for enrichment
 IDENTIFYING = ["short_name", "long_name", "asset_type"]
 
 

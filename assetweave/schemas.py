@@ -83,9 +83,9 @@ STORED = {
     "events": EVENTS,
 }
 
-#: column list of the basic processed table
+#: fixed values: column list of the basic processed table
 PROCESSED = ["dt", "open", "high", "low", "close", "volume", "ticker", "category"]
-#: column list of the enhanced processed table
+#: fixed values: column list of the enhanced processed table
 PROCESSED_ENHANCED = [*PROCESSED, "momentum", "beta", "alpha", "pe_ratio", "dividend_yield"]
 
 
