@@ -1,12 +1,14 @@
 """Op 6: document quality from a linear-chain conditional random field over lines.
 
 Every line is good or bad. Its features are shares of character kinds, repeats of
-words and lines, and its size; the lines before and after add theirs. Training
+words and lines, and its size; the lines before and after add theirs, and the line's
+own shares also count by level. Training
 lines carry their document's label; weights of features and of the change from
 line to line are fitted by gradient steps on at most ``SAMPLE`` labelled documents
-(first by hash of doc_id, texts of at most ``SAMPLE_CHARS``). Scores use the text
-alone: forward-backward gives each line's chance of being good, and their mean,
-weighted by line length, is the document's score.
+(first by hash of doc_id, texts of at most ``SAMPLE_CHARS``). Scores use the
+text alone: forward-backward gives each line's chance of being good, and their mean,
+weighted by line length, is the document's score, after a logistic calibration on
+the same labelled documents.
 
 Null and empty texts are one empty line and get its score. Rows stand for
 themselves; repeated labels count by their smallest value; labels without a
@@ -27,9 +29,9 @@ from assetweave.llm.tasks import Batches, fresh, map_batches
 from assetweave.llm.text import LOWER, NOT_SPACE, bounds, buffers, chunks, mix, text_of
 
 #: labelled documents that the model is fitted on, and their longest text
-SAMPLE, SAMPLE_CHARS = 4000, 50_000
+SAMPLE, SAMPLE_CHARS = 6_000, 50_000
 THRESHOLD = 0.7
-STEPS, RATE, RIDGE = 120, 0.2, 1e-4
+STEPS, RATE, RIDGE = 200, 0.1, 1e-5
 
 _KIND = np.full(256, 7, np.uint8)
 _KIND[65:91] = 0  # upper case
@@ -42,11 +44,15 @@ _KIND[33] = 5  # !
 _KIND[124] = 6  # |
 SHARES = 8
 FEATURES = SHARES + 6
+#: a share's levels, as features of the line itself
+LEVELS = (0.02, 0.1, 0.4)
+BINNED = SHARES + 3
+WIDTH = 3 * FEATURES + BINNED * len(LEVELS) + 1
 
 
 @dataclass
 class Lines:
-    features: np.ndarray  # one row per line
+    features: np.ndarray  # one row per line, single precision
     size: np.ndarray  # bytes
     first: np.ndarray  # document i has the lines first[i]:first[i + 1]
 
@@ -93,8 +99,20 @@ def lines_of(column: pa.Array) -> Lines:
     before[1:], after[:-1] = own[:-1], own[1:]
     before[first[:-1]] = 0
     after[first[1:] - 1] = 0
-    ones = np.ones((n, 1))
-    return Lines(np.hstack([own, before, after, ones]), size, first)
+    levels = [own[:, :BINNED] > level for level in LEVELS]
+    parts = [own, before, after, *levels, np.ones((n, 1))]
+    features, at = np.empty((n, WIDTH), np.float32), 0
+    for part in parts:
+        features[:, at : at + part.shape[1]] = part
+        at += part.shape[1]
+    return Lines(features, size, first)
+
+
+def joined(parts: list[Lines]) -> Lines:
+    """The documents of several columns, one after the other."""
+    counts = np.concatenate([np.diff(p.first) for p in parts])
+    first = np.concatenate([[0], np.cumsum(counts)])
+    return Lines(np.concatenate([p.features for p in parts]), np.concatenate([p.size for p in parts]), first)
 
 
 class Chain:
@@ -102,6 +120,7 @@ class Chain:
 
     def __init__(self, width: int):
         self.weights, self.change = np.zeros(width), np.zeros((2, 2))
+        self.slope, self.offset = 1.0, 0.0
 
     def _steps(self, first: np.ndarray):
         """For place 0, 1, ... the lines at that place of all documents that are long enough."""
@@ -116,7 +135,7 @@ class Chain:
 
     def marginals(self, lines: Lines, pairs: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """Each line's chance of being good; with ``pairs`` the expected number of each change."""
-        score = lines.features @ self.weights
+        score = (lines.features @ self.weights.astype(np.float32)).astype(np.float64)
         local = np.stack([-score / 2, score / 2], 1)
         local = np.exp(local - local.max(axis=1, keepdims=True))
         step = np.exp(self.change)
@@ -138,7 +157,10 @@ class Chain:
         return good, expected
 
     def fit(self, lines: Lines, label: np.ndarray) -> Chain:
-        """Gradient ascent (Adam) on the likelihood of labels; ``label`` is one per document, shared by its lines."""
+        """Gradient ascent (Adam) on the likelihood of labels; ``label`` is one per document, shared by its lines.
+
+        ``lines.features`` is scaled in place.
+        """
         counts = np.diff(lines.first)
         if not len(counts):
             return self
@@ -147,22 +169,40 @@ class Chain:
         for k in (0, 1):
             observed[k, k] = (counts - 1)[label == k].sum()
         total = len(target)
-        scale = np.maximum(lines.features.std(axis=0), 1e-3)
+        scale = np.maximum(lines.features.std(axis=0, dtype=np.float64), 1e-3)
         scale[-1] = 1
-        scaled = Lines(lines.features / scale, lines.size, lines.first)
+        lines.features /= scale.astype(np.float32)
         theta = np.zeros(len(self.weights) + 4)
         m, v = np.zeros_like(theta), np.zeros_like(theta)
         for t in range(1, STEPS + 1):
             self.weights, self.change = theta[:-4], theta[-4:].reshape(2, 2)
-            good, expected = self.marginals(scaled, pairs=True)
-            gradient = np.concatenate([scaled.features.T @ (target - good), (observed - expected).ravel()]) / total
+            good, expected = self.marginals(lines, pairs=True)
+            slope = lines.features.T @ (target - good).astype(np.float32)
+            gradient = np.concatenate([slope, (observed - expected).ravel()]) / total
             gradient -= RIDGE * theta
             m, v = 0.9 * m + 0.1 * gradient, 0.999 * v + 0.001 * gradient**2
             theta = theta + RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-        self.weights, self.change = theta[:-4] / scale, theta[-4:].reshape(2, 2)
+        self.weights, self.change = theta[:-4], theta[-4:].reshape(2, 2)
+        if 0 < label.mean() < 1:
+            self._calibrate(_logit(self.means(lines)), label)
+        self.weights = self.weights / scale
         return self
 
+    def _calibrate(self, z: np.ndarray, label: np.ndarray) -> None:
+        """Newton steps for slope and offset of a logistic curve over the mean's logit."""
+        x, theta = np.stack([z, np.ones_like(z)], 1), np.array([1.0, 0.0])
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-np.clip(x @ theta, -30, 30)))
+            gradient = x.T @ (label - p) - RIDGE * len(z) * (theta - [1, 0])
+            curve = (x * (p * (1 - p))[:, None]).T @ x + RIDGE * len(z) * np.eye(2)
+            theta = theta + np.clip(np.linalg.solve(curve, gradient), -1, 1)
+        self.slope, self.offset = max(theta[0], 1e-3), theta[1]
+
     def scores(self, lines: Lines) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.slope * _logit(self.means(lines)) + self.offset, -500, 500)))
+
+    def means(self, lines: Lines) -> np.ndarray:
+        """Each document's mean chance of its lines, weighted by their length."""
         good, _ = self.marginals(lines)
         if not len(good):
             return np.zeros(len(lines.first) - 1)
@@ -172,6 +212,11 @@ class Chain:
         return np.clip(np.add.reduceat(good * weight, lines.first[:-1]) / total, 0, 1)
 
 
+def _logit(p: np.ndarray) -> np.ndarray:
+    p = np.clip(p, 1e-9, 1 - 1e-9)
+    return np.log(p) - np.log1p(-p)
+
+
 def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("long").cast("string")) % 4 == 2, F.lit(False))
 
@@ -184,9 +229,12 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Cha
     rows = docs.select(F.col("doc_id").cast("long").alias("_doc"), "text")
     rows = rows.where((F.length("text") <= SAMPLE_CHARS) & ~held_out(F.col("_doc")))
     # the sample is bounded by its size
-    rows = rows.join(F.broadcast(known), "_doc").orderBy("_doc", "text").limit(sample).toPandas()
-    chain = Chain(3 * FEATURES + 1)
-    return chain.fit(lines_of(pa.array(rows["text"], pa.string())), rows["_label"].to_numpy()) if len(rows) else chain
+    rows = rows.join(F.broadcast(known), "_doc").orderBy("_doc", "text").limit(sample).toArrow()
+    chain = Chain(WIDTH)
+    if not rows.num_rows:
+        return chain
+    lines = joined([lines_of(text_of(batch)) for batch in chunks(iter(rows.to_batches()), size=1 << 20)])
+    return chain.fit(lines, rows["_label"].to_numpy())
 
 
 def _score(chain: Chain, name: str):
