@@ -5,11 +5,15 @@
    ``n - ceil(0.8 n) + n / 10`` tokens are its prefix; two linked classes share at
    least a tenth of the smaller one's size within their prefixes. Classes with
    fewer prefix tokens that any other class holds have no partner and drop out.
-3. Token-group matrix: the rest is partitioned into groups of similar documents
+   Of the rest the whole sets are counted, and classes drop out of whose tokens
+   less than 80 % occur in another one.
+3. Token-group matrix: what is left is partitioned into groups of similar documents
    by min-hash, groups are searched exactly, and what is linked becomes one group.
-   The matrix holds the prefix tokens of every group. A document queries the groups
-   that hold one of its rarer prefix tokens, other than its own group; a group is
-   opened only if the union of its tokens holds 80 % of the document's. The
+   The matrix holds every group's tokens that may be the rarest common ones: of two
+   linked sets these are within the ``n - ceil(0.8 n) + 1`` rarest of either. A
+   document queries the groups that hold one of its own such tokens, other than its
+   own group, if sizes fit and enough tokens follow that one on both sides. A group
+   is opened only if the union of its tokens holds 80 % of the document's. The
    smaller of two groups asks the larger.
 4. Links join classes to components.
 
@@ -45,7 +49,6 @@ GROUP_TOKENS = 1 << 20
 #: rows of a side that may be broadcast
 BROADCAST_ROWS = 1_000_000
 _K = np.uint64(0x9E3779B97F4A7C15)
-_OTHER = np.uint64(0xD6E8FEB86659FD93)
 
 
 def need(n: int, least: int = LEAST) -> int:
@@ -103,18 +106,24 @@ def _classes(least: int):
 
 
 def _token_sets(batches: Batches) -> Batches:
-    """Class, size, tokens and two min-hashes of every row."""
+    """Class, size, min-hash and tokens of every row."""
     for batch in chunks(batches):
         rows = [t for t in shingles(words(text_of(batch), NOT_SPACE)) if len(t)]
-        second = [int((mix(t * _OTHER)).min().view(np.int64)) for t in rows]
         columns = [
             pa.array([_class_of(t) for t in rows], pa.int64()),
             pa.array([len(t) for t in rows], pa.int64()),
             pa.array([int(t[0].view(np.int64)) for t in rows], pa.int64()),
-            pa.array(second, pa.int64()),
             pa.array([t.tobytes() for t in rows], pa.binary()),
         ]
-        yield pa.RecordBatch.from_arrays(columns, ["class", "n", "g1", "g2", "tokens"])
+        yield pa.RecordBatch.from_arrays(columns, ["class", "n", "g", "tokens"])
+
+
+def _exploded(batches: Batches) -> Batches:
+    for batch in batches:
+        sizes = [len(t.as_py()) // 8 for t in batch.column(1)]
+        tokens = np.frombuffer(b"".join(t.as_py() for t in batch.column(1)), np.int64)
+        classes = np.repeat(batch.column(0).to_numpy(), sizes)
+        yield pa.RecordBatch.from_arrays([pa.array(classes), pa.array(tokens)], ["class", "token"])
 
 
 def _runs(batches: Batches, keys: list[str]) -> Iterator[tuple[tuple, Iterator[dict]]]:
@@ -158,34 +167,32 @@ class Group:
 
 
 def _search_groups(least: int):
-    """Links that connect what is connected within each group."""
+    """Which members are connected within each group: every member with the smallest class connected to it."""
 
     def run(batches: Batches) -> Batches:
         for _, rows in _runs(batches, ["g", "sub"]):
             members = list(rows)
-            if len(members) < 2:
-                continue
-            sets = [np.frombuffer(r["tokens"], np.uint64) for r in members]
-            group = Group(sets, least)
-            # a token of one member is no common one
-            shared = np.bincount(group.codes) > 1
-            common = np.add.reduceat(shared[group.codes].astype(np.int64), group.first)
-            left = np.flatnonzero(100 * common >= least * group.size)
-            links: list[tuple[int, int]] = []
-            queue: list[int] = []
-            while len(left) or queue:
-                if not queue:
-                    queue, left = [int(left[0])], left[1:]
-                at = queue.pop()
-                places = group.codes[group.first[at] : group.first[at] + group.size[at]]
-                found = group.linked(places, int(group.size[at]), left) if len(left) else left
-                links += [(members[at]["class"], members[i]["class"]) for i in found]
-                queue += found.tolist()
-                left = np.setdiff1d(left, found, assume_unique=True)
-                if not len(left):
-                    break
-            if links:
-                yield _links(links)
+            classes = np.array([r["class"] for r in members], np.int64)
+            root = np.arange(len(members))
+            if len(members) > 1:
+                group = Group([np.frombuffer(r["tokens"], np.uint64) for r in members], least)
+                # a token of one member is no common one
+                shared = np.bincount(group.codes) > 1
+                common = np.add.reduceat(shared[group.codes].astype(np.int64), group.first)
+                left = np.flatnonzero(100 * common >= least * group.size)
+                queue: list[int] = []
+                while len(left):
+                    if not queue:
+                        queue, left = [int(left[0])], left[1:]
+                    at = queue.pop()
+                    places = group.codes[group.first[at] : group.first[at] + group.size[at]]
+                    found = group.linked(places, int(group.size[at]), left)
+                    root[found] = root[at]
+                    queue += found.tolist()
+                    left = np.setdiff1d(left, found, assume_unique=True)
+            smallest = np.full(len(members), np.iinfo(np.int64).max)
+            np.minimum.at(smallest, root, classes)
+            yield pa.RecordBatch.from_arrays([pa.array(classes), pa.array(smallest[root])], ["class", "group"])
 
     return run
 
@@ -227,8 +234,8 @@ def _cut_groups(sizes: DataFrame, key: str) -> DataFrame:
     return groups.select(key, "members", F.ceil(F.col("tokens") / GROUP_TOKENS).cast("int").alias("parts"))
 
 
-def links(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n_shingles, class) of every row, and links (a, b) that connect linked classes."""
+def connected(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n_shingles, class) of every row, and (class, group) of classes that may have partners."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "doc_id long, n_shingles long, class long, prefix array<long>"
     found = stored(map_batches(rows, _classes(least), schema), "classes")
@@ -251,44 +258,50 @@ def links(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
         "candidates",
     )
 
-    # their whole sets; a class whose rows have no doc_id is found through its text alone
+    # their whole sets, of which only those can have a partner that share enough; a class whose rows have no doc_id is found through its text alone
     one = candidates.select(F.col("doc_id").alias("_doc"))
     texts = rows.join(one, F.col("doc_id").eqNullSafe(F.col("_doc")), "left_semi")
-    sets = map_batches(texts, _token_sets, "class long, n long, g1 long, g2 long, tokens binary")
+    sets = map_batches(texts, _token_sets, "class long, n long, g long, tokens binary")
     sets = sets.join(candidates.select("class"), "class", "left_semi").dropDuplicates(["class"])
     sets = stored(sets, "token-sets")
-
-    # groups of similar sets, searched exactly
-    linked = None
-    for key in ("g1", "g2"):
-        cut = _bounded(_cut_groups(sets.select(key, "n"), key).where("members > 1"), "groups")
-        members = sets.join(cut, key).select(
-            F.col(key).alias("g"), F.pmod(F.xxhash64("class"), F.col("parts")).alias("sub"), "class", "tokens"
-        )
-        members = members.repartition("g", "sub").sortWithinPartitions("g", "sub")
-        part = map_batches(members, _search_groups(least), "a long, b long")
-        linked = part if linked is None else linked.unionAll(part)
-    linked = stored(linked, "links")
-
-    # what is linked is one group; the matrix of groups and rarer prefix tokens
-    group_of = stored(components(linked), "groups")
-    member = candidates.join(group_of, candidates["class"] == group_of["node"], "left").select(
-        "class", "n", "required", F.coalesce("component", "class").alias("group")
-    )
+    tokens = map_batches(sets.select("class", "tokens"), _exploded, "class long, token long").repartition("token")
+    tokens = tokens.withColumn("df", F.count("*").over(Window.partitionBy("token"))).where("df > 1")
+    tokens = stored(tokens, "shared-tokens")
+    candidates = tokens.groupBy("class").agg(F.count("*").alias("common")).join(sets.select("class", "n"), "class")
+    candidates = candidates.withColumn("rarest", (F.col("common") - partner + 1).cast("int")).where("rarest > 0")
+    candidates = _bounded(candidates.select("class", "n", "common", "rarest"), "candidates")
+    sets = stored(sets.join(candidates.select("class"), "class", "left_semi"), "token-sets")
+
+    # groups of similar sets, searched exactly; what is linked is one group
+    cut = _bounded(_cut_groups(sets.select("g", "n"), "g").where("members > 1"), "groups")
+    members = sets.join(cut, "g").select("g", F.pmod(F.xxhash64("class"), F.col("parts")).alias("sub"), "class", "tokens")
+    members = members.repartition("g", "sub").sortWithinPartitions("g", "sub")
+    searched = map_batches(members, _search_groups(least), "class long, group long")
+    member = candidates.join(searched, "class", "left").withColumn("group", F.coalesce("group", "class"))
     member = stored(member, "members")
+
+    # the matrix of groups and rarer tokens
     cut = _cut_groups(member.select("group", "n"), "group")
     member = stored(
         member.join(cut, "group").withColumn("sub", F.pmod(F.xxhash64("class"), F.col("parts"))).drop("parts"), "members"
     )
-    hottest = Window.partitionBy("class").orderBy(F.desc("df"), F.desc("token"))
-    rare = tokens.join(member, "class").withColumn("hot", F.row_number().over(hottest)).where("hot >= required")
-    rare = stored(rare.select("token", "class", "group", "sub", "members"), "rare-tokens")
-    matrix = rare.select(
-        "token", F.col("group").alias("other"), F.col("sub").alias("other_sub"), F.col("members").alias("other_members")
-    ).distinct()
-    asks = rare.join(matrix, "token").where(
-        F.struct("members", "group") < F.struct(F.col("other_members"), F.col("other"))
+    # tokens that no other class holds are rarer still, and can't be common ones
+    by_rarity = Window.partitionBy("class").orderBy("df", "token")
+    rare = tokens.join(member, "class").withColumn("rank", F.row_number().over(by_rarity)).where("rank <= rarest")
+    # if the token is the rarest common one, all common ones are among those from there on
+    rare = rare.withColumn("left", F.col("common") - F.col("rank") + 1)
+    rare = stored(rare.select("token", "class", "n", "left", "group", "sub", "members"), "rare-tokens")
+    matrix = rare.groupBy("token", F.col("group").alias("other"), F.col("sub").alias("other_sub")).agg(
+        F.max("left").alias("other_left"),
+        F.min("n").alias("least_n"),
+        F.max("n").alias("most_n"),
+        F.any_value("members").alias("other_members"),
     )
+    fits = (n * 100 >= F.col("least_n") * least) & (F.col("most_n") * 100 >= n * least)
+    # similarity s of sizes n and m needs (n + m) s / (1 + s) common tokens
+    enough = F.least("left", "other_left") * (100 + least) >= (n + F.col("least_n")) * least
+    smaller = F.struct("members", "group") < F.struct(F.col("other_members"), F.col("other"))
+    asks = rare.join(matrix, "token").where(smaller & fits & enough)
     asks = stored(asks.select("class", F.col("other").alias("group"), F.col("other_sub").alias("sub")).distinct(), "queries")
 
     wanted = asks.select("group", "sub").distinct()
@@ -296,18 +309,23 @@ def links(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     both = opened.withColumn("query", F.lit(False)).unionByName(asks.withColumn("query", F.lit(True)))
     both = both.join(sets.select("class", "tokens"), "class").repartition("group", "sub")
     both = both.sortWithinPartitions("group", "sub", "query")
-    more = stored(map_batches(both, _open_groups(least), "a long, b long"), "links")
-    return found.drop("prefix"), linked.unionAll(more)
+    linked = stored(map_batches(both, _open_groups(least), "a long, b long"), "links")
+
+    # links join groups
+    group_of = member.select("class", "group")
+    for end in ("a", "b"):
+        linked = linked.join(group_of, linked[end] == group_of["class"]).withColumn(end, F.col("group"))
+        linked = linked.select("a", "b")
+    joined = components(linked)
+    joined = group_of.join(joined, group_of["group"] == joined["node"], "left")
+    return found.drop("prefix"), joined.select("class", F.coalesce("component", "group").alias("group"))
 
 
 def near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable over links) of every row."""
-    found, linked = links(docs, least)
+    found, group_of = connected(docs, least)
     named = found.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
-    group_of = components(linked)
-    named = named.join(group_of, named["class"] == group_of["node"], "left").select(
-        "class", F.coalesce("component", "class").alias("group"), "doc_id"
-    )
+    named = named.join(group_of, "class", "left").withColumn("group", F.coalesce("group", "class"))
     least_doc = named.groupBy("group").agg(F.min("doc_id").alias("component_id"))
     named = named.join(least_doc, "group").select("class", "component_id")
     out = found.join(named, "class", "left")
@@ -318,12 +336,15 @@ def near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
 def without_near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """The documents with the smallest doc_id of each component, all columns kept."""
-    found = near_duplicates(docs, least)
+    found = stored(near_duplicates(docs, least), "components")
     (name,) = fresh(docs, "kept_id")
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(name)).distinct()
-    # a repeated id stays once
-    one = docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col(name)), "left_semi")
-    return one.dropDuplicates(["doc_id"])
+    named = found.groupBy(F.col("doc_id").alias(name)).agg(
+        F.count("*").alias("count"), F.bool_or(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept")
+    )
+    named = _bounded(named.where("kept").select(name, "count"), "kept")
+    one = docs.join(named, F.col("doc_id").cast("long").eqNullSafe(F.col(name)), "left_semi")
+    # a repeated id stays once; without any, documents needn't be shuffled again
+    return one if named.where("count > 1").isEmpty() else one.dropDuplicates(["doc_id"])
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
