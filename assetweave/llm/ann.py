@@ -166,62 +166,87 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
+_FOUND = ["query_id", "query_row", "vec_id", "none", "row", "score"]
+#: found rows that a task holds before it keeps the best of them
+HELD = 200_000
+
+
+def _best(found: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The ``k`` best rows of every query; ties to the smaller vec_id, one without an id last."""
+    order = np.lexsort([found[c] * sign for c, sign in (("row", 1), ("vec_id", 1), ("none", 1), ("score", -1), ("query_row", 1))])
+    found = found.iloc[order]
+    return found[found.groupby("query_row").cumcount().to_numpy() < k]
+
+
+def _candidates(ids: np.ndarray, x: np.ndarray, asked: np.ndarray, q: np.ndarray, k: int) -> pd.DataFrame:
+    """For a block of queries the rows of a leaf part that may be among their ``k`` best."""
+    products = q @ x.T
+    if len(x) > k + 1:  # the query's own row may be among them
+        least = np.partition(products, len(x) - k - 1, axis=1)[:, len(x) - k - 1, None]
+        # a margin for the matrix product's rounding, so that ties stay together
+        at, place = np.nonzero(products >= least - 1e-9 * (1 + np.abs(least)))
+    else:
+        at, place = np.divmod(np.arange(products.size), len(x))
+    other = ids[place, 1] != asked[at, 1]
+    at, place = at[other], place[other]
+    score = (q[at] * x[place]).sum(axis=1)
+    columns = [asked[at, 0], asked[at, 1], ids[place, 0], ids[place, 2], ids[place, 1], score]
+    return _best(pd.DataFrame(dict(zip(_FOUND, columns))), k)
+
+
 def _search(k: int):
-    """The best ``k`` rows of a leaf part for every query; the part's rows come before its queries."""
-
-    def best(ids: np.ndarray, x: np.ndarray, asked: np.ndarray, row: np.ndarray, q: np.ndarray) -> pa.RecordBatch:
-        products = q @ x.T
-        queries, places = [], []
-        for i in range(len(q)):
-            p = products[i]
-            own = row[i]
-            # a margin for the matrix product's rounding, so that ties stay together
-            least = np.partition(p, len(p) - k - 1)[len(p) - k - 1] if len(p) > k + 1 else -np.inf
-            some = np.flatnonzero(p >= least - 1e-9 * (1 + abs(least)) if np.isfinite(least) else np.ones(len(p), bool))
-            some = some[ids[some, 1] != own]
-            queries.append(np.full(len(some), i))
-            places.append(some)
-        at, place = np.concatenate(queries), np.concatenate(places)
-        score = (q[at] * x[place]).sum(axis=1)
-        found = pd.DataFrame({"q": at, "score": -score, "none": ids[place, 2], "vec_id": ids[place, 0], "place": place})
-        found = found.sort_values(["q", "score", "none", "vec_id", "place"]).groupby("q").head(k)
+    """The best ``k`` rows for every query, over a task's leaf parts; a part's rows come before its queries."""
+
+    def out(found: pd.DataFrame) -> pa.RecordBatch:
         vec = pa.array(found["vec_id"].to_numpy(), pa.int64(), mask=found["none"].to_numpy() == 1)
-        columns = [pa.array(asked[found["q"]]), pa.array(row[found["q"]]), vec, pa.array(-found["score"].to_numpy())]
-        return pa.RecordBatch.from_arrays(columns, ["query_id", "query_row", "vec_id", "score"])
+        columns = [pa.array(found["query_id"].to_numpy()), pa.array(found["query_row"].to_numpy()), vec]
+        return pa.RecordBatch.from_arrays(
+            [*columns, pa.array(found["score"].to_numpy())], ["query_id", "query_row", "vec_id", "score"]
+        )
+
+    def parts(batches: Batches):
+        """(leaf and part, whether queries, ids, vectors), in the order they come."""
+        for batch in batches:
+            ids = np.stack(
+                [
+                    batch.column(0).to_numpy(),
+                    batch.column(1).to_numpy(),
+                    batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64),
+                    batch.column(3).fill_null(0).to_numpy(),
+                    batch.column(4).to_numpy(),
+                    batch.column(3).is_null().to_numpy(zero_copy_only=False).astype(np.int64),
+                ],
+                1,
+            )
+            v = _matrix(batch.column(5))
+            cuts = np.flatnonzero((np.diff(ids[:, :3], axis=0) != 0).any(axis=1)) + 1
+            for i, x in zip(np.split(ids, cuts), np.split(v, cuts)):
+                if len(i):
+                    yield tuple(i[0, :2].tolist()), bool(i[0, 2]), i[:, 3:], x
 
     def run(batches: Batches) -> Batches:
         from itertools import groupby
 
-        def rows():
-            for batch in batches:
-                ids = np.stack(
-                    [
-                        batch.column(0).to_numpy(),
-                        batch.column(1).to_numpy(),
-                        batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64),
-                        batch.column(3).fill_null(0).to_numpy(),
-                        batch.column(4).to_numpy(),
-                        batch.column(3).is_null().to_numpy(zero_copy_only=False).astype(np.int64),
-                    ],
-                    1,
-                )
-                v = _matrix(batch.column(5))
-                cuts = np.flatnonzero((np.diff(ids[:, :3], axis=0) != 0).any(axis=1)) + 1
-                for i, x in zip(np.split(ids, cuts), np.split(v, cuts)):
-                    if len(i):
-                        yield tuple(i[0, :2].tolist()), bool(i[0, 2]), i[:, 3:], x
-
-        for _, parts in groupby(rows(), key=lambda p: p[0]):
+        held: list[pd.DataFrame] = []
+        for _, some in groupby(parts(batches), key=lambda p: p[0]):
             members, x = [], []
-            for _, query, ids, v in parts:
+            for _, query, ids, v in some:
                 if not query:
                     members.append(ids)
                     x.append(v)
                     continue
                 if len(members) > 1:
                     members, x = [np.concatenate(members)], [np.concatenate(x)]
-                for a in range(0, len(ids), 256) if members else ():
-                    yield best(members[0], x[0], ids[a : a + 256, 0], ids[a : a + 256, 1], v[a : a + 256])
+                # as many queries at a time as make a block of products of a few MB
+                step = max(1, 1_000_000 // len(x[0])) if members else 1
+                for a in range(0, len(ids), step) if members else ():
+                    held.append(_candidates(members[0], x[0], ids[a : a + step, :2], v[a : a + step], k))
+                if sum(map(len, held)) > HELD:
+                    held = [_best(pd.concat(held), k)]
+                    if len(held[0]) > HELD // 2:
+                        yield out(held.pop())
+        if held:
+            yield out(_best(pd.concat(held), k))
 
     return run
 
