@@ -222,7 +222,8 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
     parts = shards.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
-    return shards.join(parts, "part").withColumn("base", F.col("base") + F.col("before"))
+    # as many rows as the writing job had tasks: broadcast, so that the shards stay where they are
+    return shards.join(F.broadcast(parts), "part").withColumn("base", F.col("base") + F.col("before"))
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
