@@ -7,6 +7,7 @@ every match; it is only tried where that word stands. Rules are ordered; priorit
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 #: words that a rule can look at
@@ -183,6 +184,34 @@ NAMES: list[tuple[str, int, list[str]]] = [
     ("proprietary", 3, [r"all rights reserved", r"proprietary and confidential", r"confidential and proprietary"]),
 ]
 
+#: fixed values: SPDX identifiers that no name of their label matches; too short or too common to stand alone, they only
+#: count after the SPDX tag or an opening
+IDENTIFIERS: dict[str, list[str]] = {
+    "mit": [r"mit"],
+    "isc": [r"isc"],
+    "mpl": [r"mpl \d \d"],
+    "osl": [r"osl \d \d"],
+    "afl": [r"afl \d \d"],
+    "elastic-2.0": [r"elastic 2 0"],
+    "zlib": [r"zlib"],
+    "libpng": [r"libpng(?: 2 0)?"],
+    "openssl": [r"openssl"],
+    "python-2.0": [r"python 2 0", r"psf 2 0"],
+    "php-3.01": [r"php 3 01"],
+    "php": [r"php 3 0"],
+    "ruby": [r"ruby"],
+    "postgresql": [r"postgresql"],
+    "ofl": [r"ofl 1 0"],
+    "ncsa": [r"ncsa"],
+    "unicode": [r"unicode (?:3 0|dfs 201[56]|tou)"],
+    "w3c": [r"w3c(?: 20150513| 19980720)?"],
+    "vim": [r"vim"],
+    "json": [r"json"],
+    "ijg": [r"ijg"],
+    "curl": [r"curl"],
+    "beerware": [r"beerware"],
+}
+
 #: fixed values: openings before a name, which raise it to priority 1
 OPENINGS = [
     r"licensed under",
@@ -241,7 +270,8 @@ GATE = (
     "license licence licensed unlicense spdx copyright copying permission redistribution redistributions redistribute "
     "contributors advertising warranty altered unencumbered fuck domain rights proprietary commons artistic apache mit "
     "bsd 0bsd gpl gplv2 gplv3 lgpl lgplv2 lgplv3 agpl agplv3 gfdl asl mpl mplv2 epl cddl cpl eupl osl afl bsl busl sspl "
-    "cc cc0 wtfpl ofl odbl odc pddl ms upl ecl cecill rail openrail creativeml"
+    "cc cc0 wtfpl ofl odbl odc pddl ms upl ecl cecill rail openrail creativeml "
+    "isc elastic zlib libpng openssl python psf php ruby postgresql ncsa unicode w3c vim json ijg curl beerware"
 ).split()
 
 
@@ -254,25 +284,29 @@ class Rule:
     pattern: str  # to be tried on words that each end with a blank
 
 
+def keyword_of(words: str) -> str:
+    """The plain word that every match begins with; what follows it begins with a blank, be it optional or not."""
+    found = re.match(r"([a-z0-9]+)(?: |$|(?:\(\?:(?: [^()|]*\|)* [^()|]*\)\?)+(?: |$))", words)
+    if not found:
+        raise ValueError(f"a rule must begin with a plain word: {words}")
+    return found[1]
+
+
 def rules() -> list[Rule]:
     out: list[Rule] = []
 
     def add(label: str, priority: int, words: str) -> None:
-        keyword = words.split(" ")[0]
-        if not keyword.isalnum():
-            raise ValueError(f"a rule must begin with a plain word: {words}")
-        out.append(Rule(len(out), label, priority, keyword, f"^{words} "))
+        out.append(Rule(len(out), label, priority, keyword_of(words), f"^{words} "))
 
     for label, priority, text in TEXTS:
         add(label, priority, text)
     for label, priority, names in NAMES:
-        every = "|".join(names)
+        every = "|".join([*names, *IDENTIFIERS.get(label, [])])
         if priority < 3:
             add(label, 1, rf"spdx license identifier (?:{every})")
             for opening in OPENINGS:
                 add(label, 1, rf"{opening}{_TERMS} (?:{every})")
     for label, priority, names in NAMES:
         for name in names:
-            if name.split(" ")[0].isalnum():
-                add(label, priority, name)
+            add(label, priority, name)
     return out
