@@ -3,9 +3,11 @@
 A candidate is a string of secret-like characters soon after a sensitive word.
 Its novelty is the number of bytes by which it lengthens the compressed text
 around it, per character. The compressor is primed with a dictionary of the
-corpus's own identifiers (those of at least ``COMMON`` documents, most frequent
+corpus's own identifiers (those of at least ``COMMON`` different texts, most frequent
 first, ``DICTIONARY`` bytes), so that known names and repeats of the surrounding
-text cost little. Candidates at or above ``NOVEL`` that no base span touches are
+text cost little. What stands in a base span or is a candidate itself doesn't count
+for the dictionary, and names that look random never do, so that a secret is no less
+novel for being in many documents. Candidates at or above ``NOVEL`` that no base span touches are
 reported with kind ``novel``. Base spans are always kept.
 
 Spans count code points, end exclusive. Null and empty texts have no spans; rows
@@ -47,35 +49,57 @@ CONTEXT = 512
 DICTIONARY = 16 << 10
 COMMON = 5
 
+#: places where a digit meets a letter or a small letter a capital
+_TURN = re.compile(r"(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])|(?<=[a-z])(?=[A-Z])")
 _WORD = np.zeros(256, np.uint8)
 _WORD[48:58] = _WORD[95] = 1
 _WORD[65:91] = _WORD[97:123] = 2
 
 
+def looks_random(name: str) -> bool:
+    """Whether kinds of characters alternate as in a random string: digits and letters, small and capital letters."""
+    return len(name) >= 8 and 3 * len(_TURN.findall(name)) > len(name)
+
+
+def _ordinary(text: str) -> str:
+    """The text without base spans and candidates."""
+    return _without(text, sorted([*base_spans(text), *((a, 3, b) for a, b in candidates(text))]), " ")
+
+
 def _identifiers(batches: Batches) -> Batches:
-    """Names with letters and digits or underscores, and the number of rows that hold them."""
+    """Names with letters and digits or underscores of every text, outside of base spans and candidates."""
     for batch in chunks(batches):
-        data, offsets = buffers(text_of(batch))
+        column = text_of(batch)
+        if len(gated := _gated(batch)):
+            texts = column.to_pylist()
+            for i in gated.tolist():
+                texts[i] = _ordinary(texts[i])
+            column = pa.array(texts, pa.large_string())
+        data, offsets = buffers(column)
         kind = _WORD[data]
         w = bounds(data, offsets, kind > 0)
-        names: dict[str, int] = {}
+        rows, names = [], []
         if len(w.start):
             mixed = np.bitwise_or.reduceat(kind, w.start) == 3
             size = w.end - w.start
             row = w.row
             some = np.flatnonzero(mixed & (size >= 4) & (size <= 40))
-            for name in {(int(row[i]), w.bytes_of(i)) for i in some}:
-                key = name[1].decode()
-                names[key] = names.get(key, 0) + 1
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(names), pa.string()), pa.array(list(names.values()), pa.int64())], ["name", "n"]
-        )
+            random: dict[bytes, bool] = {}
+            for i, word in {(int(row[i]), w.bytes_of(i)) for i in some}:
+                if word not in random:
+                    random[word] = looks_random(word.decode())
+                if not random[word]:
+                    rows.append(i)
+                    names.append(word.decode())
+        hashes = text_of(batch, "text_hash").take(pa.array(rows, pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), hashes], ["name", "text_hash"])
 
 
 def identifier_dictionary(docs: DataFrame, size: int = DICTIONARY, common: int = COMMON) -> bytes:
-    """The most widespread identifiers of all documents, the most frequent last (nearest to the text)."""
-    names = map_batches(docs.select("text"), _identifiers, "name string, n long")
-    names = names.groupBy("name").agg(F.sum("n").alias("n")).where(F.col("n") >= common)
+    """The identifiers of most different texts (by a 64-bit hash), the most frequent last (nearest to the text)."""
+    texts = docs.select("text", F.xxhash64("text").alias("text_hash"))
+    names = map_batches(texts, _identifiers, "name string, text_hash long").distinct()
+    names = names.groupBy("name").agg(F.count("*").alias("n")).where(F.col("n") >= common)
     top = names.orderBy(F.desc("n"), "name").limit(size // 5).collect()
     out = b""
     for row in top:
@@ -107,13 +131,18 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty, least: float) -> list[tuple[int, int, int]]:
+def candidates(text: str) -> list[tuple[int, int]]:
+    """Secret-like strings soon after a sensitive word."""
     found = []
     for m in CANDIDATE.finditer(text):
-        start, end = m.span(1)
-        value = m[1]
-        if not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
-            continue
+        if any(c.isdigit() for c in m[1]) and any(c.isalpha() for c in m[1]):
+            found.append(m.span(1))
+    return found
+
+
+def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty, least: float) -> list[tuple[int, int, int]]:
+    found = []
+    for start, end in candidates(text):
         if any(a < end and start < b for a, _, b in base):
             continue
         if novelty.of(text, start, end) >= least:

@@ -1,0 +1,47 @@
+"""Secrets that many documents hold."""
+
+import pytest
+
+from assetweave.llm import secrets
+
+VALUE = "Zx81QmPv07LtRw35KdHy92"
+LOWER = "zxqkvjwpfhtbnmgdy_7rcl"  # does not look random by its kinds of characters
+
+
+def found(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in secrets.secret_spans(docs).collect()}
+    clean = {r.doc_id: r.text for r in secrets.redacted(docs).collect()}
+    got = []
+    for i, text in enumerate(texts):
+        places = [tuple(map(int, s.split(":")[1:])) for s in spans[i].split(",") if s]
+        got.append(([text[a:b] for a, b in places], clean[i]))
+    return got
+
+
+@pytest.mark.parametrize("value", [VALUE, LOWER])
+def test_a_secret_in_many_documents_stays_novel(spark, value):
+    copies = [f"the credential was {value} yesterday"] * 40
+    other = [f"{word} keeps the credential {value} in a drawer" for word in ("ann", "bob", "cid", "dan", "eve", "fay")]
+    base = [f"{word} set password = {value} here" for word in ("ann", "bob", "cid", "dan", "eve", "fay")]
+    got = found(spark, copies + other + base)
+    for spans, clean in got:
+        assert len(spans) == 1 and spans[0].endswith(value) and value not in clean and "[SECRET]" in clean
+
+
+def test_a_random_name_elsewhere_is_no_identifier(spark):
+    texts = [f"note {i}: {VALUE} is on the wall" for i in range(9)] + [f"the credential was {VALUE} yesterday"]
+    assert found(spark, texts)[9][0] == [VALUE]
+
+
+def test_copies_of_a_text_count_once(spark):
+    texts = [(i, "one text with session_table_v2 in it") for i in range(30)]
+    texts += [(30 + i, f"text {i} with lookup_table_v2 in it") for i in range(6)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    assert secrets.identifier_dictionary(docs) == b"lookup_table_v2 "
+
+
+def test_identifiers_do_not_look_random():
+    names = ["customer_session_lookup_table_v2", "sha256sum", "getUserById2", "x86_64", "utf8mb4", "HTTP2Server", "vec3f", "test_01_02"]
+    assert not any(map(secrets.looks_random, names))
+    assert all(map(secrets.looks_random, [VALUE, "9f86d081884c7d659a2f", "q7W2e9R4t1Y6"]))
