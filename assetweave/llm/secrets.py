@@ -1,6 +1,9 @@
 """Op 1: secrets in documents: three base patterns, and strings that zstandard can't shorten.
 
-A candidate is a string of secret-like characters soon after a sensitive word.
+A candidate is a string of at least ``SHORTEST`` secret-like characters, letters and
+digits among them, with a sensitive word at most ``NEAR`` characters before or after
+it; characters of such strings in between don't count for the distance. Where a
+sensitive word stands within a string, it is cut after that word.
 Its novelty is the number of bytes by which it lengthens the compressed text
 around it, per character. The compressor is primed with a dictionary of the
 corpus's own identifiers (those of at least ``COMMON`` different texts, most frequent
@@ -18,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -40,11 +44,15 @@ SENSITIVE = (
     r"pass(?:word|wd|phrase)|secret|token|credential|bearer|authorization|private[ _-]?key|api[ _-]?key"
     r"|access[ _-]?key|auth[ _-]?key|client[ _-]?id|signing[ _-]?key|encryption[ _-]?key"
 )
-CANDIDATE = re.compile(rf"(?:{SENSITIVE})\W{{0,12}}(?:\w{{1,12}}\W{{1,4}}){{0,2}}?([A-Za-z0-9+/_=-]{{16,}})", re.IGNORECASE | re.ASCII)
+_SENSITIVE = re.compile(SENSITIVE, re.IGNORECASE | re.ASCII)
+#: parts joined by single dots, so that a full stop or an ellipsis ends a string
+RUN = re.compile(r"[A-Za-z0-9+/_=-]+(?:\.[A-Za-z0-9+/_=-]+)*")
 #: rows that can hold a span at all
 GATE = rf"(?i:passwd|api_?key|{SENSITIVE})|AKIA|[0-9a-f]{{32}}"
 
 NOVEL = 0.6
+SHORTEST = 16
+NEAR = 64
 CONTEXT = 512
 DICTIONARY = 16 << 10
 COMMON = 5
@@ -132,11 +140,41 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    """Secret-like strings soon after a sensitive word."""
+    """Secret-like strings near a sensitive word, in order; each is judged by itself."""
+    words = [m.span() for m in _SENSITIVE.finditer(text)]
+    if not words:
+        return []
+    begins, ends = [a for a, _ in words], [b for _, b in words]
+    runs: list[tuple[int, int]] = []
+    for m in RUN.finditer(text):
+        start, end = m.span()
+        if end - start < SHORTEST:
+            continue
+        at = start
+        for k in range(bisect_right(ends, start), bisect_left(begins, end) + 1):
+            to, then = (begins[k], ends[k]) if k < len(words) and begins[k] < end else (end, end)
+            # what joins a sensitive word to its value is no part of the value
+            value = at
+            while value < to and (text[value] == "=" or at > start and text[value] in "=-+/."):
+                value += 1
+            at = value if value < to else at  # a line of such characters is a string like any other
+            if to - at >= SHORTEST:
+                runs.append((at, to))
+            at = then
+    # places in the text without the runs; no sensitive word overlaps a run
+    first, before = [a for a, _ in runs], [0]
+    for a, b in runs:
+        before.append(before[-1] + b - a)
+    begins = [a - before[bisect_right(first, a)] for a in begins]
+    ends = [b - before[bisect_left(first, b)] for b in ends]
     found = []
-    for m in CANDIDATE.finditer(text):
-        if any(c.isdigit() for c in m[1]) and any(c.isalpha() for c in m[1]):
-            found.append(m.span(1))
+    for k, (start, end) in enumerate(runs):
+        value, at = text[start:end], start - before[k]
+        if not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
+            continue
+        after = bisect_left(begins, at)  # the first word after the run; the one before it is the nearest on the other side
+        if (after < len(begins) and begins[after] - at <= NEAR) or (after and at - ends[after - 1] <= NEAR):
+            found.append((start, end))
     return found
 
 
