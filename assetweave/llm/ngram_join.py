@@ -98,9 +98,9 @@ def _classes(least: int):
                 fresh = len(tokens) and keys[-1] not in seen
                 seen.add(keys[-1])
                 prefixes.append(tokens[: prefix_size(len(tokens), least)].view(np.int64) if fresh else None)
-            columns = [text_of(batch, "doc_id"), pa.array(n, pa.int64()), pa.array(keys, pa.int64())]
+            columns = [text_of(batch, "doc_id"), text_of(batch, "text_hash"), pa.array(n, pa.int64()), pa.array(keys, pa.int64())]
             columns.append(pa.array(prefixes, pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "class", "prefix"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_shingles", "class", "prefix"])
 
     return run
 
@@ -235,10 +235,11 @@ def _cut_groups(sizes: DataFrame, key: str) -> DataFrame:
 
 
 def connected(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n_shingles, class) of every row, and (class, group) of classes that may have partners."""
+    """(doc_id, text_hash, n_shingles, class) of every row, and (class, group) of classes that may have partners."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = "doc_id long, n_shingles long, class long, prefix array<long>"
-    found = stored(map_batches(rows, _classes(least), schema), "classes")
+    schema = "doc_id long, text_hash long, n_shingles long, class long, prefix array<long>"
+    hashed = rows.withColumn("text_hash", F.xxhash64("text"))
+    found = stored(map_batches(hashed, _classes(least), schema), "classes")
 
     # prefix tokens that more than one class holds, on one partitioning by token
     tokens = found.where("prefix is not null").select("class", F.explode("prefix").alias("token"))
@@ -335,16 +336,44 @@ def near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
 
 def without_near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """The documents with the smallest doc_id of each component, all columns kept."""
-    found = stored(near_duplicates(docs, least), "components")
-    (name,) = fresh(docs, "kept_id")
-    named = found.groupBy(F.col("doc_id").alias(name)).agg(
-        F.count("*").alias("count"), F.bool_or(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept")
+    """One row of each component, all columns kept: that with the smallest doc_id, null last, then by its text's hash.
+
+    Rows are decided by doc_id and a 64-bit hash of the text, so that rows without an
+    id, or with the same one, stand for themselves. Rows without words all stay.
+    """
+    found, group_of = connected(docs, least)
+    # the first row of every class, then of every group of classes
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    classes = found.where("class is not null").groupBy("class").agg(F.min(order).alias("first"))
+    classes = classes.join(group_of, "class", "left").withColumn("group", F.coalesce("group", "class"))
+    firsts = classes.groupBy("group").agg(F.min("first").alias("first"), F.min_by("class", "first").alias("class"))
+    firsts = firsts.select("class", F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("first_hash"))
+    # any two rows of one id and text have one class
+    same = (
+        (found["class"] == firsts["class"])
+        & found["doc_id"].eqNullSafe(firsts["first_id"])
+        & (found["text_hash"] == firsts["first_hash"])
     )
-    named = _bounded(named.where("kept").select(name, "count"), "kept")
-    one = docs.join(named, F.col("doc_id").cast("long").eqNullSafe(F.col(name)), "left_semi")
-    # a repeated id stays once; without any, documents needn't be shuffled again
-    return one if named.where("count > 1").isEmpty() else one.dropDuplicates(["doc_id"])
+    kept = found.where("class is not null").join(firsts, same, "left_semi").groupBy("doc_id", "text_hash")
+    kept = kept.agg(F.count("*").alias("count"))
+    wordless = found.where("class is null").select("doc_id", "text_hash", F.lit(1).alias("count")).distinct()
+    kept_id, kept_hash = fresh(docs, "kept_id", "kept_hash")
+    kept = kept.unionByName(wordless).select(F.col("doc_id").alias(kept_id), F.col("text_hash").alias(kept_hash), "count")
+    kept = stored(kept, "kept")
+    few = kept.count() <= BROADCAST_ROWS
+    own_id, own_hash = F.col("doc_id").cast("long"), F.xxhash64("text")
+
+    def rows_of(keys: DataFrame) -> DataFrame:
+        keys = keys.select(kept_id, kept_hash)
+        same = own_id.eqNullSafe(F.col(kept_id)) & (own_hash == F.col(kept_hash))
+        return docs.join(F.broadcast(keys) if few else keys, same, "left_semi")
+
+    # a repeated row stays once; without any, documents needn't be shuffled
+    repeated = kept.where("count > 1")
+    if repeated.isEmpty():
+        return rows_of(kept)
+    once = rows_of(repeated).withColumn(kept_id, own_id).withColumn(kept_hash, own_hash).dropDuplicates([kept_id, kept_hash])
+    return rows_of(kept.where("count = 1")).unionByName(once.drop(kept_id, kept_hash))
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
