@@ -30,7 +30,7 @@ def result(spark, sf_dir):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(NAMES) == list(range(1, 11))
+    assert sorted(NAMES) == list(range(1, 14))
     assert set(ORACLE) <= set(QUERIES)
 
 
@@ -59,12 +59,13 @@ def test_neighbours(spark, sf_dir, result):
     assert hits >= 0.9 * 20 * len(exact)
 
 
-def test_licenses_agree_with_sql(spark, sf_dir, result):
+@pytest.mark.parametrize("n", [int(name[2:].split("_")[0]) for name in ORACLE])
+def test_agrees_with_sql(spark, sf_dir, result, n):
     from parity import canonical, connect
 
-    cursor = connect(sf_dir).execute(ORACLE[NAMES[3]])
+    cursor = connect(sf_dir).execute(ORACLE[NAMES[n]])
     columns = [d[0] for d in cursor.description]
-    rows = result(3)
+    rows = result(n)
     names = list(rows[0])
     assert sorted(names) == sorted(columns)
     assert canonical(names, [tuple(r.values()) for r in rows]) == canonical(columns, cursor.fetchall())
