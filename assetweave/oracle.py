@@ -239,6 +239,43 @@ PARTS = {
       from outcomes o join own on o.ticker = own.ticker and o.dt = own.dt group by o.ticker, o.dt, o.s""",
     "weighted": """
       select *, [0.25e0, 1e0/12, 1e0/12, 0.25e0] as wt, s1 + s2 + s3 + s4 as size from worth""",
+    # every row as background: ranks of points and queries, then one count per binary digit of a query's rank
+    "sided": """
+      select z.ticker, z.dt, cluster, s,
+             (1-s1)*(x1-0.0e0)*(x1-0.0e0) + (1-s2)*(x2-0.0e0)*(x2-0.0e0) + (1-s3)*(x3-0.3e0)*(x3-0.3e0) + (1-s4)*(x4-1)*(x4-1) as o0,
+             (1-s1)*(x1-0.2e0)*(x1-0.2e0) + (1-s2)*x2*x2 + (1-s3)*(x3+0.5e0)*(x3+0.5e0) + (1-s4)*(x4+0.6e0)*(x4+0.6e0) as o1,
+             (1-s1)*(x1+0.3e0)*(x1+0.3e0) + (1-s2)*(x2-0.1e0)*(x2-0.1e0) + (1-s3)*(x3-0.8e0)*(x3-0.8e0) + (1-s4)*x4*x4 as o2,
+             s1*x1*x1 + s2*x2*x2 + s3*(x3-0.3e0)*(x3-0.3e0) + s4*(x4-1)*(x4-1) as n0,
+             s1*(x1-0.2e0)*(x1-0.2e0) + s2*x2*x2 + s3*(x3+0.5e0)*(x3+0.5e0) + s4*(x4+0.6e0)*(x4+0.6e0) as n1,
+             s1*(x1+0.3e0)*(x1+0.3e0) + s2*(x2-0.1e0)*(x2-0.1e0) + s3*(x3-0.8e0)*(x3-0.8e0) + s4*x4*x4 as n2
+      from z join own on z.ticker = own.ticker and z.dt = own.dt, coalitions where s between 1 and 14""",
+    "in_planes": """
+      select s, j, 1 as point, null as ticker, null as dt, 1 as tie_a, 1 as tie_b,
+             case j when 0 then o0 - o1 when 1 then o1 - o0 else o2 - o0 end as a,
+             case j when 0 then o0 - o2 when 1 then o1 - o2 else o2 - o1 end as b
+      from sided, range(3) t(j)
+      union all
+      select s, cluster, 0, ticker, dt, case cluster when 0 then 2 else 0 end, case cluster when 2 then 0 else 2 end,
+             case cluster when 0 then n1 - n0 when 1 then n0 - n1 else n0 - n2 end,
+             case cluster when 0 then n2 - n0 when 1 then n2 - n1 else n1 - n2 end
+      from sided""",
+    "ranked": """
+      select *, sum(point) over (partition by s, j order by a, tie_a rows unbounded preceding)::bigint as below from in_planes""",
+    "levels": "select range as l from range((select floor(log2(count(*)))::bigint + 1 from z))",
+    "dyadic": """
+      select s, j, point, ticker, dt, tie_b, b, l, case point when 1 then (below - 1) >> l else (below >> l) - 1 end as block
+      from ranked, levels where point = 1 or (below >> l) & 1 = 1""",
+    "under": """
+      select s, point, ticker, dt, sum(point) over (partition by s, j, l, block order by b, tie_b rows unbounded preceding) as n
+      from dyadic""",
+    "shares": "select ticker, dt, s, sum(n) / (select count(*) from z) as v from under where point = 0 group by all",
+    "chances": "select cluster as c, count(*) / (select count(*) from z) as share from own group by cluster",
+    "all_worth": """
+      select own.ticker, own.dt, cluster, k.s, s1, s2, s3, s4,
+             case k.s when 15 then 1 when 0 then share else coalesce(v, 0) end as v
+      from own join chances on c = cluster cross join coalitions k
+      left join shares on shares.ticker = own.ticker and shares.dt = own.dt and shares.s = k.s""",
+    "all_weighted": "select *, [0.25e0, 1e0/12, 1e0/12, 0.25e0] as wt, s1 + s2 + s3 + s4 as size from all_worth",
     "hours": """
       select *, ts - interval 5 hour as local from quotes""",
     "open_quotes": """
@@ -260,6 +297,7 @@ def _shapley(value: str) -> str:
 
 PARTS["phi_own"] = f"select ticker, dt, cluster, {_shapley('own_v')} from weighted group by ticker, dt, cluster"
 PARTS["phi_one"] = f"select ticker, dt, cluster, {_shapley('one_v')} from weighted group by ticker, dt, cluster"
+PARTS["phi_all"] = f"select ticker, dt, cluster, {_shapley('v')} from all_weighted group by ticker, dt, cluster"
 
 
 def _uses(text: str) -> set[str]:
@@ -599,6 +637,11 @@ ORACLE = {
         "select cluster, " + ", ".join(r(f"avg({c})", 6, c) for c in PHIS) + " from phi_own group by cluster"
     ),
     "m08_attribution_of_cluster": sql(f"select ticker, dt, cluster, {many(6, *PHIS)} from phi_one"),
+    "m08_attribution_all_rows": sql(f"select ticker, dt, cluster, {many(6, *PHIS)} from phi_all"),
+    "m08_gap_to_cells": sql(
+        "select " + ", ".join(r(f"max(abs(a.{c} - o.{c}))", 6, c) for c in PHIS)
+        + " from phi_all a join phi_own o on a.ticker = o.ticker and a.dt = o.dt"
+    ),
     "m08_trained_attribution": sql("select count(*) as rows_explained, true as adds_up from z"),
     "m11_whole_chain": sql(f"""
       select stage, 'success' as status, n as "rows"

@@ -20,6 +20,7 @@ from assetweave.functions.cleaning import clean_money, ratio
 from assetweave.functions.risk import RISK_LABELS, age_risk, risk_bin, risk_score
 from assetweave.operators import attribution as shap
 from assetweave.operators import cleaning, cluster, market, merge, metrics, portfolio, profile, returns, rolling
+from assetweave.operators.attribution_exact import attribution_exact, largest_gap
 from assetweave.operators.ema import ema_lookback, with_ema
 from assetweave.operators.series import DAILY, Series, in_blocks
 from assetweave.plans import assets as asset_plans
@@ -944,12 +945,15 @@ def m06_m07_train_and_score(spark, sf_dir):
     )
 
 
-def _attributed(spark, sf_dir, target):
+def _explained(spark, sf_dir):
     columns = cluster.FEATURES_4
     bars = features.ensure_features(_enhanced(spark, sf_dir, True), ["intraday_return", "volatility_10"])
     complete = stored(bars.select("ticker", "category", "dt", *columns).na.drop(), "explained")
-    scaled = cluster.standardize(complete, columns)
-    names = [f"z_{c}" for c in columns]
+    return cluster.standardize(complete, columns), [f"z_{c}" for c in columns]
+
+
+def _attributed(spark, sf_dir, target):
+    scaled, names = _explained(spark, sf_dir)
     return shap.attribution(scaled, names, FEATURE_CENTERS, shap.cells(scaled, names), target, keep=("ticker", "dt"))
 
 
@@ -973,6 +977,23 @@ def m08_attribution_of_cluster(spark, sf_dir):
     return rounded(_attributed(spark, sf_dir, 1), **ATTRIBUTIONS)
 
 
+@query
+def m08_attribution_all_rows(spark, sf_dir):
+    """Every row as background, not summarised."""
+    scaled, names = _explained(spark, sf_dir)
+    return rounded(attribution_exact(scaled, names, FEATURE_CENTERS, keep=("ticker", "dt")), **ATTRIBUTIONS)
+
+
+@query
+def m08_gap_to_cells(spark, sf_dir):
+    """How far the summary in cells is from all rows, at most."""
+    scaled, names = _explained(spark, sf_dir)
+    keys = ("ticker", "dt")
+    exact = attribution_exact(scaled, names, FEATURE_CENTERS, keep=keys)
+    cells = shap.attribution(scaled, names, FEATURE_CENTERS, shap.cells(scaled, names), keep=keys)
+    return rounded(largest_gap(exact, cells, list(keys)), **ATTRIBUTIONS)
+
+
 @query
 def m08_trained_attribution(spark, sf_dir):
     """A trained model: a row's attributions add up to what its cluster has over the average row."""
