@@ -542,6 +542,18 @@ ORACLE = {
       from (select distinct ticker from bars) a
       cross join (values (date '1994-12-31'), (date '1996-06-30'), (date '1998-12-25'), (date '2001-11-04')) t(d)
       left join bars b on b.ticker = a.ticker and b.dt <= d group by a.ticker, d"""),
+    "j04_asof_join": sql("""
+      select request_id, r.ticker, as_of, close, b.dt as close_at
+      from (select o_orderkey as request_id, s_name as ticker,
+                   cast(o_orderdate as date) - case when o_orderkey % 10 = 0 then 400 else 0 end as as_of
+            from orders join supplier on s_suppkey = case when o_orderkey % 3 = 0 then 0 else o_custkey end
+                                                     % (select max(s_suppkey) + 1 from supplier)) r
+      asof left join bars b on r.ticker = b.ticker and r.as_of >= b.dt"""),
+    "j04_asof_quotes": sql("""
+      select request_id, r.asset, asked_at, price
+      from (select event_id as request_id, asset, ts + to_minutes(event_id % 7) as asked_at
+            from quotes where event_id % 3 <> 0) r
+      asof left join quotes q on r.asset = q.asset and r.asked_at >= q.ts"""),
     "j05_with_fundamentals": sql(
         "select b.ticker, dt, close, eps from bars b left join eps_of e on b.ticker = e.ticker"
     ),

@@ -20,6 +20,7 @@ from assetweave.functions.cleaning import clean_money, ratio
 from assetweave.functions.risk import RISK_LABELS, age_risk, risk_bin, risk_score
 from assetweave.operators import attribution as shap
 from assetweave.operators import cleaning, cluster, market, merge, metrics, portfolio, profile, returns, rolling
+from assetweave.operators.asof import asof_join
 from assetweave.operators.attribution_exact import attribution_exact, largest_gap
 from assetweave.operators.ema import ema_lookback, with_ema
 from assetweave.operators.series import DAILY, Series, in_blocks
@@ -490,6 +491,21 @@ def j04_asof_closes(spark, sf_dir):
     return returns.asof_closes(tables.bars(spark, sf_dir), AS_OF)
 
 
+@query
+def j04_asof_join(spark, sf_dir):
+    """The last close at or before the day that each request asks for; one asset has a third of all requests."""
+    return asof_join(tables.asof_requests(spark, sf_dir), tables.bars(spark, sf_dir), found_at="close_at")
+
+
+@query
+def j04_asof_quotes(spark, sf_dir):
+    """The last quote before each order, by the second; the quotes of an asset have no bound."""
+    quotes = tables.quotes(spark, sf_dir)
+    return asof_join(
+        tables.quote_requests(spark, sf_dir), quotes, key="asset", at="asked_at", when="ts", value="price", tie=("event_id",)
+    )
+
+
 @query
 def j05_with_fundamentals(spark, sf_dir):
     joined = market.with_fundamentals(tables.bars(spark, sf_dir), tables.fundamentals(spark, sf_dir))

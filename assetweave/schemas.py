@@ -55,6 +55,7 @@ USERS = _struct(
 
 #: stored tables read by name; with the schema given, opening one starts no job
 STORED = {
+    "orders": _struct(o_orderkey=T.LongType(), o_custkey=T.LongType(), o_orderdate=T.TimestampNTZType()),
     "lineitem": _struct(
         l_orderkey=T.LongType(),
         l_partkey=T.LongType(),

@@ -158,3 +158,28 @@ def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         "event_id", "ts", F.col("event_type").alias("asset"), F.col("value").alias("price")
     )
+
+
+def asof_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(request_id, ticker, as_of): one request per order, a third of them for one asset, some before its first bar."""
+    key = F.col("o_orderkey")
+    orders = table(spark, sf_dir, "orders").select(
+        key.alias("request_id"),
+        F.date_sub(F.to_date("o_orderdate"), F.when(key % 10 == 0, 400).otherwise(0)).alias("as_of"),
+        F.when(key % 3 == 0, 0).otherwise(F.col("o_custkey")).alias("_asset"),
+    )
+    largest = table(spark, sf_dir, "supplier").agg(F.coalesce(F.max("s_suppkey"), F.lit(0))).first()[0]
+    orders = orders.withColumn("_suppkey", F.col("_asset") % (largest + 1))
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_name").alias("ticker"))
+    joined = orders.join(supplier, orders["_suppkey"] == supplier["s_suppkey"])
+    return joined.select("request_id", "ticker", "as_of")
+
+
+def quote_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(request_id, asset, asked_at): some minutes after two of three quotes."""
+    events = table(spark, sf_dir, "events")
+    return events.where(F.col("event_id") % 3 != 0).select(
+        F.col("event_id").alias("request_id"),
+        F.col("event_type").alias("asset"),
+        (F.col("ts") + F.expr("make_dt_interval(0, 0, cast(event_id % 7 as int), 0)")).alias("asked_at"),
+    )
