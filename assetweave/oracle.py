@@ -682,6 +682,15 @@ ORACLE = {
       select time_bucket(interval '15 minutes', ts) as window_start, asset, arg_max(price, (ts, event_id)) as price,
              count(*) as n_quotes
       from open_quotes group by all"""),
+    "t01_every_interval": sql("""
+      select window_start, s.asset, price, coalesce(n, 0) as n_quotes
+      from (select asset, unnest(generate_series(min(time_bucket(interval '15 minutes', ts)),
+                   (select max(ts) from open_quotes) - interval 75 minute, interval 15 minute)) as window_start
+            from open_quotes group by asset) s
+      left join (select time_bucket(interval '15 minutes', ts) as began, asset, arg_max(price, (ts, event_id)) as price, count(*) as n
+                 from open_quotes group by all) q on q.asset = s.asset and began = window_start
+      where isodow(window_start - interval 5 hour) <= 5
+        and hour(window_start - interval 5 hour) * 60 + minute(window_start - interval 5 hour) between 570 and 945"""),
     "t01_late_quotes": sql("""
       select count(*) filter (day(ts) > 7) as kept, count(*) filter (day(ts) <= 7) as dropped from quotes"""),
     "t02_long_quotes": sql("""

@@ -33,6 +33,7 @@ from assetweave.sources import market_tables as tables
 from assetweave.sources import readers, sinks
 from assetweave.sources.keyed_table import read_keyed, upsert_table
 from assetweave.streaming import quotes as stream
+from assetweave.streaming.market_clock import every_interval
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1099,13 +1100,17 @@ def _quote_stream(spark, sf_dir):
     return stream.as_quotes(stream.stream_table(spark, sf_dir, schemas.EVENTS, "events.parquet"))
 
 
-def _quote_batches(spark, sf_dir):
-    """The quotes as several files, which arrive one per micro-batch."""
-    landed = new_path(spark, "landed")
+def _land(spark, sf_dir, landed, parts):
     events = tables.table(spark, sf_dir, "events")
-    for part in range(4):
+    for part in parts:
         week = F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(3)) == part
         events.where(week).coalesce(1).write.mode("append").parquet(landed)
+
+
+def _quote_batches(spark, sf_dir):
+    """The quotes as several files, which arrive one per micro-batch."""
+    landed = new_path(spark, "landed")
+    _land(spark, sf_dir, landed, range(4))
     return stream.as_quotes(stream.stream_table(spark, landed, schemas.EVENTS, files_per_batch=1))
 
 
@@ -1121,6 +1126,21 @@ def t01_market_snapshots(spark, sf_dir):
     return _naive(stream.read_newest(spark, path, ["window_start", "asset"]), "window_start")
 
 
+@query
+def t01_every_interval(spark, sf_dir):
+    """A row for every asset and market quarter-hour since its first quote, NULL where it was silent.
+
+    The job stops half-way and goes on from its checkpoint; the last hour, which may still get quotes, is not out yet.
+    """
+    landed, path, checkpoint = (new_path(spark, n) for n in ("landed", "intervals", "checkpoint"))
+    for parts in ((0, 1), (2, 3)):
+        _land(spark, sf_dir, landed, parts)
+        quotes = stream.as_quotes(stream.stream_table(spark, landed, schemas.EVENTS, files_per_batch=1))
+        feed = stream.quotes_once(stream.during_market(quotes), lateness="1 hour")
+        stream.append_to(every_interval(feed), path, checkpoint).awaitTermination()
+    return _naive(spark.read.parquet(path), "window_start")
+
+
 @query
 def t01_late_quotes(spark, sf_dir):
     """The first week arrives last: what is later than the watermark is counted, not lost unseen.

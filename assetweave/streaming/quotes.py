@@ -54,6 +54,11 @@ def unique_quotes(quotes: DataFrame, lateness: str) -> DataFrame:
     return quotes.withWatermark("ts", lateness).dropDuplicates(["event_id", "ts"])
 
 
+def quotes_once(quotes: DataFrame, lateness: str) -> DataFrame:
+    """Drop repeated deliveries that come within ``lateness`` of each other, which is all that is kept of a quote."""
+    return quotes.withWatermark("ts", lateness).dropDuplicatesWithinWatermark(["event_id"])
+
+
 def snapshots(quotes: DataFrame, interval: str = INTERVAL) -> DataFrame:
     """Per interval and asset: the last price and the number of quotes."""
     newest = F.struct("ts", "event_id")
