@@ -276,6 +276,24 @@ PARTS = {
       from own join chances on c = cluster cross join coalitions k
       left join shares on shares.ticker = own.ticker and shares.dt = own.dt and shares.s = k.s""",
     "all_weighted": "select *, [0.25e0, 1e0/12, 1e0/12, 0.25e0] as wt, s1 + s2 + s3 + s4 as size from all_worth",
+    "complete_rows": """
+      select *, close - lag(close) over w as step, row_number() over w as row_no from enhanced
+      where momentum is not null and alpha is not null and dividend_yield is not null and pe_ratio is not null
+      window w as (partition by ticker order by dt)""",
+    "complete_rolled": """
+      select ticker, dt, momentum, beta, alpha, pe_ratio, dividend_yield, intraday_return,
+             case when row_no >= 50 then avg(close) over w50 end as sma_50,
+             case when row_no >= 10 then stddev_samp(intraday_return) over w10 end as volatility_10,
+             case when row_no >= 50 then avg(volume) over w50 end as avg_volume_50,
+             case when row_no >= 14 then avg(case when step > 0 then step else 0 end) over w14 end as up,
+             case when row_no >= 14 then avg(case when step < 0 then -step else 0 end) over w14 end as down
+      from complete_rows
+      window w10 as (partition by ticker order by dt rows between 9 preceding and current row),
+        w14 as (partition by ticker order by dt rows between 13 preceding and current row),
+        w50 as (partition by ticker order by dt rows between 49 preceding and current row)""",
+    "model_features": """
+      select *, case when down = 0 and up > 0 then 100 when down > 0 then 100 - 100 / (1 + up / down) end as rsi_14
+      from complete_rolled""",
     "hours": """
       select *, ts - interval 5 hour as local from quotes""",
     "open_quotes": """
@@ -300,6 +318,77 @@ PARTS["phi_one"] = f"select ticker, dt, cluster, {_shapley('one_v')} from weight
 PARTS["phi_all"] = f"select ticker, dt, cluster, {_shapley('v')} from all_weighted group by ticker, dt, cluster"
 
 
+FIVE = ["intraday_return", "sma_50", "volatility_10", "avg_volume_50", "rsi_14"]
+FOUR = ["beta", "alpha", "dividend_yield", "volatility_10"]
+TEN = ["momentum", "beta", "alpha", "pe_ratio", "dividend_yield", *FIVE]
+
+
+def _kmeans(name: str, source: str, columns: list[str], least: int, most: int, rounds: int = 8) -> None:
+    """Parts ``<name>_z`` (rows), ``<name>_centers`` (k, c, m1 ..) and ``<name>_near`` (rows with k and nearest c)."""
+    n = range(1, len(columns) + 1)
+
+    def gap(x: str = "") -> str:
+        return " + ".join(f"({x}x{i} - m{i}) * ({x}x{i} - m{i})" for i in n)
+
+    filled = ", ".join(f"coalesce({c}, avg({c}) over ()) as f{i}" for i, c in zip(n, columns))
+    scaled = ", ".join(f"(f{i} - avg(f{i}) over ()) / stddev_samp(f{i}) over () as x{i}" for i in n)
+    means, cells = ", ".join(f"m{i}" for i in n), ", ".join(f"floor(x{i})" for i in n)
+    PARTS[f"{name}_z"] = f"select ticker, dt, {scaled} from (select ticker, dt, {filled} from {source})"
+    PARTS[f"{name}_cells"] = (
+        f"select {', '.join(f'avg(x{i}) as x{i}' for i in n)}, count(*) as n from {name}_z group by {cells}"
+    )
+    order = ", ".join(f"x{i} desc" for i in n)
+    first = ", ".join(f"x{i} as m{i}" for i in n)
+    PARTS[f"{name}_chosen1"] = f"select 0 as c, {first} from (select * from {name}_cells order by n desc, {order} limit 1)"
+    for j in range(2, most + 1):
+        PARTS[f"{name}_far{j}"] = f"""
+          select {', '.join(f'a.x{i}' for i in n)}, a.n, min({gap('a.')}) as gap from {name}_cells a, {name}_chosen{j - 1}
+          group by {', '.join(f'a.x{i}' for i in n)}, a.n"""
+        PARTS[f"{name}_chosen{j}"] = f"""
+          select * from {name}_chosen{j - 1}
+          union all
+          select {j - 1}, {first} from (select * from {name}_far{j} order by n * gap desc, {order} limit 1)"""
+    PARTS[f"{name}_centers0"] = f"select k, c, {means} from {name}_chosen{most}, range({least}, {most + 1}) t(k) where c < k"
+    for r in range(rounds + 1):
+        nearest = f"select ticker, dt, k, arg_min(c, (gap, c)) as c, min(gap) as gap from (select z.ticker, z.dt, k, c, {gap('z.')} as gap from {name}_z z, {name}_centers{r}) group by ticker, dt, k"
+        if r == rounds:
+            PARTS[f"{name}_near"] = nearest
+            PARTS[f"{name}_centers"] = f"select * from {name}_centers{r}"
+            break
+        PARTS[f"{name}_near{r}"] = nearest
+        PARTS[f"{name}_moved{r}"] = f"""
+          select k, c, {', '.join(f'avg(x{i}) as y{i}' for i in n)}
+          from {name}_near{r} a join {name}_z z on z.ticker = a.ticker and z.dt = a.dt group by k, c"""
+        PARTS[f"{name}_centers{r + 1}"] = f"""
+          select o.k, o.c, {', '.join(f'coalesce(y{i}, m{i}) as m{i}' for i in n)}
+          from {name}_centers{r} o left join {name}_moved{r} w on w.k = o.k and w.c = o.c"""
+
+
+_kmeans("elbow5", "basic", FIVE, 2, 9)
+_kmeans("three5", "basic", FIVE, 3, 3)
+_kmeans("three10", "model_features", TEN, 3, 3)
+_kmeans("three4", "model_features", FOUR, 3, 3)
+PARTS["three5_sums"] = (
+    "select c, count(*)::double as n, "
+    + ", ".join(f"sum(x{i}) as s{i}" for i in range(1, 6))
+    + ", sum("
+    + " + ".join(f"x{i} * x{i}" for i in range(1, 6))
+    + ") as q from three5_near a join three5_z z on z.ticker = a.ticker and z.dt = a.dt group by c"
+)
+PARTS["three5_means"] = (
+    "select a.ticker, a.dt, a.c, s.c = a.c as own, s.n, "
+    + " + ".join(f"x{i} * x{i}" for i in range(1, 6))
+    + " + q / s.n - 2 * ("
+    + " + ".join(f"x{i} * s{i}" for i in range(1, 6))
+    + ") / s.n as mean from three5_near a join three5_z z on z.ticker = a.ticker and z.dt = a.dt, three5_sums s"
+)
+PARTS["three5_shape"] = """
+  select ticker, dt, any_value(c) as c, min(case when own then n end) as n, min(case when own then mean * n / (n - 1) end) as a,
+         min(case when not own then mean end) as b
+  from three5_means group by ticker, dt"""
+PARTS["three5_silhouette"] = "select c, case when n = 1 then 0 else coalesce((b - a) / nullif(greatest(a, b), 0), 0) end as s from three5_shape"
+
+
 def _uses(text: str) -> set[str]:
     return set(re.findall(r"[a-z_0-9]+", text)) & set(PARTS)
 
@@ -636,6 +725,18 @@ ORACLE = {
       qualify row_number() over (partition by category order by md5(ticker || '42'), ticker) <= 5"""),
     "m01_scale": sql(f"select ticker, dt, {_scaled()} from basic"),
     "m02_elbow": sql("select cast(k as integer) as k, true as plausible from range(2, 10) t(k)"),
+    "m02_elbow_costs": sql(f"select k::integer as k, {r('sum(gap)', 3, 'cost')} from elbow5_near group by k"),
+    **{
+        f"m03_clusters_{len(names)}": sql(
+            "select n.c::integer as cluster, count(*) as n, "
+            + ", ".join(r(f"any_value(m{i})", 4, f"center_{c}") for i, c in enumerate(names, 1))
+            + f" from three{len(names)}_near n join three{len(names)}_centers m on m.c = n.c group by n.c"
+        )
+        for names in (FIVE, TEN, FOUR)
+    },
+    "m04_silhouette_values": sql(f"""
+      select c::integer as cluster, count(*) as n, {r('avg(s)', 6, 'silhouette')} from three5_silhouette group by c
+      union all select -1, count(*), {r('avg(s)', 6, 'silhouette')} from three5_silhouette"""),
     "m03_cluster_5": sql("select count(*) as rows_scored, 3 as clusters, 0 as misplaced from basic"),
     "m03_cluster_10": sql(f"select count(*) as rows_scored, 3 as clusters, 0 as misplaced from enhanced where {COMPLETE}"),
     "m03_cluster_4": sql(f"select count(*) as rows_scored, 3 as clusters, 0 as misplaced from enhanced where {COMPLETE}"),

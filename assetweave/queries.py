@@ -19,7 +19,7 @@ from assetweave.functions import indicators as ind
 from assetweave.functions.cleaning import clean_money, ratio
 from assetweave.functions.risk import RISK_LABELS, age_risk, risk_bin, risk_score
 from assetweave.operators import attribution as shap
-from assetweave.operators import cleaning, cluster, market, merge, metrics, portfolio, profile, returns, rolling
+from assetweave.operators import cleaning, cluster, lloyd, market, merge, metrics, portfolio, profile, returns, rolling
 from assetweave.operators.asof import asof_join
 from assetweave.operators.attribution_exact import attribution_exact, largest_gap
 from assetweave.operators.ema import ema_lookback, with_ema
@@ -864,6 +864,55 @@ def m01_scale(spark, sf_dir):
     return rounded(out, **{n: 6 for n in names})
 
 
+def _standard(df, columns):
+    """Gaps filled with the mean, standardised, stored; and the columns' names."""
+    z = cluster.standardize(cleaning.impute_mean(df.select(*columns), columns), columns)
+    names = [f"z_{c}" for c in columns]
+    return stored(z.select(*names), "standardised"), names
+
+
+@query
+def m02_elbow_costs(spark, sf_dir):
+    """The cost of two to nine clusters; all of them take part in every round."""
+    rows, names = _standard(_basic(spark, sf_dir), cluster.FEATURES_5)
+    return rounded(lloyd.costs(rows, names, lloyd.fit(rows, names, range(2, 10))), cost=3)
+
+
+def _clusters(df, columns):
+    """Size and center of each of three clusters."""
+    rows, names = _standard(df, columns)
+    found = lloyd.sizes(rows, names, lloyd.fit(rows, names, [cluster.CLUSTERS])[cluster.CLUSTERS])
+    found = found.withColumnsRenamed({f"center_{z}": f"center_{c}" for z, c in zip(names, columns)})
+    return rounded(found, **{f"center_{c}": 4 for c in columns})
+
+
+@query
+def m03_clusters_5(spark, sf_dir):
+    return _clusters(_basic(spark, sf_dir), cluster.FEATURES_5)
+
+
+@query
+def m03_clusters_10(spark, sf_dir):
+    return _clusters(_all_features(spark, sf_dir), cluster.FEATURES_10)
+
+
+@query
+def m03_clusters_4(spark, sf_dir):
+    return _clusters(_all_features(spark, sf_dir), cluster.FEATURES_4)
+
+
+@query
+def m04_silhouette_values(spark, sf_dir):
+    """Mean silhouette of every cluster, and (cluster -1) of all rows."""
+    rows, names = _standard(_basic(spark, sf_dir), cluster.FEATURES_5)
+    k = cluster.CLUSTERS
+    near = lloyd.assigned(rows, names, lloyd.fit(rows, names, [k])).select(*names, F.col(f"_cluster_{k}").alias("cluster"))
+    shaped = lloyd.silhouette_of(stored(near, "clustered"), names, "cluster")
+    each = F.explode(F.array("cluster", F.lit(-1))).alias("cluster")
+    found = shaped.select(each, "silhouette").groupBy("cluster")
+    return rounded(found.agg(F.count("*").alias("n"), F.avg("silhouette").alias("silhouette")), silhouette=6)
+
+
 # A trained model's clusters depend on random starts, so these queries return
 # facts that hold of any right result and that SQL can state.
 
