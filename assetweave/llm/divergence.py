@@ -33,7 +33,6 @@ from pyspark.sql import functions as F
 from assetweave.session import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
-WHITE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 #: character classes, each taken out of what the ones before it have left; the rest is the last class
 CLASSES = [
@@ -59,18 +58,16 @@ ALL = None
 _REFERENCE = "struct<words:array<string>,counts:array<long>,classes:array<long>>"
 
 
-def _without(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
-
-
-def _class_counts(df: DataFrame, text: str, name: str) -> DataFrame:
-    """Add ``name``, the characters of each class, and take ``text`` away."""
+def _class_counts(df: DataFrame, text: str, name: str, symbols: str | None = None) -> DataFrame:
+    """Add ``name``, the characters of each class, and take ``text`` away; ``symbols`` adds the count of ``SYMBOLS``."""
     left, counts = F.col(text), []
     for number, (_, pattern) in enumerate(CLASSES):
         df = df.withColumn(f"_left{number}", F.regexp_replace(left, F.lit(pattern), F.lit("")))
         counts.append(F.length(left) - F.length(f"_left{number}"))
         left = F.col(f"_left{number}")
     df = df.withColumn(name, F.transform(F.array(*counts, F.length(left)), lambda n: n.cast("long")))
+    if symbols:  # punctuation and symbols, so they are among what the first five classes leave
+        df = df.withColumn(symbols, F.length(F.regexp_replace("_left4", f"[^{SYMBOLS}]+", "")).cast("long"))
     return df.drop(text, *[f"_left{i}" for i in range(len(CLASSES))])
 
 
@@ -149,16 +146,15 @@ def _distance(counts: Column, reference: Column, enough: Column) -> Column:
 def quality_rules(docs: DataFrame) -> DataFrame:
     """One row per document: base counts and verdict, both distances, and whether the document is kept."""
     text = F.coalesce("text", F.lit(""))
+    known = references(docs)
+    common = sorted({w for reference in known.values() for w in reference["words"]})
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", text.alias("_text"))
-    lines = F.filter(F.split("_text", "\n", -1), lambda line: F.length(_without(line, WHITE)) > 0)
     rows = rows.select(
         "doc_id",
         "_text",
-        _reference(references(docs)).alias("_ref"),
+        _reference(known).alias("_ref"),
         F.length("_text").cast("long").alias("_chars"),
-        F.length(_without(F.col("_text"), WHITE)).cast("long").alias("word_chars"),
-        F.length(_without(F.col("_text"), SYMBOLS)).cast("long").alias("_no_symbols"),
-        lines.alias("_lines"),
+        F.filter(F.split("_text", "\n", -1), lambda line: line.rlike(WORD)).alias("_lines"),
         _words(F.col("_text")).alias("_words"),
     )
     words, n = F.col("_words"), F.size("_words")
@@ -166,11 +162,13 @@ def quality_rules(docs: DataFrame) -> DataFrame:
         F.slice(words, 1, F.greatest(n - 2, F.lit(0))),
         lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)),
     )
-    # what stays when a common word is taken out tells its count
-    taken = F.transform(F.col("_ref.words"), lambda w: (n - F.size(F.array_remove(words, w))).cast("long"))
-    rows = rows.withColumns({"_tri": trigrams, "_taken": taken, "n_words": n.cast("long")})
+    some = F.filter(words, lambda w: w.isin(common))
+    rows = rows.withColumns({"_tri": trigrams, "_some": some, "n_words": n.cast("long")})
     rows = rows.withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
-    rows = _class_counts(rows.drop("_words", "_lines"), "_text", "_classes")
+    # what goes when a common word is taken out tells its count
+    taken = F.transform(F.col("_ref.words"), lambda w: (F.size("_some") - F.size(F.array_remove("_some", w))).cast("long"))
+    rows = rows.withColumn("_taken", taken)
+    rows = _class_counts(rows.drop("_words", "_lines", "_some"), "_text", "_classes", "n_symbols")
     tri, placed, starts = F.col("_tri"), F.col("_placed"), F.col("_starts")
     repeats = F.size(F.array_distinct(tri)) < F.size(tri)
     rows = rows.withColumn(
@@ -187,8 +185,8 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     rows = rows.select(
         "doc_id",
         "n_words",
-        "word_chars",
-        (F.col("_chars") - F.col("_no_symbols")).alias("n_symbols"),
+        (F.col("_chars") - F.col("_classes")[1]).alias("word_chars"),
+        "n_symbols",
         "n_dup_lines",
         F.coalesce(_sum(covered, F.lit(0)), F.lit(0)).cast("long").alias("n_repeat_words"),
         F.concat("_taken", others).alias("_taken"),
@@ -198,11 +196,11 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     )
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEATED * F.col("n_words"))
     # the words' reference says how much text stands behind either histogram
-    known = _sum(F.col("_ref.counts"), F.lit(0).cast("long")) >= MIN_REFERENCE
+    enough = _sum(F.col("_ref.counts"), F.lit(0).cast("long")) >= MIN_REFERENCE
     rows = rows.withColumns(
         {
             "base_failed": failed,
-            "class_distance": _distance(F.col("_classes"), F.col("_ref.classes"), F.col("_long") & known),
+            "class_distance": _distance(F.col("_classes"), F.col("_ref.classes"), F.col("_long") & enough),
             "word_distance": _distance(F.col("_taken"), F.col("_ref.counts"), F.col("n_words") >= MIN_WORDS),
         }
     )
