@@ -10,8 +10,10 @@ corpus's own identifiers (those of at least ``COMMON`` different texts, most fre
 first, ``DICTIONARY`` bytes), so that known names and repeats of the surrounding
 text cost little. What stands in a base span or is a candidate itself doesn't count
 for the dictionary, and names that look random never do, so that a secret is no less
-novel for being in many documents. Candidates at or above ``NOVEL`` that no base span touches are
-reported with kind ``novel``. Base spans are always kept.
+novel for being in many documents. Candidates at or above ``NOVEL`` are reported with
+kind ``novel``. Where base spans lie in a candidate, what they leave of it is reported if
+the whole is novel, or if it is long enough and novel by itself, so that no rest of a
+secret stays beside a base span. Base spans are always kept.
 
 Spans count code points, end exclusive. Null and empty texts have no spans; rows
 stand for themselves, repeated ids included; an empty table gives no rows.
@@ -178,13 +180,38 @@ def candidates(text: str) -> list[tuple[int, int]]:
     return found
 
 
+def _outside(start: int, end: int, base: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What merged, sorted spans leave of start to end."""
+    out, k = [], bisect_right(base, (start, start))
+    for a, b in base[max(0, k - 1) :]:
+        if a >= end:
+            break
+        if a > start:
+            out.append((start, a))
+        start = max(start, b)
+    return out + [(start, end)] if start < end else out
+
+
 def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty, least: float) -> list[tuple[int, int, int]]:
+    """Candidates outside of base spans; what a base span leaves of one counts with it or by itself."""
+    merged: list[tuple[int, int]] = []
+    for start, _, end in base:
+        if merged and start <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(end, merged[-1][1]))
+        else:
+            merged.append((start, end))
     found = []
     for start, end in candidates(text):
-        if any(a < end and start < b for a, _, b in base):
+        parts = _outside(start, end, merged)
+        whole = novelty.of(text, start, end) >= least if parts else False
+        if parts == [(start, end)]:
+            found += [(start, 3, end)] if whole else []
             continue
-        if novelty.of(text, start, end) >= least:
-            found.append((start, 3, end))
+        for a, b in parts:
+            while a < b and text[a] in "=-+/._":
+                a += 1
+            if a < b and (whole or (b - a >= SHORTEST and novelty.of(text, a, b) >= least)):
+                found.append((a, 3, b))
     return found
 
 
