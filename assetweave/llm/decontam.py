@@ -104,7 +104,7 @@ class Benchmark:
         hashes = w.hashes()
         self.vocabulary = np.unique(hashes)
         symbols = np.searchsorted(self.vocabulary, hashes) + 2  # 1 separates
-        ids = [None if pd.isna(i) else str(int(i)) for i in items["item_id"]]
+        ids = [None if pd.isna(i) else str(i) for i in items["item_id"]]
         owners: dict[tuple, list] = {}
         for item, a, b in zip(ids, w.first[:-1], w.first[1:]):
             for i in range(a, max(b - window, a) + 1 if b > a else a):
@@ -176,7 +176,9 @@ def _merged(a: list[int], b: list[int]) -> list[int]:
 
 def _blocks(benchmark: DataFrame, size: int):
     """The items in blocks of about ``size`` bytes, by hash; a longer item makes its block longer."""
-    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
+    # ids as text: pandas turns numbers beside nulls into floats
+    item = F.col("item_id").cast("long").cast("string").alias("item_id")
+    rows = benchmark.select(item, F.coalesce("text", F.lit("")).alias("text"))
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n = max(1, -(-total // size))
     for i in range(n):
@@ -239,3 +241,29 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def oracle() -> str:
+    """The same in SQL: runs of words of every window length, joined to the windows."""
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    found = f"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{word}')"
+    return f"""
+with items as (select item_id, {found} as words from benchmark where text is not null),
+placed as (
+  select item_id, words, least({WINDOW}, len(words)) as size, unnest(range(1, greatest(len(words) - {WINDOW}, 0) + 2)) as i
+  from items where len(words) > 0),
+windows as (select distinct item_id, size, array_to_string(words[i : i + size - 1], ' ') as w from placed),
+docs as (select row_number() over () as row, doc_id, coalesce({found}, []) as words from documents),
+runs as (
+  select row, size, i, array_to_string(words[i : i + size - 1], ' ') as w from (
+    select row, words, size, unnest(range(1, len(words) - size + 2)) as i
+    from docs, (select distinct size from windows) where len(words) >= size)),
+hits as (select row, i, item_id, r.size from runs r join windows w on w.size = r.size and w.w = r.w),
+hit_words as (
+  select row, count(distinct place)::bigint as n_hit from (select row, unnest(range(i, i + size)) as place from hits) group by row),
+hit_items as (
+  select row, list_sort(list(distinct item_id::varchar)) as items from hits where item_id is not null group by row)
+select doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(len(items), 0)::bigint as n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) as items_sha256, n_hit is not null as contaminated
+from docs left join hit_words using (row) left join hit_items using (row)
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assetweave.llm import divergence, hard_negatives, licenses, search
+from assetweave.llm import decontam, divergence, hard_negatives, licenses, search
 from assetweave.llm.ann import op2_kmeans_tree_neighbours
 from assetweave.llm.decontam import op5_decontaminate
 from assetweave.llm.divergence import op12_divergence_rules
@@ -43,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: SQL twins, where SQL can express the operator
 ORACLE: dict[str, str] = {
     "op3_license_rules": licenses.oracle(),
+    "op5_decontaminate": decontam.oracle(),
     "op11_shared_term_search": search.oracle(),
     "op12_divergence_rules": divergence.oracle(),
     "op13_angular_negatives": hard_negatives.oracle(),

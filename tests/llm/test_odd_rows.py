@@ -370,3 +370,11 @@ def test_token_ids_are_the_librarys():
         ids, offsets = encoder.encode(pa.array(texts))
         for text, a, b in zip(texts, offsets, offsets[1:]):
             assert ids[a:b].tolist() == brute.tokenizer().encode(text or "", add_special_tokens=False).ids
+
+
+def test_large_item_ids_beside_null_ids(spark):
+    big = 2**53 + 1
+    docs = spark.createDataFrame([(1, SIX), (2, "beta gamma")], "doc_id long, text string")
+    items = spark.createDataFrame([(big, SIX), (big - 1, SIX), (None, "beta gamma")], "item_id long, text string")
+    got = sorted(tuple(r) for r in decontam.contamination(docs, items).collect())
+    assert got == sorted(brute.contamination([(1, SIX), (2, "beta gamma")], [(big, SIX), (big - 1, SIX), (None, "beta gamma")]))
