@@ -276,6 +276,14 @@ PARTS = {
       from own join chances on c = cluster cross join coalitions k
       left join shares on shares.ticker = own.ticker and shares.dt = own.dt and shares.s = k.s""",
     "all_weighted": "select *, [0.25e0, 1e0/12, 1e0/12, 0.25e0] as wt, s1 + s2 + s3 + s4 as size from all_worth",
+    # close as Spark writes it: the shortest digits, with a point
+    "lines": """
+      select *, case when day(dt) = 13 then 'fields: 2' when day(dt) = 17 then 'fields: 4'
+                     when day(dt) = 29 then 'not a date: dt' when day(dt) % 11 = 0 then 'not a double: close' else 'ok' end as reason,
+             case when day(dt) = 13 then left_part when day(dt) = 17 then left_part || ',' || shown || ',x'
+                  else left_part || ',' || shown end as line
+      from (select *, ticker || ',' || case when day(dt) = 29 then 'day ' else '' end || strftime(dt, '%Y-%m-%d') as left_part,
+                   case when day(dt) % 11 = 0 then 'n/a' else close::varchar end as shown from bars)""",
     "complete_rows": """
       select *, close - lag(close) over w as step, row_number() over w as row_no from enhanced
       where momentum is not null and alpha is not null and dividend_yield is not null and pe_ratio is not null
@@ -513,6 +521,15 @@ ORACLE = {
     "s08_daily_json_envelope": sql("select ticker, dt, open, high, low, close, cast(volume as bigint) as volume from bars"),
     "s08_daily_json": sql("select ticker, dt, open, high, low, close, cast(volume as bigint) as volume from bars"),
     "s09_prices_for": sql("select dt, close from bars where ticker = 'Supplier#000000001'"),
+    "s09_prices_for_sorted": sql("select dt, close from bars where ticker = 'Supplier#000000001'"),
+    "s01_checked_rows": sql("select ticker, dt, close from bars where day(dt) % 11 <> 0 and day(dt) not in (13, 17, 29)"),
+    "s01_rejects": sql("select line, reason from lines where reason <> 'ok'"),
+    "s06_reject_audit": sql("select reason, count(*) as n from lines group by reason"),
+    "k07_stream_counts": sql("""
+      select count(*) as rows_in, count(*) filter (day(ts) > 7) as kept, count(*) filter (day(ts) <= 7) as dropped from quotes"""),
+    "t05_latest_from_state": sql(
+        "select asset, max(ts) as ts, arg_max(price, (ts, event_id)) as price from quotes group by asset"
+    ),
     "u01_union_all": sql("select ticker, dt, close, case when dt >= date '1998-01-01' then volume end as volume from bars"),
     "k01_write_csv": sql(PRICES),
     "k02_append": sql(PRICES),

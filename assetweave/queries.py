@@ -32,8 +32,11 @@ from assetweave.session import new_path, stored
 from assetweave.sources import market_tables as tables
 from assetweave.sources import readers, sinks
 from assetweave.sources.keyed_table import read_keyed, upsert_table
+from assetweave.sources.lookup import lookup, write_lookup
+from assetweave.sources.rejects import audit, read_csv_checked
 from assetweave.streaming import quotes as stream
 from assetweave.streaming.market_clock import every_interval
+from assetweave.streaming.metrics import counted
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -188,6 +191,42 @@ def s09_prices_for(spark, sf_dir):
     return readers.prices_for(prices, ONE_ASSET)
 
 
+@query
+def s09_prices_for_sorted(spark, sf_dir):
+    """The same lookup in a table laid out for it."""
+    path = new_path(spark, "lookup")
+    write_lookup(tables.bars(spark, sf_dir), path, key="ticker")
+    return lookup(spark, path, ONE_ASSET, key="ticker")
+
+
+def _csv_with_bad_lines(spark, sf_dir):
+    """Lines of bars, some with a broken price, a missing field, one too many, or a broken date."""
+    day = F.dayofmonth("dt")
+    iso = F.date_format("dt", "yyyy-MM-dd")
+    close = F.when(day % 11 == 0, "n/a").otherwise(F.col("close").cast("string"))
+    fields = [F.col("ticker"), F.when(day == 29, F.concat(F.lit("day "), iso)).otherwise(iso), close]
+    line = F.when(day == 13, F.concat_ws(",", *fields[:2])).when(day == 17, F.concat_ws(",", *fields, F.lit("x")))
+    path = new_path(spark, "lines")
+    tables.bars(spark, sf_dir).select(line.otherwise(F.concat_ws(",", *fields))).write.text(path)
+    return read_csv_checked(spark, path, schemas.PRICE_LINES, header=False)
+
+
+@query
+def s01_checked_rows(spark, sf_dir):
+    return _csv_with_bad_lines(spark, sf_dir).rows
+
+
+@query
+def s01_rejects(spark, sf_dir):
+    """Lines that don't fit, with their reason."""
+    return _csv_with_bad_lines(spark, sf_dir).rejects.select("line", "reason")
+
+
+@query
+def s06_reject_audit(spark, sf_dir):
+    return audit(_csv_with_bad_lines(spark, sf_dir))
+
+
 @query
 def u01_union_all(spark, sf_dir):
     bars = tables.bars(spark, sf_dir)
@@ -1252,6 +1291,36 @@ def t05_latest_prices(spark, sf_dir):
     return _naive(stream.read_newest(spark, path, ["asset"]))
 
 
+@query
+def t05_latest_from_state(spark, sf_dir):
+    """The newest prices straight from the job's state after four batches; no batch output is kept."""
+    checkpoint = new_path(spark, "checkpoint")
+    stream.keep_state(stream.latest_prices(_quote_batches(spark, sf_dir)), checkpoint).awaitTermination()
+    return _naive(stream.latest_from_state(spark, checkpoint))
+
+
+@query
+def k07_stream_counts(spark, sf_dir):
+    """Rows read, kept and dropped as late over all batches of a stream."""
+    landed, path, checkpoint = (new_path(spark, n) for n in ("landed", "unique", "checkpoint"))
+    events = tables.table(spark, sf_dir, "events")
+    day = F.dayofmonth("ts")
+    for part in (day.between(8, 20), day > 20, day < 8):
+        events.where(part).coalesce(1).write.mode("append").parquet(landed)
+    listener = counted(spark)
+    try:
+        quotes = stream.as_quotes(stream.stream_table(spark, landed, schemas.EVENTS, files_per_batch=1))
+        job = stream.append_to(stream.unique_quotes(quotes, lateness="1 day"), path, checkpoint)
+        job.awaitTermination()
+        listener.wait_for(job)
+        totals = listener.totals(job)
+    finally:
+        spark.streams.removeListener(listener)
+    kept = spark.read.parquet(path).count()
+    row = (totals["rows_in"], kept, totals["dropped"])
+    return spark.createDataFrame([row], "rows_in long, kept long, dropped long")
+
+
 @query
 def w01_quote_returns_blocked(spark, sf_dir):
     quotes = tables.quotes(spark, sf_dir).withColumnRenamed("price", "close")

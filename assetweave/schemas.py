@@ -53,6 +53,8 @@ USERS = _struct(
     tolerance=T.StringType(),
 )
 
+PRICE_LINES = _struct(ticker=T.StringType(), dt=T.DateType(), close=T.DoubleType())
+
 #: stored tables read by name; with the schema given, opening one starts no job
 STORED = {
     "orders": _struct(o_orderkey=T.LongType(), o_custkey=T.LongType(), o_orderdate=T.TimestampNTZType()),

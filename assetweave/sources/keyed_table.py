@@ -1,9 +1,11 @@
 """A stored table with a key: upserts rewrite only the partitions they touch.
 
-``<table>/manifest/v<n>`` lists the folder of every partition; a new version is
-complete when its manifest is. Writing one that exists fails, so of two writers at
-a time one has to start again. Folders that the current manifest no longer names
-are removed, so their number stays that of the partitions.
+The table is plain Parquet, partitioned by a column that follows from the key, and
+read and written by Spark's own partition pruning and dynamic partition overwrite.
+The new content of the touched partitions is written to the shared folder first,
+so a job that is lost before the overwrite leaves the table as it was, and one that is
+lost within it is mended by running the same upsert again: the same row wins again.
+One writer at a time; readers start after it.
 """
 
 from __future__ import annotations
@@ -13,25 +15,27 @@ from pyspark.sql import functions as F
 
 from assetweave.operators.merge import dedupe
 from assetweave.session import stored
-from assetweave.sources.sinks import complete_versions, file_system
+from assetweave.sources.sinks import file_system
 
 PARTITION = "_partition"
 
 
-def _manifest(spark: SparkSession, table: str) -> tuple[int, dict[str, str]]:
-    versions = complete_versions(spark, f"{table}/manifest")
-    if not versions:
-        return 0, {}
-    rows = spark.read.parquet(f"{table}/manifest/v{versions[-1]}").collect()  # one row per partition
-    return versions[-1], {r["partition"]: r["path"] for r in rows}
+def _table(spark: SparkSession, table: str) -> DataFrame | None:
+    fs, path_of = file_system(spark, table)
+    if not fs.exists(path_of(table)):
+        return None
+    # a partition's value is text, whatever it looks like
+    schema = spark.read.parquet(table).schema
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name != PARTITION)
+    return spark.read.schema(f"{fields}, {PARTITION} string").parquet(table)
 
 
 def read_keyed(spark: SparkSession, table: str) -> DataFrame:
     """The current rows."""
-    _, paths = _manifest(spark, table)
-    if not paths:
-        raise ValueError(f"no complete version of {table}")
-    return spark.read.parquet(*sorted(paths.values()))
+    rows = _table(spark, table)
+    if rows is None:
+        raise ValueError(f"there is no table {table}")
+    return rows.drop(PARTITION)
 
 
 def stamped(rows: DataFrame, now) -> DataFrame:
@@ -54,38 +58,16 @@ def upsert_table(
     for name in [*keys, *([value] if value else [])]:
         good = good & F.col(name).isNotNull()
     delta = stamped(delta, now) if now else delta
-    delta = stored(delta.withColumn("_good", good).withColumn(PARTITION, partition.cast("string")), "delta")
+    delta = stored(delta.withColumn("_good", good).withColumn(PARTITION, F.coalesce(partition.cast("string"), F.lit("none"))), "delta")
     counts = delta.agg(F.count_if("_good").alias("written"), F.count_if(~F.col("_good")).alias("failed")).first()
-    delta = delta.where("_good").drop("_good")
-    touched = [r[0] for r in delta.select(PARTITION).distinct().collect()]  # dates, not rows
+    rows = delta.where("_good").drop("_good")
+    touched = [r[0] for r in rows.select(PARTITION).distinct().collect()]  # dates, not rows
     if not touched:
         return counts.asDict()
-    version, paths = _manifest(spark, table)
-    old = [paths[p] for p in touched if p in paths]
-    rows = delta.drop(PARTITION)
-    if old:
-        rows = rows.unionByName(spark.read.parquet(*old), allowMissingColumns=True)
-    rows = dedupe(rows, keys, order).withColumn(PARTITION, partition.cast("string"))
-    folder = f"{table}/data-v{version + 1}"
-    rows.write.mode("overwrite").partitionBy(PARTITION).parquet(folder)
-    paths |= {p: f"{folder}/{PARTITION}={p}" for p in touched}
-    manifest = spark.createDataFrame(sorted(paths.items()), "partition string, path string").coalesce(1)
-    manifest.write.mode("errorifexists").parquet(f"{table}/manifest/v{version + 1}")
-    _remove_unused(spark, table, set(paths.values()), version)
+    old = _table(spark, table)
+    if old is not None:
+        rows = rows.unionByName(old.where(F.col(PARTITION).isin(touched)), allowMissingColumns=True)
+    kept = stored(dedupe(rows, keys, order), "upserted")
+    writer = kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION)
+    writer.parquet(table)
     return counts.asDict()
-
-
-def _remove_unused(spark: SparkSession, table: str, used: set[str], old: int) -> None:
-    """Folders that the current manifest doesn't name, and manifests before the last two."""
-    fs, path_of = file_system(spark, table)
-    for folder in fs.listStatus(path_of(table)):
-        name = folder.getPath().getName()
-        if name.startswith("data-v"):
-            parts = [p.getPath().getName() for p in fs.listStatus(folder.getPath())]
-            parts = [p for p in parts if p.startswith(f"{PARTITION}=")]
-            unused = [p for p in parts if f"{table}/{name}/{p}" not in used]
-            for p in unused if len(unused) < len(parts) else [""]:
-                fs.delete(path_of(f"{table}/{name}/{p}" if p else f"{table}/{name}"), True)
-    for version in complete_versions(spark, f"{table}/manifest"):
-        if version < old:
-            fs.delete(path_of(f"{table}/manifest/v{version}"), True)

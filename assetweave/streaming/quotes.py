@@ -81,6 +81,24 @@ def latest_prices(quotes: DataFrame) -> DataFrame:
     return quotes.groupBy("asset").agg(F.max("ts").alias("ts"), F.max_by("price", newest).alias("price"))
 
 
+def keep_state(df: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Run a stateful job for its state alone, which ``latest_from_state`` reads; nothing else is written."""
+    writer = df.writeStream.format("noop").outputMode("update").option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def latest_from_state(spark: SparkSession, checkpoint: str, batch: int | None = None) -> DataFrame:
+    """``latest_prices`` out of the state of its job, as of the last finished batch (or an earlier one).
+
+    One row per asset is read, whatever number of batches there were.
+    """
+    reader = spark.read.format("statestore")
+    state = (reader if batch is None else reader.option("batchId", batch)).load(checkpoint)
+    # the state's columns are the aggregates in their order: newest time, then newest price
+    ts, price = state.schema["value"].dataType.names[:2]
+    return state.select(F.col("key.asset").alias("asset"), F.col(f"value.{ts}").alias("ts"), F.col(f"value.{price}").alias("price"))
+
+
 def append_to(
     df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
