@@ -36,8 +36,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 #: character classes, each taken out of what the ones before it have left; the rest is the last class
 CLASSES = [
-    ("lower", r"\p{Ll}+"),
     ("white", r"[\x20\x09-\x0D]+"),
+    ("lower", r"\p{Ll}+"),
     ("upper", r"\p{Lu}+"),
     ("letter", r"\p{L}+"),
     ("digit", r"\p{N}+"),
@@ -58,21 +58,26 @@ ALL = None
 _REFERENCE = "struct<words:array<string>,counts:array<long>,classes:array<long>>"
 
 
-def _class_counts(df: DataFrame, text: str, name: str, symbols: str | None = None) -> DataFrame:
-    """Add ``name``, the characters of each class, and take ``text`` away; ``symbols`` adds the count of ``SYMBOLS``."""
+def _words(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+
+
+def _class_counts(df: DataFrame, text: str, words: str, name: str, symbols: str | None = None) -> DataFrame:
+    """Add ``name``, the characters of each class, and take ``text`` and its ``words`` away.
+
+    The words side by side are the text without white space. ``symbols`` adds the
+    count of ``SYMBOLS``.
+    """
     left, counts = F.col(text), []
     for number, (_, pattern) in enumerate(CLASSES):
-        df = df.withColumn(f"_left{number}", F.regexp_replace(left, F.lit(pattern), F.lit("")))
+        rest = F.regexp_replace(left, F.lit(pattern), F.lit("")) if number else F.array_join(words, "")
+        df = df.withColumn(f"_left{number}", rest)
         counts.append(F.length(left) - F.length(f"_left{number}"))
         left = F.col(f"_left{number}")
     df = df.withColumn(name, F.transform(F.array(*counts, F.length(left)), lambda n: n.cast("long")))
     if symbols:  # punctuation and symbols, so they are among what the first five classes leave
         df = df.withColumn(symbols, F.length(F.regexp_replace("_left4", f"[^{SYMBOLS}]+", "")).cast("long"))
-    return df.drop(text, *[f"_left{i}" for i in range(len(CLASSES))])
-
-
-def _words(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    return df.drop(text, words, *[f"_left{i}" for i in range(len(CLASSES))])
 
 
 def references(docs: DataFrame) -> dict[str | None, dict]:
@@ -93,9 +98,9 @@ def references(docs: DataFrame) -> dict[str | None, dict]:
     common = sorted((r["lang"], r["rank"], r["word"], r["n"]) for r in common.collect())
     common += [(ALL, 0, r["word"], r["n"]) for r in everything.orderBy(F.desc("n"), "word").limit(COMMON).collect()]
     key = F.when(F.col("lang").isin(names), F.col("lang")).alias("lang")
-    long_enough = texts.where(F.length("text") >= MIN_CHARS).select(key, "text")
+    long_enough = texts.where(F.length("text") >= MIN_CHARS).select(key, "text", _words(F.col("text")).alias("_words"))
     places = range(len(CLASSES) + 1)
-    sums = _class_counts(long_enough, "text", "_classes").groupBy("lang").agg(*[F.sum(F.col("_classes")[i]) for i in places])
+    sums = _class_counts(long_enough, "text", "_words", "_classes").groupBy("lang").agg(*[F.sum(F.col("_classes")[i]) for i in places])
     classes = {r[0]: list(r[1:]) for r in sums.collect()}
     classes[ALL] = [sum(c[i] for c in classes.values()) for i in places]
     out = {name: {"words": [], "counts": [], "classes": classes.get(name, [0] * len(places))} for name in total}
@@ -168,7 +173,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     # what goes when a common word is taken out tells its count
     taken = F.transform(F.col("_ref.words"), lambda w: (F.size("_some") - F.size(F.array_remove("_some", w))).cast("long"))
     rows = rows.withColumn("_taken", taken)
-    rows = _class_counts(rows.drop("_words", "_lines", "_some"), "_text", "_classes", "n_symbols")
+    rows = _class_counts(rows.drop("_lines", "_some"), "_text", "_words", "_classes", "n_symbols")
     tri, placed, starts = F.col("_tri"), F.col("_placed"), F.col("_starts")
     repeats = F.size(F.array_distinct(tri)) < F.size(tri)
     rows = rows.withColumn(
@@ -185,7 +190,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     rows = rows.select(
         "doc_id",
         "n_words",
-        (F.col("_chars") - F.col("_classes")[1]).alias("word_chars"),
+        (F.col("_chars") - F.col("_classes")[0]).alias("word_chars"),
         "n_symbols",
         "n_dup_lines",
         F.coalesce(_sum(covered, F.lit(0)), F.lit(0)).cast("long").alias("n_repeat_words"),
@@ -266,7 +271,7 @@ windows as (select row, i, words[i : i + 2] as three from placed),
 again as (select row, i from windows qualify count(*) over (partition by row, three) > 1),
 covered as (select row, count(distinct i + d)::bigint as n from again, (values (0), (1), (2)) t(d) group by row),
 rows as (
-  select s.row, doc_id, len(words)::bigint as n_words, (length(text) - s.classes[2])::bigint as word_chars,
+  select s.row, doc_id, len(words)::bigint as n_words, (length(text) - s.classes[1])::bigint as word_chars,
          (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::bigint as n_symbols,
          (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines, coalesce(c.n, 0) as n_repeat_words,
          length(text) as chars, s.classes, words,

@@ -83,9 +83,11 @@ def save(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
-def score(df: DataFrame, path: str) -> DataFrame:
+def score(df: DataFrame, path: str, column: str = "prediction") -> DataFrame:
     """Cluster rows with a saved model, using the means and the scaler it was trained with."""
-    return predict(PipelineModel.load(path), df)
+    model = PipelineModel.load(path)
+    model.stages[-1].setPredictionCol(column)
+    return predict(model, df)
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:

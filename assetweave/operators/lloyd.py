@@ -16,11 +16,15 @@ and squared length: one pass over rows, no pairs.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from assetweave.session import stored
+
 #: rounds after the seeds
 ROUNDS = 8
 #: width of a cell, in standard deviations
@@ -129,3 +133,66 @@ def silhouette_of(rows: DataFrame, columns: Sequence[str], cluster: str) -> Data
     least = F.least(*other)
     value = F.try_divide(least - own, F.greatest(least, own))
     return rows.withColumn("silhouette", F.when(single, 0.0).otherwise(F.coalesce(value, F.lit(0.0))))
+
+
+@dataclass(frozen=True)
+class Model:
+    """Everything that scoring needs: the training rows' means and deviations, and the centers in their scale."""
+
+    features: list[str]
+    means: list[float]
+    deviations: list[float]
+    centers: list[list[float]]
+
+    def scaled(self, df: DataFrame) -> tuple[DataFrame, list[str]]:
+        """``df`` with standardised columns, a missing value being the training mean; and the columns' names."""
+        names = [f"_z_{c}" for c in self.features]
+        z = {}
+        for name, c, mean, deviation in zip(names, self.features, self.means, self.deviations):
+            known = F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(mean)), F.lit(mean))
+            z[name] = (known - mean) / (deviation or 1.0)
+        return df.withColumns(z), names
+
+
+def train(df: DataFrame, features: list[str], k: int, rounds: int = ROUNDS) -> Model:
+    """Means, deviations and ``k`` centers of all rows; a missing value counts as the feature's mean."""
+    totals = df.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.avg(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(f"m{i}") for i, c in enumerate(features)],
+        *[F.var_samp(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(f"v{i}") for i, c in enumerate(features)],
+        *[F.count(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(f"n{i}") for i, c in enumerate(features)],
+    ).first()
+    if not totals["n"]:
+        raise ValueError("no rows to train on")
+    means = [totals[f"m{i}"] or 0.0 for i in range(len(features))]
+    # rows at the mean add nothing to the sum of squares, but count
+    deviations = [
+        math.sqrt((totals[f"v{i}"] or 0.0) * max(totals[f"n{i}"] - 1, 0) / max(totals["n"] - 1, 1)) for i in range(len(features))
+    ]
+    empty = Model(features, means, deviations, [])
+    rows, names = empty.scaled(df)
+    rows = stored(rows.select(*names), "training-rows")
+    return Model(features, means, deviations, fit(rows, names, [k], rounds)[k])
+
+
+def save(model: Model, path: str) -> None:
+    """One row per feature, as Parquet, replacing what is there."""
+    spark = SparkSession.active()
+    centers = zip(*model.centers)
+    rows = [(i, *r, list(c)) for i, (*r, c) in enumerate(zip(model.features, model.means, model.deviations, centers))]
+    schema = "place int, feature string, mean double, deviation double, centers array<double>"
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def load(spark: SparkSession, path: str) -> Model:
+    rows = spark.read.parquet(path).orderBy("place").collect()  # one per feature
+    centers = [list(c) for c in zip(*(r["centers"] for r in rows))]
+    return Model(*([r[c] for r in rows] for c in ("feature", "mean", "deviation")), centers)
+
+
+def score(df: DataFrame, model: Model) -> DataFrame:
+    """Every row with its cluster, ``prediction``, by the means and deviations of the training rows."""
+    rows, names = model.scaled(df)
+    k = len(model.centers)
+    near = assigned(rows, names, {k: model.centers})
+    return near.withColumn("prediction", F.col(f"_cluster_{k}")).drop(*names, f"_cluster_{k}", f"_gap_{k}")

@@ -517,7 +517,12 @@ ORACLE = {
       from assets a left join curated c on c.asset = a.ticker
       group by a.ticker"""),
     "s07_universe": sql("select distinct category, ticker from bars"),
-    "s07_universe_mapping": sql("select category, ticker from assets"),
+    "s07_universe_mapping": sql("""
+      select u.category, u.ticker, count(b.ticker) as n_bars, max(dt) as last_dt
+      from (values ('core', 'Supplier#000000001'), ('core', 'Supplier#000000002'), ('core', 'Supplier#000000005'),
+                   ('satellite', 'Supplier#000000003'), ('satellite', 'Supplier#000000002'), ('satellite', 'no such asset'))
+           u(category, ticker)
+      left join bars b on b.ticker = u.ticker group by u.category, u.ticker"""),
     "s08_daily_json_envelope": sql("select ticker, dt, open, high, low, close, cast(volume as bigint) as volume from bars"),
     "s08_daily_json": sql("select ticker, dt, open, high, low, close, cast(volume as bigint) as volume from bars"),
     "s09_prices_for": sql("select dt, close from bars where ticker = 'Supplier#000000001'"),
@@ -751,6 +756,11 @@ ORACLE = {
         )
         for names in (FIVE, TEN, FOUR)
     },
+    "m05_risk_of_clusters": sql(f"""
+      select case row_number() over (order by avg(volatility_10), c) when 1 then 'Low Risk' when 2 then 'Medium Risk'
+                  else 'High Risk' end as risk_category, count(*) as n, {r('avg(volatility_10)', 6, 'mean_volatility')}
+      from three5_near a join basic b on b.ticker = a.ticker and b.dt = a.dt group by c"""),
+    "m06_m07_saved_centers": sql("select c::integer as cluster, count(*) as n from three4_near group by c"),
     "m04_silhouette_values": sql(f"""
       select c::integer as cluster, count(*) as n, {r('avg(s)', 6, 'silhouette')} from three5_silhouette group by c
       union all select -1, count(*), {r('avg(s)', 6, 'silhouette')} from three5_silhouette"""),

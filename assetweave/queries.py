@@ -46,6 +46,11 @@ TODAY = tables.TODAY
 NOW = dt.datetime(2001, 11, 5, 12, 0, tzinfo=dt.timezone.utc)
 BEFORE = dt.datetime(2001, 1, 1, 12, 0, tzinfo=dt.timezone.utc)
 ONE_ASSET = "Supplier#000000001"
+CHOSEN = {
+    "core": ["Supplier#000000001", "Supplier#000000002", "Supplier#000000005"],
+    "satellite": ["Supplier#000000003", "Supplier#000000002", "no such asset"],
+    "empty": [],
+}
 AS_OF = ["1994-12-31", "1996-06-30", "1998-12-25", "2001-11-04"]
 VOLATILITY_CENTERS = [0.8, -0.8, 0.0]
 FEATURE_CENTERS = [[0.0, 0.0, 0.3, 1.0], [0.2, 0.0, -0.5, -0.6], [-0.3, 0.1, 0.8, 0.0]]
@@ -151,10 +156,10 @@ def s07_universe(spark, sf_dir):
 
 @query
 def s07_universe_mapping(spark, sf_dir):
-    """A universe given as lists per category, here the regions' assets."""
-    assets = tables.assets(spark, sf_dir)
-    rows = assets.groupBy("category").agg(F.sort_array(F.collect_list("ticker")).alias("tickers"))
-    return rows.select("category", F.explode("tickers").alias("ticker"))
+    """A universe given as lists per category, with what is stored of each of its assets."""
+    counted = tables.bars(spark, sf_dir).groupBy("ticker").agg(F.count("*").alias("n_bars"), F.max("dt").alias("last_dt"))
+    chosen = readers.universe(spark, CHOSEN).join(counted, "ticker", "left")
+    return chosen.select("category", "ticker", F.coalesce("n_bars", F.lit(0)).alias("n_bars"), "last_dt")
 
 
 def _daily_json(spark, sf_dir):
@@ -278,7 +283,7 @@ def k04_append_csv(spark, sf_dir):
 
 
 def _base_and_delta(spark, sf_dir):
-    prices = _bars(spark, sf_dir).select("ticker", "dt", "close")
+    prices = tables.bars(spark, sf_dir).select("ticker", "dt", "close")
     day = F.col("dt")
     base = prices.where(day < F.lit("2000-01-01").cast("date")).withColumn(
         "last_updated", F.lit("2001-01-01").cast("date")
@@ -903,11 +908,11 @@ def m01_scale(spark, sf_dir):
     return rounded(out, **{n: 6 for n in names})
 
 
-def _standard(df, columns):
+def _standard(df, columns, keep=()):
     """Gaps filled with the mean, standardised, stored; and the columns' names."""
-    z = cluster.standardize(cleaning.impute_mean(df.select(*columns), columns), columns)
+    z = cluster.standardize(cleaning.impute_mean(df.select(*dict.fromkeys((*columns, *keep))), columns), columns)
     names = [f"z_{c}" for c in columns]
-    return stored(z.select(*names), "standardised"), names
+    return stored(z.select(*names, *keep), "standardised"), names
 
 
 @query
@@ -940,6 +945,28 @@ def m03_clusters_4(spark, sf_dir):
     return _clusters(_all_features(spark, sf_dir), cluster.FEATURES_4)
 
 
+@query
+def m05_risk_of_clusters(spark, sf_dir):
+    """Risk label, rows and mean volatility of each of three clusters."""
+    basic = _basic(spark, sf_dir)
+    rows, names = _standard(basic, cluster.FEATURES_5, ("volatility_10",))
+    k = cluster.CLUSTERS
+    near = lloyd.assigned(rows, names, lloyd.fit(rows, names, [k])).withColumnRenamed(f"_cluster_{k}", "prediction")
+    labelled = cluster.risk_label(near.select("volatility_10", "prediction"))
+    found = labelled.groupBy("risk_category").agg(F.count("*").alias("n"), F.avg("volatility_10").alias("mean_volatility"))
+    return rounded(found, mean_volatility=6)
+
+
+@query
+def m06_m07_saved_centers(spark, sf_dir):
+    """Means, deviations and centers are saved, loaded, and score every row, gaps included: rows per cluster."""
+    path = new_path(spark, "centers")
+    features_of_rows = _all_features(spark, sf_dir)
+    lloyd.save(lloyd.train(features_of_rows, cluster.FEATURES_4, cluster.CLUSTERS), path)
+    scored = lloyd.score(features_of_rows, lloyd.load(spark, path))
+    return scored.groupBy(F.col("prediction").alias("cluster")).agg(F.count("*").alias("n"))
+
+
 @query
 def m04_silhouette_values(spark, sf_dir):
     """Mean silhouette of every cluster, and (cluster -1) of all rows."""
@@ -959,15 +986,14 @@ def m04_silhouette_values(spark, sf_dir):
 @query
 def m02_elbow(spark, sf_dir):
     """Per number of clusters: whether its cost lies between zero and that of a single cluster."""
-    basic = _basic(spark, sf_dir)
-    costs = cluster.elbow(basic, cluster.FEATURES_5)
-    single = len(cluster.FEATURES_5) * (basic.count() - 1)  # standardised features have variance one
+    rows, names = _standard(_basic(spark, sf_dir), cluster.FEATURES_5)
+    costs = lloyd.costs(rows, names, lloyd.fit(rows, names, range(2, 10)))
+    single = len(names) * (rows.count() - 1)  # standardised features have variance one
     return costs.select("k", F.col("cost").between(0, single * (1 + 1e-9)).alias("plausible"))
 
 
 def _cluster_facts(rows, features):
     """One row: rows scored, clusters used, rows that lie nearer to another cluster's center."""
-    rows = stored(rows, "model-rows")
     model = cluster.train(rows, features)
     scored = cluster.predict(model, rows)
     _, _, centers = cluster.scaler_and_centers(model)
@@ -1041,9 +1067,10 @@ def m06_m07_train_and_score(spark, sf_dir):
     rows = stored(rows, "with-gaps")
     model = cluster.train(rows, cluster.FEATURES_4)
     cluster.save(model, path)
-    before = cluster.predict(model, rows).select("ticker", "dt", "prediction")
-    after = cluster.score(rows, path).select("ticker", "dt", F.col("prediction").alias("reloaded"))
-    return before.join(after, ["ticker", "dt"], "full_outer").agg(
+    # the reloaded model scores the scored rows once more, side by side
+    before = cluster.predict(model, rows).drop("features")
+    after = cluster.score(before, path, "reloaded")
+    return after.agg(
         F.count("*").alias("rows_scored"),
         F.count_if(~F.col("prediction").eqNullSafe(F.col("reloaded"))).alias("different"),
         F.count_if(F.col("reloaded").isNull()).alias("without_cluster"),
@@ -1209,7 +1236,7 @@ def _naive(df, column="ts"):
 @query
 def t01_market_snapshots(spark, sf_dir):
     path, checkpoint = new_path(spark, "snapshots"), new_path(spark, "checkpoint")
-    feed = stream.unique_quotes(stream.during_market(_quote_batches(spark, sf_dir)), lateness="40 days")
+    feed = stream.quotes_once(stream.during_market(_quote_batches(spark, sf_dir)), lateness="1 hour")
     stream.write_batches(stream.snapshots(feed), path, checkpoint).awaitTermination()
     return _naive(stream.read_newest(spark, path, ["window_start", "asset"]), "window_start")
 

@@ -35,11 +35,13 @@ HEADLINE = [
     "w19_advanced_features",
     "w19_advanced_features_blocked",
     "w20_enhanced_bars",
+    "j04_asof_join",
     "m02_elbow",
     "m03_cluster_5",
     "m03_cluster_10",
     "m06_m07_train_and_score",
     "m08_attribution",
+    "m08_attribution_all_rows",
     "m11_build_portfolio",
     "m14_signal",
     "t01_market_snapshots",

@@ -32,9 +32,9 @@ def classes(text):
     for c in text or "":
         kind = unicodedata.category(c)
         if kind == "Ll":
-            out[0] += 1
-        elif c in "\x20\t\n\x0b\x0c\r":
             out[1] += 1
+        elif c in "\x20\t\n\x0b\x0c\r":
+            out[0] += 1
         elif kind == "Lu":
             out[2] += 1
         else:

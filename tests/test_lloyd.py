@@ -77,3 +77,21 @@ def test_equally_near_centers(spark):
     rows = spark.createDataFrame([(0.0,), (1.0,), (2.0,)], "a double")
     near = lloyd.assigned(rows, ["a"], {2: [[0.0], [2.0]]}).collect()
     assert [r["_cluster_2"] for r in near] == [0, 0, 1]
+
+
+def test_a_saved_model_scores_with_its_own_scale(spark, tmp_path, points):
+    _, df = points
+    df = df.withColumn("id", F.monotonically_increasing_id())
+    gaps = df.withColumn("a", F.when(F.col("id") % 7 != 0, F.col("a")))
+    model = lloyd.train(gaps, ["a", "b", "c"], 3)
+    path = str(tmp_path / "model")
+    lloyd.save(model, path)
+    again = lloyd.load(spark, path)
+    assert again == model
+    before = {r.id: r.prediction for r in lloyd.score(gaps, model).collect()}
+    assert len(before) == df.count() and set(before.values()) == {0, 1, 2}
+    part = lloyd.score(gaps.where("id < 20"), again)  # its own mean and deviation would differ
+    assert {r.id: r.prediction for r in part.collect()} == {i: c for i, c in before.items() if i < 20}
+    assert part.columns == [*gaps.columns, "prediction"]
+    with pytest.raises(ValueError, match="no rows"):
+        lloyd.train(gaps.limit(0), ["a"], 2)
