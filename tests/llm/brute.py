@@ -4,7 +4,7 @@ import hashlib
 import math
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from functools import lru_cache
 
 import numpy as np
@@ -106,23 +106,20 @@ def contamination(docs, items, window=10):
 class Language:
     """Word counts and byte contexts of training texts."""
 
-    def __init__(self, docs):
-        self.words, two = Counter(), Counter()
+    def __init__(self, docs, depth=5):
+        self.words, self.depth = Counter(), depth
+        self.contexts = defaultdict(Counter)  # from the longest to the empty one
         for doc_id, text in docs:
             if remainder(doc_id, 7) != 2:
                 self.words.update([*SPACED.findall(lower(text)), None])
-                s = self.symbols(text)
-                two.update(zip(s, s[1:], s[2:]))
+                for context, symbol in self.symbols(text):
+                    for k in range(depth + 1):
+                        self.contexts[context[k:]][symbol] += 1
         self.n, self.v = sum(self.words.values()), len(self.words)
-        self.two, self.one, self.zero = {}, {}, Counter()
-        for (a, b, c), n in two.items():
-            self.two.setdefault((a, b), Counter())[c] += n
-            self.one.setdefault(b, Counter())[c] += n
-            self.zero[c] += n
 
-    @staticmethod
-    def symbols(text):
-        return [256, 256, *(text or "").encode(), 256]
+    def symbols(self, text):
+        s = (*[256] * self.depth, *(text or "").encode(), 256)
+        return [(s[i : i + self.depth], s[i + self.depth]) for i in range(len(s) - self.depth)]
 
     def base(self, text):
         tokens = [*SPACED.findall(lower(text)), None]
@@ -130,22 +127,21 @@ class Language:
         return len(tokens), sum(self.words[t] > 0 for t in tokens), score
 
     @lru_cache(maxsize=None)
-    def probability(self, a, b, c):
+    def probability(self, context, symbol):
         p, excluded = 1.0, set()
-        for level in (self.two.get((a, b), {}), self.one.get(b, {}), self.zero):
-            free = {s: n for s, n in level.items() if s not in excluded}
+        for k in range(self.depth + 1):
+            free = {s: n for s, n in self.contexts.get(context[k:], {}).items() if s not in excluded}
             n, kinds = sum(free.values()), len(free)
             rest = len(excluded) + kinds < 257
-            if c in free:
-                return p * free[c] / (n + kinds if rest else n)
+            if symbol in free:
+                return p * free[symbol] / (n + kinds if rest else n)
             if n:
                 p *= kinds / (n + kinds)
             excluded |= free.keys()
         return p / (257 - len(excluded))
 
     def score(self, text):
-        s = self.symbols(text)
-        return sum(math.log10(self.probability(*x)) for x in zip(s, s[1:], s[2:]))
+        return sum(math.log10(self.probability(*x)) for x in self.symbols(text))
 
 
 def neighbours(rows, k=20, every=20):

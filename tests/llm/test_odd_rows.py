@@ -5,7 +5,7 @@ import zlib
 import pytest
 
 import brute
-from assetweave.llm import ann, decontam, licenses, ngram_join, packing, ppm, quality, secrets, token_counts, wavelet
+from assetweave.llm import ann, decontam, licenses, ngram_join, packing, quality, secrets, token_counts, wavelet
 from test_queries import check_packing
 
 LONG = "alpha beta gamma delta " * 4000 + "token = deadbeefdeadbeef99 end"
@@ -225,26 +225,6 @@ def test_scores_do_not_see_ids(spark, odd, labels):
     assert (chain.weights == again.weights).all()
 
 
-def test_log_probabilities(odd, empty):
-    model = brute.Language(TEXTS)
-    got = ppm.log_probabilities(odd, hot_words=3)
-    exact = []
-    for d, t in TEXTS:
-        n, known, base = model.base(t)
-        exact.append((d, brute.remainder(d, 7) == 2, n, known, model.n, round(base, 6), round(model.score(t), 2)))
-    found = [(*r[:5], round(r[5], 6), round(r[6], 2)) for r in rows_of(got)]
-    assert sorted(found, key=repr) == sorted(exact, key=repr)
-    assert ppm.log_probabilities(empty).count() == 0
-
-
-def test_next_symbol_probabilities_sum_to_one():
-    import numpy as np
-
-    codes = np.unique(ppm.triples(np.frombuffer(b"abracadabra" * 3 + b"xyz", np.uint8), np.array([0, 11, 36])))
-    trie = ppm.build_trie(codes, np.arange(1, len(codes) + 1))
-    assert np.allclose((10.0**trie.table).sum(axis=1), 1, atol=1e-5)
-
-
 def test_token_counts(odd, empty):
     import pyarrow as pa
     from tokenizers import Tokenizer, models, pre_tokenizers
