@@ -58,8 +58,10 @@ SHORT = 2
 SLICE_BYTES = 16 << 20
 #: text per bucket of keys, keys of a bucket in one task, keys whose probabilities are worked out at once
 BUCKET_BYTES, PART_KEYS, STEP_KEYS = 32 << 20, 1 << 22, 1 << 18
-#: positions of a text handled at once
-PIECE = 4 << 20
+#: bytes of text handled at once, of a long text as well
+PIECE = 1 << 20
+#: distinct keys of a slice and of pieces of it held before they are merged
+HELD_KEYS = 1 << 21
 HOT_WORDS = 1 << 18
 #: words counted in a task before they are handed on
 HELD = 1 << 20
@@ -207,7 +209,7 @@ def _cut(slice_bytes: int):
 
     def run(batches: Batches) -> Batches:
         number, size = TaskContext.get().partitionId() << 31, 0
-        for batch in chunks(batches):
+        for batch in chunks(batches, size=PIECE):
             data, offsets = buffers(text_of(batch))
             if size and size + len(data) > slice_bytes:
                 number, size = number + 1, 0
@@ -231,8 +233,7 @@ _KEYS = "bucket int, slice long, size long, keys binary, counts binary"
 def _slice_keys(depth: int, buckets: int):
     """The distinct keys of each slice with their counts in training texts, by bucket."""
 
-    def out(number: int, keys: list, counts: list) -> Batches:
-        key, n = merged(keys, counts)
+    def out(number: int, key: np.ndarray, n: np.ndarray) -> Batches:
         group = (key // SYMBOLS ** (depth - SHORT)).astype(np.uint64)
         bucket = (mix(group + np.uint64(1)) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
@@ -245,7 +246,7 @@ def _slice_keys(depth: int, buckets: int):
 
     def run(batches: Batches) -> Batches:
         for number, some in groupby(_rows(batches), key=lambda r: r[0]):
-            keys, counts = [], []
+            keys, counts, size = [], [], 0
             for _, _, packed in some:
                 batch = _texts(packed)
                 train = ~text_of(batch, "held_out").to_numpy(zero_copy_only=False)
@@ -253,7 +254,11 @@ def _slice_keys(depth: int, buckets: int):
                     place, unique = pd.factorize(key)
                     keys.append(unique)
                     counts.append(np.bincount(place, train[row], len(unique)).astype(np.int64))
-            yield from out(number, keys, counts)
+                    size += len(unique)
+                    if size > HELD_KEYS:
+                        key, n = merged(keys, counts)
+                        keys, counts, size = [key], [n], 0
+            yield from out(number, *merged(keys, counts))
 
     return run
 
