@@ -46,8 +46,6 @@ SIZE = 5
 LEAST = 80
 #: tokens of one group in one task
 GROUP_TOKENS = 1 << 20
-#: rows of a side that may be broadcast
-BROADCAST_ROWS = 1_000_000
 _K = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -139,30 +137,41 @@ def _links(batch: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 class Group:
-    """Token sets with their members' counts of common tokens with a query."""
+    """Token sets, and the members that hold each token."""
 
     def __init__(self, sets: list[np.ndarray], least: int):
         self.least, self.size = least, np.array([len(s) for s in sets])
         self.union, self.codes = np.unique(np.concatenate(sets), return_inverse=True)
         self.first = np.cumsum(self.size) - self.size
         self.mark = np.zeros(len(self.union), bool)
+        self.holders = np.repeat(np.arange(len(sets)), self.size)[np.argsort(self.codes, kind="stable")]
+        self.begin = np.append(0, np.cumsum(np.bincount(self.codes, minlength=len(self.union))))
 
     def known(self, query: np.ndarray) -> np.ndarray:
         """Places in the union of the query's tokens that the union holds."""
         at = np.minimum(np.searchsorted(self.union, query), len(self.union) - 1)
         return at[self.union[at] == query]
 
-    def linked(self, places: np.ndarray, n: int, among: np.ndarray) -> np.ndarray:
-        """Which members of ``among`` are linked with a set of ``n`` tokens, those at ``places`` among them."""
+    def places(self, member: int) -> np.ndarray:
+        return self.codes[self.first[member] : self.first[member] + self.size[member]]
+
+    def linked(self, places: np.ndarray, n: int, free: np.ndarray) -> np.ndarray:
+        """Which of the ``free`` members are linked with a set of ``n`` tokens, those at ``places`` among them."""
+        held = self.begin[places + 1] - self.begin[places]
+        among = np.flatnonzero(free)
         among = among[(self.size[among] * 100 >= n * self.least) & (n * 100 >= self.size[among] * self.least)]
         if not len(among):
             return among
-        self.mark[places] = True
         size = self.size[among]
-        begin = np.cumsum(size) - size
-        at = np.arange(int(size.sum())) + np.repeat(self.first[among] - begin, size)
-        common = np.add.reduceat(self.mark[self.codes[at]].astype(np.int64), begin)
-        self.mark[places] = False
+        if held.sum() < size.sum():  # the tokens' holders are fewer than the members' tokens
+            at = np.arange(int(held.sum())) + np.repeat(self.begin[places] - (np.cumsum(held) - held), held)
+            common = np.bincount(self.holders[at], minlength=len(self.size))[among]
+        else:
+            self.mark[places] = True
+            begin = np.cumsum(size) - size
+            at = np.arange(int(size.sum())) + np.repeat(self.first[among] - begin, size)
+            common = np.add.reduceat(self.mark[self.codes[at]].astype(np.int64), begin)
+            self.mark[places] = False
         return among[100 * common >= self.least * (n + size - common)]
 
 
@@ -179,17 +188,15 @@ def _search_groups(least: int):
                 # a token of one member is no common one
                 shared = np.bincount(group.codes) > 1
                 common = np.add.reduceat(shared[group.codes].astype(np.int64), group.first)
-                left = np.flatnonzero(100 * common >= least * group.size)
-                queue: list[int] = []
-                while len(left):
-                    if not queue:
-                        queue, left = [int(left[0])], left[1:]
-                    at = queue.pop()
-                    places = group.codes[group.first[at] : group.first[at] + group.size[at]]
-                    found = group.linked(places, int(group.size[at]), left)
-                    root[found] = root[at]
-                    queue += found.tolist()
-                    left = np.setdiff1d(left, found, assume_unique=True)
+                free = 100 * common >= least * group.size
+                for seed in np.flatnonzero(free).tolist():
+                    queue = [seed] if free[seed] else []
+                    free[seed] = False
+                    while queue and free.any():
+                        at = queue.pop()
+                        found = group.linked(group.places(at), int(group.size[at]), free)
+                        root[found], free[found] = root[at], False
+                        queue += found.tolist()
             smallest = np.full(len(members), np.iinfo(np.int64).max)
             np.minimum.at(smallest, root, classes)
             yield pa.RecordBatch.from_arrays([pa.array(classes), pa.array(smallest[root])], ["class", "group"])
@@ -210,7 +217,7 @@ def _open_groups(least: int):
                     continue
                 if group is None:
                     group = Group([t for _, t in members], least)
-                    everyone = np.arange(len(members))
+                    everyone = np.ones(len(members), bool)
                 places = group.known(tokens)
                 if 100 * len(places) >= least * len(tokens):
                     found = group.linked(places, len(tokens), everyone)
@@ -222,10 +229,16 @@ def _open_groups(least: int):
     return run
 
 
-def _bounded(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written, and broadcast if it has few rows."""
-    df = stored(df, name)
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def _first_in_task(names: list[str]):
+    """Rows whose ``names`` the task has not met before, so that copies don't travel in crowds."""
+
+    def run(batches: Batches) -> Batches:
+        seen: set[tuple] = set()
+        for batch in batches:
+            keys = zip(*(text_of(batch, name).to_pylist() for name in names))
+            yield batch.filter(pa.array([key not in seen and not seen.add(key) for key in keys], pa.bool_()))
+
+    return run
 
 
 def _cut_groups(sizes: DataFrame, key: str) -> DataFrame:
@@ -251,17 +264,14 @@ def connected(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame
     partner = F.ceil(n * least / 100)
     required = F.greatest(F.lit(1), F.floor(partner / 10)).cast("int")
     sizes = found.where("class is not null").groupBy("class").agg(
-        F.min("n_shingles").alias("n"), F.min("doc_id").alias("doc_id")
+        F.min("n_shingles").alias("n"), F.min("text_hash").alias("text_hash")
     )
     candidates = tokens.groupBy("class").agg(F.count("*").alias("common")).join(sizes, "class")
-    candidates = _bounded(
-        candidates.withColumn("required", required).where("common >= required").select("class", "n", "doc_id", "required"),
-        "candidates",
-    )
+    candidates = stored(candidates.withColumn("required", required).where("common >= required"), "candidates")
 
-    # their whole sets, of which only those can have a partner that share enough; a class whose rows have no doc_id is found through its text alone
-    one = candidates.select(F.col("doc_id").alias("_doc"))
-    texts = rows.join(one, F.col("doc_id").eqNullSafe(F.col("_doc")), "left_semi")
+    # their whole sets, from one text of each class; only those that share enough can have a partner
+    texts = map_batches(hashed.select("text_hash", "text"), _first_in_task(["text_hash"]), "text_hash long, text string")
+    texts = texts.join(candidates.select("text_hash"), "text_hash", "left_semi")
     sets = map_batches(texts, _token_sets, "class long, n long, g long, tokens binary")
     sets = sets.join(candidates.select("class"), "class", "left_semi").dropDuplicates(["class"])
     sets = stored(sets, "token-sets")
@@ -270,11 +280,11 @@ def connected(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame
     tokens = stored(tokens, "shared-tokens")
     candidates = tokens.groupBy("class").agg(F.count("*").alias("common")).join(sets.select("class", "n"), "class")
     candidates = candidates.withColumn("rarest", (F.col("common") - partner + 1).cast("int")).where("rarest > 0")
-    candidates = _bounded(candidates.select("class", "n", "common", "rarest"), "candidates")
+    candidates = stored(candidates.select("class", "n", "common", "rarest"), "candidates")
     sets = stored(sets.join(candidates.select("class"), "class", "left_semi"), "token-sets")
 
     # groups of similar sets, searched exactly; what is linked is one group
-    cut = _bounded(_cut_groups(sets.select("g", "n"), "g").where("members > 1"), "groups")
+    cut = _cut_groups(sets.select("g", "n"), "g").where("members > 1")
     members = sets.join(cut, "g").select("g", F.pmod(F.xxhash64("class"), F.col("parts")).alias("sub"), "class", "tokens")
     members = members.repartition("g", "sub").sortWithinPartitions("g", "sub")
     searched = map_batches(members, _search_groups(least), "class long, group long")
@@ -354,26 +364,20 @@ def without_near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
         & found["doc_id"].eqNullSafe(firsts["first_id"])
         & (found["text_hash"] == firsts["first_hash"])
     )
-    kept = found.where("class is not null").join(firsts, same, "left_semi").groupBy("doc_id", "text_hash")
-    kept = kept.agg(F.count("*").alias("count"))
-    wordless = found.where("class is null").select("doc_id", "text_hash", F.lit(1).alias("count")).distinct()
-    kept_id, kept_hash = fresh(docs, "kept_id", "kept_hash")
-    kept = kept.unionByName(wordless).select(F.col("doc_id").alias(kept_id), F.col("text_hash").alias(kept_hash), "count")
+    kept = found.where("class is not null").join(firsts, same, "left_semi")
+    kept = kept.unionByName(found.where("class is null")).select("doc_id", "text_hash").distinct()
+    # texts move once: a repeated row stays once by the partitioning of the join
+    names = fresh(docs, "kept_id", "kept_none", "kept_hash")
+    kept = kept.select(*(c.alias(name) for c, name in zip(_row_key(F.col("doc_id"), F.col("text_hash")), names)))
     kept = stored(kept, "kept")
-    few = kept.count() <= BROADCAST_ROWS
-    own_id, own_hash = F.col("doc_id").cast("long"), F.xxhash64("text")
-
-    def rows_of(keys: DataFrame) -> DataFrame:
-        keys = keys.select(kept_id, kept_hash)
-        same = own_id.eqNullSafe(F.col(kept_id)) & (own_hash == F.col(kept_hash))
-        return docs.join(F.broadcast(keys) if few else keys, same, "left_semi")
-
-    # a repeated row stays once; without any, documents needn't be shuffled
-    repeated = kept.where("count > 1")
-    if repeated.isEmpty():
-        return rows_of(kept)
-    once = rows_of(repeated).withColumn(kept_id, own_id).withColumn(kept_hash, own_hash).dropDuplicates([kept_id, kept_hash])
-    return rows_of(kept.where("count = 1")).unionByName(once.drop(kept_id, kept_hash))
+    rows = docs.withColumns(dict(zip(names, _row_key(F.col("doc_id").cast("long"), F.xxhash64("text")))))
+    rows = map_batches(rows, _first_in_task(names), rows.schema).join(kept, names, "left_semi")
+    return rows.dropDuplicates(names).drop(*names)
+
+
+def _row_key(doc_id: F.Column, text_hash: F.Column) -> list[F.Column]:
+    """Equal for rows of equal id (or none) and text, and never NULL."""
+    return [F.coalesce(doc_id, F.lit(0)), doc_id.isNull(), text_hash]
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

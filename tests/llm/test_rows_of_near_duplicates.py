@@ -1,6 +1,10 @@
 """Near duplicates are decided row by row, whatever the ids."""
 
 import random
+import time
+
+import numpy as np
+import pyarrow as pa
 
 from assetweave.llm import ngram_join
 
@@ -46,7 +50,26 @@ def test_rows_without_words_stay(spark):
     assert kept(spark, rows) == sorted(rows[:5], key=repr)
 
 
-def test_many_kept_rows_are_joined_by_shuffle(spark, monkeypatch):
-    monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", 0)
+def test_without_any_broadcast(spark):
     rows = [(None, text(i)) for i in range(4)] + [(1, text(0)), (2, text(9)), (2, text(9))]
-    assert kept(spark, rows) == sorted([*rows[1:4], rows[4], rows[5]], key=repr)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert kept(spark, rows) == sorted([*rows[1:4], rows[4], rows[5]], key=repr)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_many_members_of_a_group_without_links():
+    """Sets of 30 tokens that share only one are told apart by their tokens, not one by one."""
+    rng = np.random.default_rng(1)
+    sets = [np.unique(np.append(rng.integers(2, 1 << 60, 29, dtype=np.uint64), np.uint64(1))) for _ in range(16_000)]
+    # pairs of near copies among them, and what each shares with another one
+    sets += [np.append(s[:-1], s[-1] + np.uint64(1)) for s in sets[:50]]
+    sets += [s[: len(s) // 2] for s in sets[50:16_000]]
+    rows = [{"class": i, "g": 1, "sub": 0, "tokens": s.tobytes()} for i, s in enumerate(sets)]
+    begin = time.perf_counter()
+    (found,) = ngram_join._search_groups(80)(iter([pa.RecordBatch.from_pylist(rows)]))
+    assert time.perf_counter() - begin < 20
+    group = dict(zip(found["class"].to_pylist(), found["group"].to_pylist()))
+    assert all(group[16_000 + i] == i for i in range(50)) and len(set(group.values())) == len(sets) - 50
