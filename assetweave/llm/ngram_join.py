@@ -229,16 +229,9 @@ def _open_groups(least: int):
     return run
 
 
-def _first_in_task(names: list[str]):
-    """Rows whose ``names`` the task has not met before, so that copies don't travel in crowds."""
-
-    def run(batches: Batches) -> Batches:
-        seen: set[tuple] = set()
-        for batch in batches:
-            keys = zip(*(text_of(batch, name).to_pylist() for name in names))
-            yield batch.filter(pa.array([key not in seen and not seen.add(key) for key in keys], pa.bool_()))
-
-    return run
+def _alike(df: DataFrame) -> DataFrame:
+    """``df``, joined by sorting at every size: a small input then shows what a large one needs."""
+    return df.hint("merge")
 
 
 def _cut_groups(sizes: DataFrame, key: str) -> DataFrame:
@@ -264,31 +257,31 @@ def connected(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame
     partner = F.ceil(n * least / 100)
     required = F.greatest(F.lit(1), F.floor(partner / 10)).cast("int")
     sizes = found.where("class is not null").groupBy("class").agg(
-        F.min("n_shingles").alias("n"), F.min("text_hash").alias("text_hash")
+        F.min("n_shingles").alias("n"), F.min("doc_id").alias("doc_id"), F.min("text_hash").alias("text_hash")
     )
-    candidates = tokens.groupBy("class").agg(F.count("*").alias("common")).join(sizes, "class")
+    candidates = tokens.groupBy("class").agg(F.count("*").alias("common")).join(_alike(sizes), "class")
     candidates = stored(candidates.withColumn("required", required).where("common >= required"), "candidates")
 
-    # their whole sets, from one text of each class; only those that share enough can have a partner
-    texts = map_batches(hashed.select("text_hash", "text"), _first_in_task(["text_hash"]), "text_hash long, text string")
-    texts = texts.join(candidates.select("text_hash"), "text_hash", "left_semi")
+    # their whole sets, from one row of each class; only those that share enough can have a partner
+    key = [F.coalesce("doc_id", F.lit(0)).alias("_id"), F.when(F.col("doc_id").isNull(), F.col("text_hash")).otherwise(0).alias("_hash")]
+    texts = hashed.select(*key, "text").join(_alike(candidates.select(*key)), ["_id", "_hash"], "left_semi").select("text")
     sets = map_batches(texts, _token_sets, "class long, n long, g long, tokens binary")
-    sets = sets.join(candidates.select("class"), "class", "left_semi").dropDuplicates(["class"])
+    sets = sets.join(_alike(candidates.select("class")), "class", "left_semi").dropDuplicates(["class"])
     sets = stored(sets, "token-sets")
     tokens = map_batches(sets.select("class", "tokens"), _exploded, "class long, token long").repartition("token")
     tokens = tokens.withColumn("df", F.count("*").over(Window.partitionBy("token"))).where("df > 1")
     tokens = stored(tokens, "shared-tokens")
-    candidates = tokens.groupBy("class").agg(F.count("*").alias("common")).join(sets.select("class", "n"), "class")
+    candidates = tokens.groupBy("class").agg(F.count("*").alias("common")).join(_alike(sets.select("class", "n")), "class")
     candidates = candidates.withColumn("rarest", (F.col("common") - partner + 1).cast("int")).where("rarest > 0")
     candidates = stored(candidates.select("class", "n", "common", "rarest"), "candidates")
-    sets = stored(sets.join(candidates.select("class"), "class", "left_semi"), "token-sets")
+    sets = stored(sets.join(_alike(candidates.select("class")), "class", "left_semi"), "token-sets")
 
     # groups of similar sets, searched exactly; what is linked is one group
     cut = _cut_groups(sets.select("g", "n"), "g").where("members > 1")
-    members = sets.join(cut, "g").select("g", F.pmod(F.xxhash64("class"), F.col("parts")).alias("sub"), "class", "tokens")
+    members = sets.join(_alike(cut), "g").select("g", F.pmod(F.xxhash64("class"), F.col("parts")).alias("sub"), "class", "tokens")
     members = members.repartition("g", "sub").sortWithinPartitions("g", "sub")
     searched = map_batches(members, _search_groups(least), "class long, group long")
-    member = candidates.join(searched, "class", "left").withColumn("group", F.coalesce("group", "class"))
+    member = candidates.join(_alike(searched), "class", "left").withColumn("group", F.coalesce("group", "class"))
     member = stored(member, "members")
 
     # the matrix of groups and rarer tokens
@@ -298,7 +291,7 @@ def connected(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame
     )
     # tokens that no other class holds are rarer still, and can't be common ones
     by_rarity = Window.partitionBy("class").orderBy("df", "token")
-    rare = tokens.join(member, "class").withColumn("rank", F.row_number().over(by_rarity)).where("rank <= rarest")
+    rare = tokens.join(_alike(member), "class").withColumn("rank", F.row_number().over(by_rarity)).where("rank <= rarest")
     # if the token is the rarest common one, all common ones are among those from there on
     rare = rare.withColumn("left", F.col("common") - F.col("rank") + 1)
     rare = stored(rare.select("token", "class", "n", "left", "group", "sub", "members"), "rare-tokens")
@@ -312,13 +305,13 @@ def connected(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame
     # similarity s of sizes n and m needs (n + m) s / (1 + s) common tokens
     enough = F.least("left", "other_left") * (100 + least) >= (n + F.col("least_n")) * least
     smaller = F.struct("members", "group") < F.struct(F.col("other_members"), F.col("other"))
-    asks = rare.join(matrix, "token").where(smaller & fits & enough)
+    asks = rare.join(_alike(matrix), "token").where(smaller & fits & enough)
     asks = stored(asks.select("class", F.col("other").alias("group"), F.col("other_sub").alias("sub")).distinct(), "queries")
 
     wanted = asks.select("group", "sub").distinct()
     opened = member.join(wanted, ["group", "sub"], "left_semi").select("class", "group", "sub")
     both = opened.withColumn("query", F.lit(False)).unionByName(asks.withColumn("query", F.lit(True)))
-    both = both.join(sets.select("class", "tokens"), "class").repartition("group", "sub")
+    both = both.join(_alike(sets.select("class", "tokens")), "class").repartition("group", "sub")
     both = both.sortWithinPartitions("group", "sub", "query")
     linked = stored(map_batches(both, _open_groups(least), "a long, b long"), "links")
 
@@ -336,10 +329,10 @@ def near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable over links) of every row."""
     found, group_of = connected(docs, least)
     named = found.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
-    named = named.join(group_of, "class", "left").withColumn("group", F.coalesce("group", "class"))
+    named = named.join(_alike(group_of), "class", "left").withColumn("group", F.coalesce("group", "class"))
     least_doc = named.groupBy("group").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(least_doc, "group").select("class", "component_id")
-    out = found.join(named, "class", "left")
+    named = named.join(_alike(least_doc), "group").select("class", "component_id")
+    out = found.join(_alike(named), "class", "left")
     return out.select(
         "doc_id", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     )
@@ -355,7 +348,7 @@ def without_near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
     # the first row of every class, then of every group of classes
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     classes = found.where("class is not null").groupBy("class").agg(F.min(order).alias("first"))
-    classes = classes.join(group_of, "class", "left").withColumn("group", F.coalesce("group", "class"))
+    classes = classes.join(_alike(group_of), "class", "left").withColumn("group", F.coalesce("group", "class"))
     firsts = classes.groupBy("group").agg(F.min("first").alias("first"), F.min_by("class", "first").alias("class"))
     firsts = firsts.select("class", F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("first_hash"))
     # any two rows of one id and text have one class
@@ -364,15 +357,16 @@ def without_near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
         & found["doc_id"].eqNullSafe(firsts["first_id"])
         & (found["text_hash"] == firsts["first_hash"])
     )
-    kept = found.where("class is not null").join(firsts, same, "left_semi")
-    kept = kept.unionByName(found.where("class is null")).select("doc_id", "text_hash").distinct()
-    # texts move once: a repeated row stays once by the partitioning of the join
-    names = fresh(docs, "kept_id", "kept_none", "kept_hash")
-    kept = kept.select(*(c.alias(name) for c, name in zip(_row_key(F.col("doc_id"), F.col("text_hash")), names)))
+    kept = found.where("class is not null").join(_alike(firsts), same, "left_semi")
+    kept = kept.unionByName(found.where("class is null")).groupBy("doc_id", "text_hash").agg(F.count("*").alias("count"))
+    names = fresh(docs, "kept_id", "kept_none", "kept_hash", "kept_rows")
+    kept = kept.select(*_row_key(F.col("doc_id"), F.col("text_hash")), F.col("count")).toDF(*names)
     kept = stored(kept, "kept")
-    rows = docs.withColumns(dict(zip(names, _row_key(F.col("doc_id").cast("long"), F.xxhash64("text")))))
-    rows = map_batches(rows, _first_in_task(names), rows.schema).join(kept, names, "left_semi")
-    return rows.dropDuplicates(names).drop(*names)
+    key, rows = names[:3], F.col(names[3])
+    # texts move once; repeated rows, of which one stays, are few and meet again after a first sift in their tasks
+    found = docs.withColumns(dict(zip(key, _row_key(F.col("doc_id").cast("long"), F.xxhash64("text")))))
+    found = found.join(_alike(kept), key)
+    return found.where(rows == 1).unionByName(found.where(rows > 1).dropDuplicates(key)).drop(*names)
 
 
 def _row_key(doc_id: F.Column, text_hash: F.Column) -> list[F.Column]:
