@@ -4,8 +4,9 @@ Seeds come from a summary of all rows in cells of one standard deviation (count
 mean, map-side sums): the densest cell, then again and again the cell with the
 largest count times squared distance to the seeds so far. The seeds of k clusters
 are the first k, so one list serves every k. Lloyd's rounds follow, each one
-aggregate over the rows: every row is assigned once per k, and counts, sums and
-squared lengths of all clusters of all k come back together, a few dozen rows.
+aggregate over the rows: numpy assigns a batch's rows for every k and adds them up
+per cluster, and the sums of all clusters of all k come back together, a few dozen
+rows. A row is neither copied per k nor carried through an expression per center.
 The lowest number wins among equally near centers; a cluster that loses its rows keeps
 its center. Nothing is random, so any engine that runs the same rounds gets the
 same clusters.
@@ -17,9 +18,13 @@ and squared length: one pass over rows, no pairs.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,15 +76,64 @@ def assigned(rows: DataFrame, columns: Sequence[str], centers: Centers) -> DataF
     return rows.withColumns(cluster).drop(*gaps)
 
 
+def _gaps(batch: pa.RecordBatch, centers: list[list[float]]) -> np.ndarray:
+    """Squared distances, centers x rows, added up feature by feature as ``squared`` does."""
+    x = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+    gaps = np.zeros((len(centers), batch.num_rows))
+    for gap, center in zip(gaps, centers):
+        for values, value in zip(x, center):
+            gap += (values - value) * (values - value)
+    return gaps
+
+
+def _sums(centers: Centers):
+    """(k, c, n, s0, s1, ...): a batch's rows nearest to each center, counted and added up."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            for k, some in centers.items():
+                gaps = _gaps(batch, some)
+                near = (gaps == np.fmin.reduce(gaps)).argmax(axis=0)  # the lowest number among equals
+                sums = [np.bincount(near, values, len(some)) for values in x]
+                n = np.bincount(near, minlength=len(some))
+                hit = np.flatnonzero(n)
+                columns = [pa.array(np.full(len(hit), k, np.int32)), pa.array(hit.astype(np.int32)), pa.array(n[hit])]
+                names = ["k", "c", "n", *(f"s{i}" for i in range(len(x)))]
+                yield pa.RecordBatch.from_arrays([*columns, *(pa.array(v[hit]) for v in sums)], names)
+
+    return run
+
+
+def _least(centers: Centers):
+    """One row per batch: for every k the sum of the rows' distances to their nearest centers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                least = [pa.array([np.fmin.reduce(_gaps(batch, some)).sum()]) for some in centers.values()]
+                yield pa.RecordBatch.from_arrays(least, [str(k) for k in centers])
+
+    return run
+
+
+def _complete(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns as doubles. A row with a NULL is near no center."""
+    # ship this module's functions with the task, so that workers need only numpy and pyarrow
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    rows = rows.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    return rows.where(" and ".join(f"`{c}` is not null" for c in columns))
+
+
 def round_of(rows: DataFrame, columns: Sequence[str], centers: Centers) -> Centers:
     """The means of the rows nearest to each center, for every k, from one aggregate."""
-    near = assigned(rows, columns, centers)
-    each = F.array(*[F.struct(F.lit(k).alias("_k"), F.col(f"_cluster_{k}").alias("_c")) for k in centers])
-    near = near.select(*columns, F.explode(each).alias("_of"))
-    found = near.groupBy("_of._k", "_of._c").agg(*[F.avg(c).alias(c) for c in columns]).collect()  # a row per k and cluster
+    names = [f"s{i}" for i in range(len(columns))]
+    schema = ", ".join(["k int, c int, n long", *(f"{s} double" for s in names)])
+    near = _complete(rows, columns).mapInArrow(_sums(centers), schema)
+    found = near.groupBy("k", "c").agg(F.sum("n").alias("n"), *[F.sum(s).alias(s) for s in names])
     moved = {k: [list(c) for c in some] for k, some in centers.items()}
-    for r in found:
-        moved[r["_k"]][r["_c"]] = [r[c] for c in columns]
+    for r in found.collect():  # a row per k and cluster
+        moved[r["k"]][r["c"]] = [r[s] / r["n"] for s in names]
     return moved
 
 
@@ -99,8 +153,8 @@ def fit(rows: DataFrame, columns: Sequence[str], ks: Sequence[int], rounds: int
 
 def costs(rows: DataFrame, columns: Sequence[str], centers: Centers) -> DataFrame:
     """(k, cost): sum of squared distances to the nearest center."""
-    near = assigned(rows, columns, centers)
-    one = near.agg(*[F.sum(f"_gap_{k}").alias(str(k)) for k in centers])
+    near = _complete(rows, columns).mapInArrow(_least(centers), ", ".join(f"`{k}` double" for k in centers))
+    one = near.agg(*[F.sum(f"`{k}`").alias(str(k)) for k in centers])
     pairs = F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"`{k}`").alias("cost")) for k in centers])
     return one.select(F.inline(pairs))
 

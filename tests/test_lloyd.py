@@ -95,3 +95,20 @@ def test_a_saved_model_scores_with_its_own_scale(spark, tmp_path, points):
     assert part.columns == [*gaps.columns, "prediction"]
     with pytest.raises(ValueError, match="no rows"):
         lloyd.train(gaps.limit(0), ["a"], 2)
+
+
+def test_rounds_and_costs_take_no_expression_per_center(spark, monkeypatch):
+    """Rows are assigned in batches for all k, not copied per k; the sums are those of the expressions."""
+    rows = spark.createDataFrame([(float(i % 5), float(i % 3)) for i in range(60)], "a double, b double").repartition(3)
+    centers = {2: [[0.0, 0.0], [2.0, 0.0]], 3: [[0.0, 1.0], [4.0, 1.0], [9.0, 9.0]]}
+    near = lloyd.assigned(rows, ["a", "b"], centers).toPandas()
+    moved = {
+        k: [near[near[f"_cluster_{k}"] == c][["a", "b"]].mean().tolist() if (near[f"_cluster_{k}"] == c).any() else center for c, center in enumerate(some)]
+        for k, some in centers.items()
+    }
+    expressions = lambda *_: pytest.fail("an expression per center")
+    monkeypatch.setattr(lloyd, "assigned", expressions)
+    got = lloyd.round_of(rows, ["a", "b"], centers)
+    assert all(np.allclose(got[k], moved[k]) for k in centers) and got[3][2] == [9.0, 9.0]
+    costs = {r.k: r.cost for r in lloyd.costs(rows, ["a", "b"], centers).collect()}
+    assert costs == pytest.approx({k: near[f"_gap_{k}"].sum() for k in centers})
