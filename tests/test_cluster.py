@@ -157,3 +157,22 @@ def test_background_must_be_a_summary(spark, monkeypatch):
     df = spark.createDataFrame([(1.0, 1.0), (2.0, 1.0), (3.0, 1.0)], "a double, weight double")
     with pytest.raises(ValueError, match="summarise"):
         attribution.attribution(df, ["a"], [[0.0], [1.0]], df)
+
+
+@pytest.mark.parametrize("target", ["id", "own", 0, 2])
+@pytest.mark.parametrize("clusters", [2, 3])
+def test_tables_equal_pairs_and_hold_no_pair(monkeypatch, target, clusters):
+    """Values by bisection are those of comparing all rows, ties on a grid included."""
+    if target == 2 and clusters == 2:
+        return
+    rng = np.random.default_rng(9)
+    rows, background = rng.integers(-2, 3, (60, 3)).astype(float), rng.integers(-2, 3, (25, 3)).astype(float)
+    weights = rng.integers(1, 4, 25) / 50
+    centers = np.array([[1.0, 0, 0], [-1, 0, 0], [0, 1, 0]])[:clusters]
+    assert attribution.Leads.fits(background, centers, target)
+    expected = attribution.shapley(rows, centers, attribution.Pairs(background, weights, centers, target))
+    monkeypatch.setattr(attribution, "_nearest", lambda *_: pytest.fail("rows met the background"))
+    got = attribution.shapley(rows, centers, attribution.Leads(background, weights, centers, target))
+    assert (got[0] == expected[0]).all() and np.allclose(got[1], expected[1], atol=1e-12)
+    assert not attribution.Leads.fits(np.zeros((4000, 3)), np.zeros((3, 3)), target)  # tables too large
+    assert not attribution.Leads.fits(background, np.zeros((4, 3)), "own")  # four centers
