@@ -94,5 +94,8 @@ def in_blocks(
     feeds_next = F.col("_position") % block_rows >= block_rows - lookback
     copies = F.when(feeds_next, F.array(block, block + 1)).otherwise(F.array(block))
     spread = placed.withColumn("_home", block).withColumn("_block", F.explode(copies))
+    # as many tasks as blocks, so that what a task sorts doesn't grow with the table
+    tasks = max(-(-placed.count() // block_rows), df.sparkSession.sparkContext.defaultParallelism)
+    spread = spread.repartition(tasks, "_block", *series.by)
     result = compute(spread, Series(("_block", *series.by), series.order))
     return result.where(F.col("_block") == F.col("_home")).drop("_block", "_home", "_position")

@@ -87,3 +87,17 @@ def test_quote_returns_need_no_asset_bound(skewed):
 def test_lookback_must_fit_a_block(skewed):
     with pytest.raises(ValueError):
         in_blocks(skewed, DAILY, 200, lambda d, s: d, 100)
+
+
+def test_tasks_grow_with_the_blocks(skewed):
+    """A task gets a block's rows, however many rows there are."""
+    counts = []
+
+    def compute(df, s):
+        counts.append(df.rdd.getNumPartitions())
+        return df
+
+    rows = skewed.count()
+    for block_rows in (rows, 10):
+        assert in_blocks(skewed, DAILY, 2, compute, block_rows).count() == rows
+    assert counts[1] >= rows // 10 > counts[0]
