@@ -161,3 +161,25 @@ def test_ensure_features_derives_both_sets(make_bars):
         differ = [F.abs(F.col(n) - F.col(f"_{n}")) > 1e-9 for n in names]
         assert both.count() == want.count() > 0
         assert both.where(F.array_contains(F.array(*differ), True)).count() == 0
+
+
+def test_ema_sorts_once_for_its_steps(make_bars):
+    """Two sorts in all: by time for the numbers of the rows, by step for the averages."""
+    plan = with_ema(make_bars({"A": [1.0, 2.0, 3.0]}), {"e": 20, "f": 50})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 2 and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_ema_with_steps_of_missing_values(make_bars):
+    """Missing values at the start, at the ends of steps and for longer than a step."""
+    rng = random.Random(2)
+    values = [None] * 3 + [rng.uniform(1, 9) for _ in range(256)] + [None] * 300 + [rng.uniform(1, 9) for _ in range(700)] + [None]
+    bars = make_bars({"A": [v or -1.0 for v in values]})
+    got = with_ema(bars.withColumn("close", F.when(F.col("close") > 0, F.col("close"))), {"e": 50, "last": 1})
+    known = [v for v in values if v is not None]
+    for name, span in (("e", 50), ("last", 1)):
+        want, averages, last = [], iter(plain_ema(known, span)), None
+        for v in values:
+            last = last if v is None else next(averages)
+            want.append(last)
+        found = column(got, name)
+        assert found[:3] == [None] * 3 and found[3:] == pytest.approx(want[3:], rel=1e-12)
