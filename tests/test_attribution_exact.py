@@ -101,3 +101,29 @@ def test_largest_gap_to_the_cells(spark):
     gap = attribution_exact.largest_gap(exact, cells, ["id"]).first()
     assert 0 < gap.phi_a < 1 and 0 < gap.phi_b < 1
     assert attribution_exact.largest_gap(exact, exact, ["id"]).first().phi_a == 0
+
+
+@pytest.mark.parametrize("turn_records", [1, 200_000_000])
+def test_centers_that_agree_in_a_feature(spark, turn_records):
+    """A coordinate that is the same for all points is not the one that all of them are compared along."""
+    rng = np.random.default_rng(6)
+    frame, names = table(rng.normal(size=(200, 3))), NAMES[:3]
+    centers = [[1.0, 0.0, 0.3], [-0.5, 0.0, -0.6], [0.0, 0.7, 0.0]]
+    planes = attribution_exact.Planes(np.array(centers), 3, [0, 1, 2])
+    planes.cut(frame[names].to_numpy(), 8)
+    for plane in range(len(planes.all)):
+        place, _ = planes.place(plane, planes.points(plane, frame[names].to_numpy()))
+        assert np.bincount(place).max() < 60, planes.all[plane]
+    df = spark.createDataFrame(frame)
+    before = spark.conf.get(attribution_exact.CLEANUP, "false")
+    got = attribution_exact.attribution_exact(
+        df, names, centers, keep=("id",), bucket_rows=25, task_queries=15, turn_records=turn_records
+    )
+    same(rows_of(got), plain(spark, frame, names, centers, "own"))
+    assert spark.conf.get(attribution_exact.CLEANUP, "false") == before
+
+
+def test_points_known_by_their_bucket_collapse():
+    along, other = np.array([0.5, 0.5, 0.25, 0.5]), np.array([3, 1, 2, 3], np.uint8)
+    a, b, n = attribution_exact._collapsed(along, other, np.array([1, 2, 3, 4]))
+    assert (a.tolist(), b.tolist(), n.tolist()) == ([0.25, 0.5, 0.5], [2, 1, 3], [3, 2, 5])
