@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from assetweave.session import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
+SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 #: character classes, each taken out of what the ones before it have left; the rest is the last class
 CLASSES = [
@@ -59,25 +60,27 @@ _REFERENCE = "struct<words:array<string>,counts:array<long>,classes:array<long>>
 
 
 def _words(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    """What ``WORD`` matches; there is an empty string before white space at the start and after it at the end."""
+    return F.array_remove(F.split(text, SPACE, -1), "")
 
 
-def _class_counts(df: DataFrame, text: str, words: str, name: str, symbols: str | None = None) -> DataFrame:
-    """Add ``name``, the characters of each class, and take ``text`` and its ``words`` away.
+def _class_counts(df: DataFrame, text: str, name: str, symbols: str | None = None) -> DataFrame:
+    """Add ``name``, the characters of each class, and take ``text`` away.
 
-    The words side by side are the text without white space. ``symbols`` adds the
-    count of ``SYMBOLS``.
+    Lower-case letters go before white space, as most of a text is then gone; neither class
+    has characters of the other. ``symbols`` adds the count of ``SYMBOLS``.
     """
-    left, counts = F.col(text), []
-    for number, (_, pattern) in enumerate(CLASSES):
-        rest = F.regexp_replace(left, F.lit(pattern), F.lit("")) if number else F.array_join(words, "")
+    left, counts = F.col(text), {}
+    for number, place in enumerate([1, 0, *range(2, len(CLASSES))]):
+        rest = F.regexp_replace(left, F.lit(CLASSES[place][1]), F.lit(""))
         df = df.withColumn(f"_left{number}", rest)
-        counts.append(F.length(left) - F.length(f"_left{number}"))
+        counts[place] = F.length(left) - F.length(f"_left{number}")
         left = F.col(f"_left{number}")
-    df = df.withColumn(name, F.transform(F.array(*counts, F.length(left)), lambda n: n.cast("long")))
+    values = [*(counts[place] for place in range(len(CLASSES))), F.length(left)]
+    df = df.withColumn(name, F.transform(F.array(*values), lambda n: n.cast("long")))
     if symbols:  # punctuation and symbols, so they are among what the first five classes leave
         df = df.withColumn(symbols, F.length(F.regexp_replace("_left4", f"[^{SYMBOLS}]+", "")).cast("long"))
-    return df.drop(text, words, *[f"_left{i}" for i in range(len(CLASSES))])
+    return df.drop(text, *[f"_left{i}" for i in range(len(CLASSES))])
 
 
 def references(docs: DataFrame) -> dict[str | None, dict]:
@@ -98,9 +101,9 @@ def references(docs: DataFrame) -> dict[str | None, dict]:
     common = sorted((r["lang"], r["rank"], r["word"], r["n"]) for r in common.collect())
     common += [(ALL, 0, r["word"], r["n"]) for r in everything.orderBy(F.desc("n"), "word").limit(COMMON).collect()]
     key = F.when(F.col("lang").isin(names), F.col("lang")).alias("lang")
-    long_enough = texts.where(F.length("text") >= MIN_CHARS).select(key, "text", _words(F.col("text")).alias("_words"))
+    long_enough = texts.where(F.length("text") >= MIN_CHARS).select(key, "text")
     places = range(len(CLASSES) + 1)
-    sums = _class_counts(long_enough, "text", "_words", "_classes").groupBy("lang").agg(*[F.sum(F.col("_classes")[i]) for i in places])
+    sums = _class_counts(long_enough, "text", "_classes").groupBy("lang").agg(*[F.sum(F.col("_classes")[i]) for i in places])
     classes = {r[0]: list(r[1:]) for r in sums.collect()}
     classes[ALL] = [sum(c[i] for c in classes.values()) for i in places]
     out = {name: {"words": [], "counts": [], "classes": classes.get(name, [0] * len(places))} for name in total}
@@ -173,18 +176,18 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     # what goes when a common word is taken out tells its count
     taken = F.transform(F.col("_ref.words"), lambda w: (F.size("_some") - F.size(F.array_remove("_some", w))).cast("long"))
     rows = rows.withColumn("_taken", taken)
-    rows = _class_counts(rows.drop("_lines", "_some"), "_text", "_words", "_classes", "n_symbols")
+    rows = _class_counts(rows.drop("_lines", "_some", "_words"), "_text", "_classes", "n_symbols")
     tri, placed, starts = F.col("_tri"), F.col("_placed"), F.col("_starts")
     repeats = F.size(F.array_distinct(tri)) < F.size(tri)
     rows = rows.withColumn(
-        "_placed", F.when(repeats, F.array_sort(F.transform(tri, lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
+        "_placed", F.when(repeats, F.sort_array(F.transform(tri, lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
     ).drop("_tri")
     again = F.filter(
         placed,
         lambda p, k: F.coalesce(p["h"] == F.get(placed, k - 1)["h"], F.lit(False))
         | F.coalesce(p["h"] == F.get(placed, k + 1)["h"], F.lit(False)),
     )
-    rows = rows.withColumn("_starts", F.array_sort(F.transform(again, lambda p: p["i"]))).drop("_placed")
+    rows = rows.withColumn("_starts", F.sort_array(F.transform(again, lambda p: p["i"]))).drop("_placed")
     covered = F.transform(starts, lambda at, k: F.least(F.lit(3), F.coalesce(F.get(starts, k + 1) - at, F.lit(3))))
     others = F.array(F.col("n_words") - _sum(F.col("_taken"), F.lit(0).cast("long")))
     rows = rows.select(
