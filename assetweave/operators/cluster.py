@@ -10,10 +10,12 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assetweave.functions.risk import RISK_LABELS
+from assetweave.operators import lloyd
 from assetweave.schemas import require_columns
 
 #: fixed values: the three feature lists that models are trained on
@@ -34,6 +36,9 @@ FEATURES_4 = ["beta", "alpha", "dividend_yield", "volatility_10"]
 
 CLUSTERS = 3
 SEED = 42
+#: most rounds, and the largest move of a center that ends them; as in Spark's K-Means
+ROUNDS = 20
+TOLERANCE = 1e-4
 
 
 def _filled(features: list[str]) -> list[str]:
@@ -67,16 +72,35 @@ def scale(df: DataFrame, features: list[str]) -> DataFrame:
     return _transform(Pipeline(stages=_scaling(features)).fit(df), df)
 
 
+def _scaled_columns(scaling: PipelineModel, df: DataFrame, features: list[str]) -> tuple[DataFrame, list[str]]:
+    """The numbers that ``scaling`` puts into the vector, as plain columns; and their names."""
+    means = scaling.stages[0].surrogateDF.first()
+    scaler = scaling.stages[-1]
+    names, z = [f"_z_{c}" for c in features], []
+    for name, c, mean, deviation in zip(names, features, scaler.mean, scaler.std):
+        known = F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None)), F.lit(float(means[c])))
+        z.append(((known - float(mean)) * (1.0 / float(deviation) if deviation else 0.0)).alias(name))
+    return df.select(*z), names
+
+
 def train(df: DataFrame, features: list[str], k: int = CLUSTERS, seed: int = SEED) -> PipelineModel:
-    """Means, scaler and K-Means in one model. The scaled rows are cached for the iterations."""
+    """Means, scaler and K-Means in one model.
+
+    All rows take part in every round as plain cached columns, 8 bytes a number; a vector would
+    take three times that. The centers found are all that Spark's K-Means is then fitted to, which
+    makes the model that is saved, loaded and applied. ``seed`` only orders the clusters.
+    """
     require_columns(df, features)
     scaling = Pipeline(stages=_scaling(features)).fit(df)
-    scaled = scaling.transform(df).select("features").persist()
+    rows, names = _scaled_columns(scaling, df, features)
+    rows = rows.persist()
     try:
-        kmeans = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="prediction").fit(scaled)
+        centers = lloyd.fit(rows, names, [k], ROUNDS, TOLERANCE, lloyd.column_round)[k]
     finally:
-        scaled.unpersist()
-    return PipelineModel(stages=[*scaling.stages, kmeans])
+        rows.unpersist()
+    points = df.sparkSession.createDataFrame([(Vectors.dense(c),) for c in centers], ["features"])
+    alone = KMeans(k=k, seed=seed, initMode="random", maxIter=1, featuresCol="features", predictionCol="prediction")
+    return PipelineModel(stages=[*scaling.stages, alone.fit(points)])
 
 
 def save(model: PipelineModel, path: str) -> None:

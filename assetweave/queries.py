@@ -997,16 +997,15 @@ def _cluster_facts(rows, features):
     model = cluster.train(rows, features)
     scored = cluster.predict(model, rows)
     _, _, centers = cluster.scaler_and_centers(model)
-    at = vector_to_array("features")
-    distance = [
-        F.aggregate(F.zip_with(at, F.array(*map(F.lit, c)), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
-        for c in centers
-    ]
-    own = F.array(*distance)[F.col("prediction")]
+    names = [f"_at_{c}" for c in features]
+    scored = scored.select("prediction", vector_to_array("features").alias("_at"))
+    scored = scored.select("prediction", *[F.col("_at")[i].alias(name) for i, name in enumerate(names)])
+    scored = scored.withColumn("_gaps", F.array(*[lloyd.squared(names, c) for c in centers]))
+    own, least = F.col("_gaps")[F.col("prediction")], F.array_min("_gaps")
     return scored.agg(
         F.count("prediction").alias("rows_scored"),
         F.count_distinct("prediction").alias("clusters"),
-        F.count_if(own > F.least(*distance) + 1e-9).alias("misplaced"),
+        F.count_if(own > least + 1e-9).alias("misplaced"),
     )
 
 

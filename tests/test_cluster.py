@@ -176,3 +176,24 @@ def test_tables_equal_pairs_and_hold_no_pair(monkeypatch, target, clusters):
     assert (got[0] == expected[0]).all() and np.allclose(got[1], expected[1], atol=1e-12)
     assert not attribution.Leads.fits(np.zeros((4000, 3)), np.zeros((3, 3)), target)  # tables too large
     assert not attribution.Leads.fits(background, np.zeros((4, 3)), "own")  # four centers
+
+
+def test_training_meets_all_rows_as_plain_numbers(points, monkeypatch):
+    """Spark's K-Means, which caches a vector per row, is only fitted to the centers; those are the means of their rows."""
+    fitted, fit = [], cluster.KMeans.fit
+
+    def counted(self, dataset, params=None):
+        fitted.append(dataset.count())
+        return fit(self, dataset, params)
+
+    monkeypatch.setattr(cluster.KMeans, "fit", counted)
+    model = cluster.train(points, FEATURES)
+    assert fitted == [3]
+    _, _, centers = cluster.scaler_and_centers(model)
+    rows = cluster.predict(model, points).select("prediction", "features", "id").toPandas()
+    assert len(rows) == 180
+    for number, center in enumerate(centers):
+        own = np.array([v.toArray() for v in rows.features[rows.prediction == number]])
+        assert len(own) > 50 and np.allclose(own.mean(axis=0), center)
+    other = cluster.scaler_and_centers(cluster.train(points.repartition(7), FEATURES))[2]
+    assert np.allclose(sorted(centers), sorted(other))

@@ -112,3 +112,13 @@ def test_rounds_and_costs_take_no_expression_per_center(spark, monkeypatch):
     assert all(np.allclose(got[k], moved[k]) for k in centers) and got[3][2] == [9.0, 9.0]
     costs = {r.k: r.cost for r in lloyd.costs(rows, ["a", "b"], centers).collect()}
     assert costs == pytest.approx({k: near[f"_gap_{k}"].sum() for k in centers})
+
+
+def test_a_round_in_columns_is_the_round_in_arrays(spark):
+    data = [(float(i % 7), float(i % 3) / 2) for i in range(50)] + [(None, 1.0), (0.5, None)]
+    rows = spark.createDataFrame(data, "a double, b double")
+    centers = {2: [[0.0, 0.0], [5.0, 1.0]], 3: [[0.0, 0.0], [5.0, 1.0], [90.0, 90.0]]}
+    got, want = (f(rows, ["a", "b"], centers) for f in (lloyd.column_round, lloyd.round_of))
+    assert got[3][2] == [90.0, 90.0]
+    for k in centers:
+        assert [pytest.approx(c) for c in got[k]] == want[k]
