@@ -26,12 +26,15 @@ def recommend(bars: DataFrame, market: DataFrame, eps: DataFrame, users: DataFra
 
     def write(name: str, df: DataFrame) -> DataFrame:
         observed, counts[name] = observe_stage(df, name)
-        overwrite(observed, f"{folder}/{name}")
+        overwrite(observed, f"{folder}/{name}", compression="zstd")
         tables[name] = read_current(spark, f"{folder}/{name}")
         return tables[name]
 
-    enhanced = write("enhanced", enhanced_bars(drop_incomplete(bars), market, eps))
-    features = write("features", impute_mean(ensure_features(enhanced, FEATURES), FEATURES))
+    enhanced = enhanced_bars(drop_incomplete(bars), market, eps)
+    # the windows of the features follow while the rows lie together by asset; gaps are filled from what is written
+    with_gaps = write("enhanced", ensure_features(enhanced, FEATURES))
+    tables["enhanced"] = with_gaps.select(enhanced.columns)
+    features = write("features", impute_mean(with_gaps, FEATURES))
 
     model = cluster.train(features, FEATURES)
     cluster.save(model, f"{folder}/model")

@@ -43,16 +43,18 @@ def complete_versions(spark: SparkSession, table: str) -> list[int]:
     return sorted(found)
 
 
-def overwrite(df: DataFrame, table: str) -> str:
+def overwrite(df: DataFrame, table: str, compression: str | None = None) -> str:
     """Write the next version of a table. Readers of the current one are not disturbed.
 
+    ``compression`` is that of the files, else the session's.
+
     Of two writers that take the same number one fails; an incomplete version
     that a lost job left behind must be removed first.
     """
     spark = df.sparkSession
     version = max(complete_versions(spark, table), default=0) + 1
     path = f"{table}/v{version}"
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").parquet(path, compression=compression)
     return path
 
 
