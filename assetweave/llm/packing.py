@@ -33,13 +33,15 @@ from assetweave.llm.token_ids import default_tokenizer, token_ids
 from assetweave.session import stored
 
 SEQUENCE = 4096
+#: bytes of text encoded at once; the arrays of a step take some fifty times that
+STEP = 1 << 20
 PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
 
 
 def _cut(path: str, end_id: int, size: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = token_ids(path)
-        for batch in chunks(batches):
+        for batch in chunks(batches, size=STEP):
             flat, offsets = encoder.encode(text_of(batch))
             flat = np.insert(flat, offsets[1:], end_id).astype("<u4")
             tokens = np.diff(offsets) + 1

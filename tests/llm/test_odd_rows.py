@@ -2,6 +2,7 @@
 
 import zlib
 
+import pyarrow as pa
 import pytest
 
 import brute
@@ -358,3 +359,18 @@ def test_large_item_ids_beside_null_ids(spark):
     items = spark.createDataFrame([(big, SIX), (big - 1, SIX), (None, "beta gamma")], "item_id long, text string")
     got = sorted(tuple(r) for r in decontam.contamination(docs, items).collect())
     assert got == sorted(brute.contamination([(1, SIX), (2, "beta gamma")], [(big, SIX), (big - 1, SIX), (None, "beta gamma")]))
+
+
+def test_packing_encodes_in_small_steps(monkeypatch):
+    """A batch of many texts isn't encoded at once: the arrays of a step take many times its text."""
+    seen, encode = [], packing.token_ids.__wrapped__.__globals__["TokenIds"].encode
+
+    def counted(self, column):
+        seen.append(sum(len(t) for t in column.to_pylist()))
+        return encode(self, column)
+
+    monkeypatch.setattr("assetweave.llm.token_ids.TokenIds.encode", counted)
+    batch = pa.record_batch([pa.array(range(30)), pa.array(["some words " * 10_000] * 30)], ["doc_id", "text"])
+    out = list(packing._cut(packing.default_tokenizer(), 2, 4096)(iter([batch])))
+    assert sum(seen) == 30 * 110_000 and max(seen) <= 1 << 20
+    assert {i for b in out for i in b.column(0).to_pylist()} == set(range(30))
