@@ -84,7 +84,7 @@ def _class_counts(df: DataFrame, text: str, name: str, symbols: str | None = Non
 
 
 def references(docs: DataFrame) -> dict[str | None, dict]:
-    """Per language the common words, their counts with that of all other words, and the character classes.
+    """Per language the common words and their counts with that of all other words.
 
     ``ALL`` is the entry of all texts.
     """
@@ -100,13 +100,7 @@ def references(docs: DataFrame) -> dict[str | None, dict]:
     common = counted.where(F.col("lang").isin(names)).withColumn("rank", first).where(F.col("rank") <= COMMON)
     common = sorted((r["lang"], r["rank"], r["word"], r["n"]) for r in common.collect())
     common += [(ALL, 0, r["word"], r["n"]) for r in everything.orderBy(F.desc("n"), "word").limit(COMMON).collect()]
-    key = F.when(F.col("lang").isin(names), F.col("lang")).alias("lang")
-    long_enough = texts.where(F.length("text") >= MIN_CHARS).select(key, "text")
-    places = range(len(CLASSES) + 1)
-    sums = _class_counts(long_enough, "text", "_classes").groupBy("lang").agg(*[F.sum(F.col("_classes")[i]) for i in places])
-    classes = {r[0]: list(r[1:]) for r in sums.collect()}
-    classes[ALL] = [sum(c[i] for c in classes.values()) for i in places]
-    out = {name: {"words": [], "counts": [], "classes": classes.get(name, [0] * len(places))} for name in total}
+    out = {name: {"words": [], "counts": []} for name in total}
     for name, _, word, n in common:
         out[name]["words"].append(word)
         out[name]["counts"].append(n)
@@ -115,12 +109,23 @@ def references(docs: DataFrame) -> dict[str | None, dict]:
     return out
 
 
+def _with_classes(known: dict[str | None, dict], measured: DataFrame) -> dict[str | None, dict]:
+    """The references with the sums of ``_classes`` of all texts of ``MIN_CHARS`` characters."""
+    names = [name for name in known if name != ALL]
+    key = F.when(F.col("_lang").isin(names), F.col("_lang")).alias("lang")
+    places = range(len(CLASSES) + 1)
+    sums = measured.where("_long").groupBy(key).agg(*[F.sum(F.col("_classes")[i]) for i in places])
+    classes = {r[0]: list(r[1:]) for r in sums.collect()}
+    classes[ALL] = [sum(c[i] for c in classes.values()) for i in places]
+    return {name: {**entry, "classes": classes.get(name, [0] * len(places))} for name, entry in known.items()}
+
+
 def _reference(known: dict[str | None, dict]) -> Column:
     """The reference of the row's language."""
     own = {name: entry for name, entry in known.items() if name != ALL}
     own_map = F.from_json(F.lit(json.dumps(own)), f"map<string, {_REFERENCE}>")
     everything = F.from_json(F.lit(json.dumps(known[ALL])), _REFERENCE)
-    return F.coalesce(F.try_element_at(own_map, F.coalesce("lang", F.lit(""))), everything)
+    return F.coalesce(F.try_element_at(own_map, F.col("_lang")), everything)
 
 
 def _sum(values: Column, start: Column) -> Column:
@@ -156,11 +161,13 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     known = references(docs)
     common = sorted({w for reference in known.values() for w in reference["words"]})
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", text.alias("_text"))
+    lang = F.coalesce("lang", F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lang.alias("_lang"), text.alias("_text"))
     rows = rows.select(
         "doc_id",
+        "_lang",
         "_text",
-        _reference(known).alias("_ref"),
+        _reference(known)["words"].alias("_common"),
         F.length("_text").cast("long").alias("_chars"),
         F.filter(F.split("_text", "\n", -1), lambda line: line.rlike(WORD)).alias("_lines"),
         _words(F.col("_text")).alias("_words"),
@@ -174,7 +181,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     rows = rows.withColumns({"_tri": trigrams, "_some": some, "n_words": n.cast("long")})
     rows = rows.withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
     # what goes when a common word is taken out tells its count
-    taken = F.transform(F.col("_ref.words"), lambda w: (F.size("_some") - F.size(F.array_remove("_some", w))).cast("long"))
+    taken = F.transform(F.col("_common"), lambda w: (F.size("_some") - F.size(F.array_remove("_some", w))).cast("long"))
     rows = rows.withColumn("_taken", taken)
     rows = _class_counts(rows.drop("_lines", "_some", "_words"), "_text", "_classes", "n_symbols")
     tri, placed, starts = F.col("_tri"), F.col("_placed"), F.col("_starts")
@@ -199,9 +206,12 @@ def quality_rules(docs: DataFrame) -> DataFrame:
         F.coalesce(_sum(covered, F.lit(0)), F.lit(0)).cast("long").alias("n_repeat_words"),
         F.concat("_taken", others).alias("_taken"),
         "_classes",
-        "_ref",
+        "_lang",
         (F.col("_chars") >= MIN_CHARS).alias("_long"),
     )
+    # the classes of a language are sums of what is known of its texts now, so texts aren't split into classes twice
+    rows = stored(rows, "measured-texts")
+    rows = rows.withColumn("_ref", _reference(_with_classes(known, rows))).drop("_lang")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEATED * F.col("n_words"))
     # the words' reference says how much text stands behind either histogram
     enough = _sum(F.col("_ref.counts"), F.lit(0).cast("long")) >= MIN_REFERENCE

@@ -133,3 +133,18 @@ def test_plan_has_no_python(spark, corpus):
     plan = divergence.quality_rules(frame(spark, corpus[:5]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
     assert "Exchange" not in plan  # texts never move
+
+
+def test_texts_are_split_into_classes_once(spark, monkeypatch):
+    """The sums of a language come from the measured rows, not from a second pass over the texts."""
+    seen, counts = [], divergence._class_counts
+
+    def counted(*args):
+        seen.append(args)
+        return counts(*args)
+
+    monkeypatch.setattr(divergence, "_class_counts", counted)
+    text = "plain words and 12 numbers, " * 60
+    rows = divergence.quality_rules(frame(spark, [(1, text, "en"), (2, text, None), (3, None, "en")]))
+    assert len(seen) == 1 and "regexp_replace" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.doc_id for r in rows.collect()) == [1, 2, 3]
