@@ -132,9 +132,8 @@ def _sum(values: Column, start: Column) -> Column:
     return F.aggregate(values, start, lambda total, x: total + x)
 
 
-def _excess(counts: Column, reference: Column) -> Column:
-    """Jensen-Shannon divergence of two histograms, less what a sample of that size has by chance."""
-    n, m = _sum(counts, F.lit(0).cast("long")), _sum(reference, F.lit(0).cast("long"))
+def _excess(counts: Column, reference: Column, n: Column, m: Column) -> Column:
+    """Jensen-Shannon divergence of two histograms of sums n and m, less what a sample of that size has by chance."""
 
     def part(c: Column, r: Column) -> Column:
         p, q = c / n, r / m
@@ -149,11 +148,16 @@ def _excess(counts: Column, reference: Column) -> Column:
     return _sum(F.zip_with(counts, reference, part), F.lit(0.0)) - chance
 
 
-def _distance(counts: Column, reference: Column, enough: Column) -> Column:
-    """On a grid of 10^-6; NULL if there is too little to compare."""
-    distance = F.sqrt(F.greatest(_excess(counts, reference), F.lit(0.0)))
-    sizes = (_sum(counts, F.lit(0).cast("long")) > 0) & (_sum(reference, F.lit(0).cast("long")) >= MIN_REFERENCE)
-    return F.when(enough & sizes, F.floor(distance * 1e6 + 0.4999) / 1e6)
+def _with_distance(df: DataFrame, name: str, counts: str, reference: str, enough: Column) -> DataFrame:
+    """Add ``name``, on a grid of 10^-6; NULL if there is too little to compare.
+
+    The sums are columns of their own, else they are added up again for every entry.
+    """
+    sums = {"_n": _sum(F.col(counts), F.lit(0).cast("long")), "_m": _sum(F.col(reference), F.lit(0).cast("long"))}
+    n, m = F.col("_n"), F.col("_m")
+    distance = F.sqrt(F.greatest(_excess(F.col(counts), F.col(reference), n, m), F.lit(0.0)))
+    value = F.when(enough & (n > 0) & (m >= MIN_REFERENCE), F.floor(distance * 1e6 + 0.4999) / 1e6)
+    return df.withColumns(sums).withColumn(name, value).drop("_n", "_m")
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
@@ -215,13 +219,9 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEATED * F.col("n_words"))
     # the words' reference says how much text stands behind either histogram
     enough = _sum(F.col("_ref.counts"), F.lit(0).cast("long")) >= MIN_REFERENCE
-    rows = rows.withColumns(
-        {
-            "base_failed": failed,
-            "class_distance": _distance(F.col("_classes"), F.col("_ref.classes"), F.col("_long") & enough),
-            "word_distance": _distance(F.col("_taken"), F.col("_ref.counts"), F.col("n_words") >= MIN_WORDS),
-        }
-    )
+    rows = rows.withColumn("base_failed", failed)
+    rows = _with_distance(rows, "class_distance", "_classes", "_ref.classes", F.col("_long") & enough)
+    rows = _with_distance(rows, "word_distance", "_taken", "_ref.counts", F.col("n_words") >= MIN_WORDS)
     near = (F.coalesce("class_distance", F.lit(0.0)) <= CLASS_DISTANCE) & (
         F.coalesce("word_distance", F.lit(0.0)) <= WORD_DISTANCE
     )

@@ -148,3 +148,11 @@ def test_texts_are_split_into_classes_once(spark, monkeypatch):
     rows = divergence.quality_rules(frame(spark, [(1, text, "en"), (2, text, None), (3, None, "en")]))
     assert len(seen) == 1 and "regexp_replace" not in rows._jdf.queryExecution().executedPlan().toString()
     assert sorted(r.doc_id for r in rows.collect()) == [1, 2, 3]
+
+
+def test_sums_are_not_added_up_for_every_entry(spark):
+    rows = divergence.quality_rules(frame(spark, [(1, "plain words and 12 numbers, " * 60, "en")]))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "zip_with" in plan
+    # two sums and the sum of terms of either distance, and the sum that says how much text there is
+    assert plan.count("aggregate(") <= 7
