@@ -8,7 +8,8 @@
    pattern with a count, so the work doesn't depend on the number of pieces.
 3. Pieces of equal length are ranked, and the rank picks the pattern slot. Ranks
    come from a range partitioning by (length, doc_id, start), so a length that a
-   third of all pieces share is spread over many tasks.
+   third of all pieces share is spread over many tasks. Cutting the ranges takes a
+   pass of its own, so the pieces are stored first and texts are encoded once.
 
 Rows with equal doc_id are packed like any others; doc_id may be null. An empty
 table gives no rows.
@@ -143,6 +144,7 @@ def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def pack(rows: DataFrame, size: int = SEQUENCE) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to rows with doc_id, start and length; other columns are kept."""
     spark = rows.sparkSession
+    rows = stored(rows, "pieces")
     kept = [(f"`{f.name}` {f.dataType.simpleString()}") for f in rows.schema]
     sorted_rows = rows.repartitionByRange("length", "doc_id", "start").sortWithinPartitions("length", "doc_id", "start")
     numbered = stored(map_batches(sorted_rows, _number, ", ".join([*kept, "_part int", "_rank long"])), "ranked-pieces")

@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables, extra columns with clashing names."""
 
+import uuid
 import zlib
 
 import pyarrow as pa
@@ -374,3 +375,19 @@ def test_packing_encodes_in_small_steps(monkeypatch):
     out = list(packing._cut(packing.default_tokenizer(), 2, 4096)(iter([batch])))
     assert sum(seen) == 30 * 110_000 and max(seen) <= 1 << 20
     assert {i for b in out for i in b.column(0).to_pylist()} == set(range(30))
+
+
+def test_packing_reads_every_text_once(spark, tmp_path):
+    """Cutting the ranges takes a pass over the pieces before they are ranked; texts aren't encoded for both."""
+    folder = str(tmp_path)
+
+    def noted(batches):
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                open(f"{folder}/{i}-{uuid.uuid4().hex}", "w").close()
+            yield batch
+
+    docs = spark.createDataFrame([(i, "some words " * (i + 1)) for i in range(20)], "doc_id long, text string")
+    rows = packing.packed_digest(docs.repartition(4).mapInArrow(noted, docs.schema)).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(20))
+    assert sorted(int(f.name.split("-")[0]) for f in tmp_path.iterdir()) == list(range(20))
