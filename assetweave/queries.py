@@ -282,8 +282,8 @@ def k04_append_csv(spark, sf_dir):
     return readers.read_csv(spark, path, first.schema)
 
 
-def _base_and_delta(spark, sf_dir):
-    prices = tables.bars(spark, sf_dir).select("ticker", "dt", "close")
+def _base_and_delta(bars):
+    prices = bars.select("ticker", "dt", "close")
     day = F.col("dt")
     base = prices.where(day < F.lit("2000-01-01").cast("date")).withColumn(
         "last_updated", F.lit("2001-01-01").cast("date")
@@ -296,7 +296,7 @@ def _base_and_delta(spark, sf_dir):
 
 @query
 def k05_upsert(spark, sf_dir):
-    base, delta = _base_and_delta(spark, sf_dir)
+    base, delta = _base_and_delta(tables.bars(spark, sf_dir))
     return merge.upsert(base, delta, ["ticker", "dt"], "last_updated", ["close"])
 
 
@@ -305,7 +305,7 @@ def k05_upsert_stored(spark, sf_dir):
     """The same rows through the keyed table: stored by month, stamped, two deltas, one of them again."""
     table, month = new_path(spark, "prices"), F.date_format("dt", "yyyy-MM")
     order = [F.col("last_updated_timestamp").desc(), F.col("close").desc()]
-    base, delta = _base_and_delta(spark, sf_dir)
+    base, delta = _base_and_delta(tables.bars(spark, sf_dir))
     for rows, now in ((base, BEFORE), (delta, NOW), (delta, NOW)):
         rows = rows.select("ticker", "dt", "close")
         upsert_table(rows, table, ["ticker", "dt"], order, month, "close", now)
@@ -353,7 +353,8 @@ def k07_failed_stage(spark, sf_dir):
 
 @query
 def k08_change_stats(spark, sf_dir):
-    base, delta = _base_and_delta(spark, sf_dir)
+    bars = stored(tables.bars(spark, sf_dir).select("ticker", "dt", "close"), "bars")
+    base, delta = _base_and_delta(bars)
     after = merge.upsert(base, delta, ["ticker", "dt"], "last_updated", ["close"])
     return merge.change_stats(base, after, ["ticker", "dt"])
 
