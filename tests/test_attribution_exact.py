@@ -127,3 +127,45 @@ def test_points_known_by_their_bucket_collapse():
     along, other = np.array([0.5, 0.5, 0.25, 0.5]), np.array([3, 1, 2, 3], np.uint8)
     a, b, n = attribution_exact._collapsed(along, other, np.array([1, 2, 3, 4]))
     assert (a.tolist(), b.tolist(), n.tolist()) == ([0.25, 0.5, 0.5], [2, 1, 3], [3, 2, 5])
+
+
+@pytest.mark.parametrize(
+    "centers",
+    [
+        [[0, 0, 1, 1], [1, 0, -1, -1], [-1, 1, 1, 0]],
+        [[2, 0, 1, 0], [-1, 0, 1, 3], [0, 0, 1, -2]],  # all agree in two features
+        [[1, 0, 0, 1], [0, 1, 0, 1]],
+    ],
+)
+@pytest.mark.parametrize("target", ["own", "id"])
+def test_ties_on_lines_and_planes(spark, centers, target):
+    """Whole numbers, so that rows lie exactly between centers for every set of features."""
+    grid = np.array(np.meshgrid(*[range(-1, 2)] * 4)).reshape(4, -1).T.astype(float)
+    frame = table(np.concatenate([grid, grid[::3]]))
+    df = spark.createDataFrame(frame).repartition(3)
+    got = attribution_exact.attribution_exact(df, NAMES, centers, None, target, ("id",), bucket_rows=20, task_queries=30)
+    same(rows_of(got), plain(spark, frame, NAMES, centers, target))
+
+
+def test_points_move_once_per_coordinate():
+    """With four features only the sets of two need planes; their planes have three coordinates in common."""
+    rng = np.random.default_rng(12)
+    planes = attribution_exact.Planes(rng.normal(size=(3, 4)), 4, [0, 1, 2])
+    assert len(planes.all) == 42 and len(planes.flat) == 18
+    assert len(planes.axes) - len(planes.lines) == 18
+    # of each feature, its values; and where the others let each cluster's interval of it end
+    assert len(planes.lines) == 4 + 4 * 4
+
+
+def test_blocks_count_as_all_points_do():
+    rng = np.random.default_rng(5)
+    n, m = 3000, 400
+    rank, weight = rng.permutation(n), rng.integers(1, 90, n)
+    high, below = rng.integers(0, n + 1, (2, m))
+    symbol, limit = rng.integers(0, 256, n).astype(np.uint8), rng.integers(0, 256, m).astype(np.uint8)
+    for w in (None, weight):
+        size = np.ones(n, int) if w is None else w
+        expected = [size[:h][rank[:h] < b].sum() for h, b in zip(high, below)]
+        assert attribution_exact._counted(rank, w, high, below).tolist() == expected
+        expected = [size[:h][symbol[:h] < b].sum() for h, b in zip(high, limit)]
+        assert attribution_exact._counted(symbol, w, high, limit, 256).tolist() == expected
